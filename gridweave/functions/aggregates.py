@@ -87,56 +87,61 @@ def exact_quantiles(
 
 
 def _narrowed_quantiles(df: DataFrame, groups: list[str], value: str, probabilities: Sequence[float]) -> DataFrame:
-    # One text key per group, so that groups with nulls in them match themselves.
+    # One struct per group as the key: unlike plain null keys, structs with nulls in them match themselves.
     keys = ["__key"]
-    members = F.struct(*groups) if groups else F.struct(F.lit(0).alias("__all"))
-    source = df.withColumn("__key", F.to_json(members)).withColumn("__group", members)
+    source = df.withColumn("__key", F.struct(*groups) if groups else F.struct(F.lit(0).alias("__all")))
     # Equal values collapse before the shuffle, so a much repeated value costs one row per task.
     counted = stage(
-        source.select(*keys, "__group", F.col(value).cast("double").alias("__v"))
-        .where("__v IS NOT NULL").groupBy(*keys, "__group", "__v").agg(F.count(F.lit(1)).alias("__n")),
+        source.select(*keys, F.col(value).cast("double").alias("__v"))
+        .where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")),
         "value-counts",
     )
-    spans = counted.groupBy(*keys, "__group").agg(
-        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__rows")
+    spans = counted.groupBy(*keys).agg(
+        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__rows"),
+        F.count("__v").alias("__values"),
     )
     wanted = F.array(*[
         F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("__rows") - 1)).alias("at"))
         for i, p in enumerate(probabilities)
     ])
     ranks = spans.withColumn("__w", F.explode(wanted)).select(
-        *keys, "__group", "__lo", "__hi", F.lit(0).cast("bigint").alias("__below"),
+        *keys, "__lo", "__hi", F.lit(0).cast("bigint").alias("__below"), "__values",
         F.col("__w.i").alias("__i"), F.col("__w.at").alias("__at"),
         F.explode(F.array(F.floor("__w.at"), F.ceil("__w.at"))).alias("__rank"),
     ).distinct()
     found = stage(ranks, "ranks")
-    while not found.where("__lo < __hi").isEmpty():
-        found = stage(_narrow(counted, found, keys), "ranks")
+    while left := found.where("__lo < __hi").agg(F.sum("__values")).first()[0]:
+        found = stage(_narrow(counted, found, keys, last=left <= sizing.ROWS_PER_TASK), "ranks")
 
     low, high = F.col("__rank") == F.floor("__at"), F.col("__rank") == F.ceil("__at")
     at, lo, hi = F.first("__at"), F.max(F.when(low, F.col("__lo"))), F.max(F.when(high, F.col("__lo")))
-    each = found.groupBy("__group", "__i").agg(
+    each = found.groupBy("__key", "__i").agg(
         F.when(F.floor(at) == F.ceil(at), lo)
         .otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias("__q")
     )
     picks = [F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"q{i}") for i in range(len(probabilities))]
-    out = each.groupBy("__group").agg(*picks)
-    return out.select(*[F.col(f"__group.{g}") for g in groups], *[f"q{i}" for i in range(len(probabilities))])
+    out = each.groupBy("__key").agg(*picks)
+    return out.select(*[F.col(f"__key.{g}") for g in groups], *[f"q{i}" for i in range(len(probabilities))])
 
 
-def _narrow(counted: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
-    """One pass: shrink each rank's value range to the histogram bucket that holds it."""
+def _narrow(counted: DataFrame, ranks: DataFrame, keys: list[str], last: bool) -> DataFrame:
+    """One pass: shrink each rank's value range to the histogram bucket that holds it.
+
+    Once few values are left in all ranges together, the `last` pass takes every value for a bucket.
+    """
     done = ranks.where("__lo = __hi")
     by_key = ranks.where("__lo < __hi").groupBy(*keys).agg(F.collect_set(F.struct("__lo", "__hi", "__below")).alias("__ranges"))
     scaled = F.floor((F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * BUCKETS)
+    bucket = F.col("__v") if last else F.least(scaled, F.lit(BUCKETS - 1))
     buckets = (
         # A key has at most two ranges per probability asked for.
         sizing.attach_lookup(counted, by_key, keys)
         .select(*keys, "__v", "__n", F.explode("__ranges").alias("__r"))
         .select(*keys, "__v", "__n", "__r.__lo", "__r.__hi", "__r.__below")
         .where("__v BETWEEN __lo AND __hi")
-        .groupBy(*keys, "__lo", "__hi", "__below", F.least(scaled, F.lit(BUCKETS - 1)).alias("__bucket"))
-        .agg(F.sum("__n").alias("__count"), F.min("__v").alias("__new_lo"), F.max("__v").alias("__new_hi"))
+        .groupBy(*keys, "__lo", "__hi", "__below", bucket.alias("__bucket"))
+        .agg(F.sum("__n").alias("__count"), F.min("__v").alias("__new_lo"), F.max("__v").alias("__new_hi"),
+             F.count("__v").alias("__new_values"))
     )
     cumulative = Window.partitionBy(*keys, "__lo", "__hi", "__below").orderBy("__bucket")
     buckets = buckets.withColumn("__upto", F.col("__below") + F.sum("__count").over(cumulative)).withColumn(
@@ -145,7 +150,7 @@ def _narrow(counted: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
     moved = (
         ranks.where("__lo < __hi").join(buckets, [*keys, "__lo", "__hi", "__below"])
         .where("__rank >= __from AND __rank < __upto")
-        .select(*keys, "__group", F.col("__new_lo").alias("__lo"), F.col("__new_hi").alias("__hi"),
-                F.col("__from").alias("__below"), "__i", "__at", "__rank")
+        .select(*keys, F.col("__new_lo").alias("__lo"), F.col("__new_hi").alias("__hi"),
+                F.col("__from").alias("__below"), F.col("__new_values").alias("__values"), "__i", "__at", "__rank")
     )
     return done.unionByName(moved)

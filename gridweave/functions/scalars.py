@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,16 @@ def safe_double(value: Column) -> Column:
     return F.coalesce(F.nanvl(value.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
+def clean_double(df: DataFrame, name: str) -> Column:
+    """`safe_double` of a column, in the shortest expression its type allows."""
+    kind = df.schema[name].dataType
+    if is_floating(kind):
+        return F.coalesce(F.nanvl(column(name).cast("double"), F.lit(0.0)), F.lit(0.0))
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return F.coalesce(column(name).cast("double"), F.lit(0.0))
+    return safe_double(column(name))
+
+
 def iso_text(value: Column, data_type: T.DataType) -> Column:
     """Timestamps and dates as ISO text: microseconds only where there are any."""
     if isinstance(data_type, T.DateType):
@@ -41,51 +52,17 @@ def iso_text(value: Column, data_type: T.DataType) -> Column:
     return F.when(whole, F.date_format(value, ISO_SECONDS)).otherwise(F.date_format(value, ISO_MICROS))
 
 
-def bind(value: Column, use) -> Column:
-    """`use(value)` with `value` evaluated once, however often `use` refers to it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+@F.arrow_udf(T.StringType())
+def _python_repr(numbers: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else repr(x) for x in numbers.to_pylist()], pa.string())
 
 
 def python_float_text(value: Column) -> Column:
-    """A double as Python prints it: shortest exact digits, positional from 1e-4 up to 1e16."""
-    number = value.cast("double")
-    plain = number.cast("string")
-    # Up to 15 digits without an exponent both notations agree.
-    short = ~plain.contains("E") & (F.length(plain) <= 16)
-    return F.when(short, plain).otherwise(bind(number, _shortest_text))
-
-
-def _shortest_text(x: Column) -> Column:
-    fifteen, sixteen = F.format_string("%.14e", x), F.format_string("%.15e", x)
-    shortest = (
-        F.when(fifteen.try_cast("double") == x, fifteen).when(sixteen.try_cast("double") == x, sixteen)
-        .otherwise(F.format_string("%.16e", x))
-    )
-    special = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
-    return F.coalesce(special, bind(shortest, _layout))
-
-
-def _layout(scientific: Column) -> Column:
-    """`-d.ddde+xx` text in the notation Python chooses for its exponent."""
-    sign = F.when(scientific.startswith("-"), "-").otherwise("")
-    digits = F.rtrim(F.regexp_replace(F.split_part(scientific, F.lit("e"), F.lit(1)), "[-.]", ""), F.lit("0"))
-    exponent = F.split_part(scientific, F.lit("e"), F.lit(2)).cast("int")
-
-    def place(parts: Column) -> Column:
-        d, e = parts["d"], parts["e"]
-        size = F.length(d)
-        whole = F.when(size > e + 1, F.concat(F.substr(d, F.lit(1), e + 1), F.lit("."), F.substr(d, e + 2))).otherwise(
-            F.concat(F.rpad(d, e + 1, F.lit("0")), F.lit(".0"))
-        )
-        fraction = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), d)
-        rest = F.when(size > 1, F.concat(F.lit("."), F.substr(d, F.lit(2)))).otherwise("")
-        power = F.concat(F.when(e < 0, "e-").otherwise("e+"), F.when(F.abs(e) < 10, "0").otherwise(""), F.abs(e).cast("string"))
-        return (
-            F.when(d == "", "0.0").when((e >= 0) & (e < 16), whole).when((e < 0) & (e >= -4), fraction)
-            .otherwise(F.concat(F.substring(d, 1, 1), rest, power))
-        )
-
-    return F.concat(sign, bind(F.struct(digits.alias("d"), exponent.alias("e")), place))
+    """A double as Python prints it: shortest exact digits, positional from 1e-4 up to 1e16.
+
+    The JVM's own text keeps extra digits for some doubles, so Arrow batches go through Python's `repr`.
+    """
+    return _python_repr(value.cast("double"))
 
 
 def normalise_json_value(value: Column, data_type: T.DataType) -> Column:

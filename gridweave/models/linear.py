@@ -14,20 +14,20 @@ from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.functions.aggregates import safe_scale, standardise
-from gridweave.functions.scalars import column, safe_double
+from gridweave.functions.scalars import clean_double, column
 from gridweave.models import scoring
 from gridweave.operators import prepare
 
 
 def column_stats(df: DataFrame, names: list[str]) -> tuple[list[float], list[float]]:
     """Mean and population deviation of every feature in one pass (a zero deviation becomes 1)."""
-    values = [safe_double(column(n)) for n in names]
+    values = [clean_double(df, n) for n in names]
     row = df.agg(*[F.avg(v) for v in values], *[safe_scale(F.stddev_pop(v)) for v in values]).first()
     return list(row[: len(names)]), list(row[len(names):])
 
 
 def standard_array(df: DataFrame, names: list[str], means: list[float], deviations: list[float]):
-    cells = [safe_double(column(n)) if n in df.columns else F.lit(0.0) for n in names]
+    cells = [clean_double(df, n) if n in df.columns else F.lit(0.0) for n in names]
     return F.array(*[standardise(c, F.lit(m), F.lit(s)) for c, m, s in zip(cells, means, deviations)])
 
 

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.functions.aggregates import exact_quantiles
-from gridweave.functions.scalars import column, safe_double
+from gridweave.functions.scalars import clean_double, column
 
 ABOVE, BELOW = ">", "<"
 
 
 def feature_array(df: DataFrame, names: Sequence[str]) -> Column:
     """Features in training order; absent columns and missing values read 0, as in training."""
-    return F.array(*[safe_double(column(n)) if n in df.columns else F.lit(0.0) for n in names])
+    return F.array(*[clean_double(df, n) if n in df.columns else F.lit(0.0) for n in names])
 
 
 def feature_vector(df: DataFrame, names: Sequence[str]) -> Column:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.functions.aggregates import exact_quantiles, forecast_metrics
-from gridweave.functions.scalars import safe_double
 from gridweave.operators import prepare, series, sizing
 
 SEASON = 48

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.functions.aggregates import flag_rate
+from gridweave.operators import series, sizing
 
 
 def thresholds(spark: SparkSession, rows: Sequence[tuple] = tuple(schemas.DEFAULT_THRESHOLDS)) -> DataFrame:
@@ -85,16 +86,17 @@ def latest_approved(registry: DataFrame, groups: Sequence[str] = ("model_group",
     ).select("__row.*")
 
 
-def register(runs: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """New registry rows for `runs(model_group, created_at, …)`: next versions, pending approval."""
-    order = Window.partitionBy("model_group").orderBy("created_at", "run_id")
-    rows = runs.withColumn("__n", F.row_number().over(order))
+def register(runs: DataFrame, registry: DataFrame | None = None, *, row_bound: int | None = None) -> DataFrame:
+    """New registry rows for `runs(model_group, run_id, created_at, …)`: next versions, pending approval."""
+    rows = series.series_index(runs, ["model_group"], ["created_at", "run_id"], name="__n", row_bound=row_bound)
+    taken = F.lit(0)
     if registry is not None:
         top = registry.groupBy("model_group").agg(F.max("version").alias("__top"))
-        rows = rows.join(top, "model_group", "left").withColumn("__n", F.col("__n") + F.coalesce("__top", F.lit(0))).drop("__top")
-    return rows.withColumn("version", F.col("__n").cast("int")).withColumn(
-        "approval_status", F.lit("PendingManualApproval")
-    ).drop("__n")
+        rows, taken = sizing.attach_lookup(rows, top, ["model_group"]), F.coalesce("__top", F.lit(0))
+    return rows.select(
+        *runs.columns, (F.col("__n") + taken + 1).cast("int").alias("version"),
+        F.lit("PendingManualApproval").alias("approval_status"),
+    )
 
 
 def apply_approvals(registry: DataFrame, report: DataFrame, keys: Sequence[str], *, requested: bool | Column = True) -> DataFrame:

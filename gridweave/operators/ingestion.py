@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.functions.scalars import landing_key
+from gridweave.operators import series
 
 
 def sources(spark: SparkSession) -> DataFrame:
@@ -87,26 +88,15 @@ def daily_health(manifest: DataFrame) -> DataFrame:
     )
 
 
-def landing_gaps(manifest: DataFrame, cadence_minutes: int) -> DataFrame:
-    """Successful landings that came later than the cadence allows after the one before.
-
-    The row before is looked up inside the day; a day's first landing is compared with the last of the
-    latest earlier day, so no task sorts more than a day.
-    """
+def landing_gaps(manifest: DataFrame, cadence_minutes: int, *, row_bound: int | None = None) -> DataFrame:
+    """Successful landings that came later than the cadence allows after the one before."""
     landed = manifest.where("status = 'success'").select(
-        "request_id", F.to_date(F.substring("event_time_utc", 1, 10)).alias("dt"),
-        F.try_to_timestamp("event_time_utc").alias("landed_at"),
-    )
-    by_day = Window.partitionBy("dt").orderBy("landed_at", "request_id")
-    last_of_day = landed.groupBy("dt").agg(F.max("landed_at").alias("__last"))
-    earlier = last_of_day.withColumn("__before", F.lag("__last").over(Window.orderBy("dt"))).drop("__last")
-    with_previous = (
-        landed.withColumn("__prev", F.lag("landed_at").over(by_day))
-        .join(F.broadcast(earlier), "dt", "left")  # one row per calendar day
-        .withColumn("previous_at", F.coalesce("__prev", "__before"))
+        "request_id", F.try_to_timestamp("event_time_utc").alias("landed_at")
     )
+    before = {"previous_at": lambda w: F.lag("landed_at").over(w)}
+    rows = series.row_windows(landed, [], ["landed_at", "request_id"], before, before=1, row_bound=row_bound)
     minutes = (F.unix_micros("landed_at") - F.unix_micros("previous_at")) / 60_000_000
-    return with_previous.where(minutes > cadence_minutes).select(
+    return rows.where(minutes > cadence_minutes).select(
         "request_id", "landed_at", "previous_at", minutes.alias("gap_minutes"),
         (F.floor(minutes / cadence_minutes) - 1).cast("int").alias("missed_landings"),
     )

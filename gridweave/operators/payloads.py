@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridweave import schemas
-from gridweave.functions.scalars import column, is_numeric, iso_text, is_timestamp, normalise_json_value, safe_double, series_start_text
+from gridweave.functions.scalars import (
+    clean_double, column, is_numeric, is_timestamp, iso_text, normalise_json_value, series_start_text,
+)
 from gridweave.operators import prepare, series
 
 ORDER = [schemas.EVENT_TIME, "settlement_period"]
@@ -91,9 +93,9 @@ def history_future_payload(
     """Request `{start, target, dynamic_feat}`: target over the history, covariates over history and future."""
     total = context + horizon
     rows = series.latest_rows(prepare.with_target(df), keys, ORDER, total)
-    present = [safe_double(column(c)) if c in df.columns else F.lit(0.0) for c in covariates]
+    present = [clean_double(df, c) if c in df.columns else F.lit(0.0) for c in covariates]
     cell = F.struct(*[column(c).alias(f"__o{i}") for i, c in enumerate(ORDER)],
-                    safe_double(column(schemas.TARGET)).alias("y"), *[x.alias(f"x{i}") for i, x in enumerate(present)])
+                    clean_double(df, schemas.TARGET).alias("y"), *[x.alias(f"x{i}") for i, x in enumerate(present)])
     packed = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(cell)).alias("cells"))  # at most `total` per series
     enough = F.size("cells") == total
     features = F.array(*[F.col(f"cells.x{i}") for i in range(len(covariates))]).cast("array<array<double>>")
@@ -129,23 +131,25 @@ def parse_requests(df: DataFrame, body: str, instance_schema: str, *, content_ty
 
     Parsed rows carry the request's other columns and `instance_no`.
     """
-    wrapped = F.from_json(column(body), f"instances array<struct<{instance_schema}>>")
-    bare = F.from_json(column(body), f"array<struct<{instance_schema}>>")
-    variant = F.try_parse_json(column(body))
-    inner = F.coalesce(F.try_variant_get(variant, "$.instances", "variant"), variant)
-    is_list = F.schema_of_variant(inner).startswith("ARRAY")
+    record = f"array<struct<{instance_schema}>>"
+    others = [column(c) for c in df.columns if c != body]
+    marked = df.withColumn("__json", F.try_parse_json(column(body)))
+    marked = marked.withColumn("__has_instances", F.try_variant_get("__json", "$.instances", "variant").isNotNull())
+    marked = marked.withColumn("__list", F.try_variant_get(
+        F.when(F.col("__has_instances"), F.try_variant_get("__json", "$.instances", "variant")).otherwise(F.col("__json")),
+        "$", "array<variant>",
+    ))
     accepted = F.lit(True) if content_type is None else F.coalesce(column(content_type) == "application/json", F.lit(False))
     error = (
         F.when(~accepted, F.lit("unsupported content type"))
-        .when(variant.isNull(), F.lit("body is not JSON"))
-        .when(~F.coalesce(is_list, F.lit(False)), F.lit("payload must be a list of records"))
+        .when(F.col("__json").isNull(), F.lit("body is not JSON"))
+        .when(F.col("__list").isNull(), F.lit("payload must be a list of records"))
     )
-    is_bare = F.startswith(F.ltrim(column(body)), F.lit("["))
-    marked = df.withColumn("error", error)
-    others = [column(c) for c in df.columns if c != body]
+    marked = marked.withColumn("error", error)
+    bare, wrapped = F.from_json(column(body), record), F.from_json(column(body), f"instances {record}")["instances"]
     rows = (
         marked.where("error IS NULL")
-        .select(*others, F.posexplode(F.when(is_bare, bare).otherwise(wrapped["instances"])).alias("instance_no", "__i"))
+        .select(*others, F.posexplode(F.when(F.col("__has_instances"), wrapped).otherwise(bare)).alias("instance_no", "__i"))
         .select(*others, "instance_no", "__i.*")
     )
     return rows, marked.where("error IS NOT NULL").select(*others, "error")
@@ -159,44 +163,54 @@ def predictions_json(df: DataFrame, request: Sequence[str], order: str, predicti
     )
 
 
-def _response(body: Column) -> tuple[Column, Column, Column, Column]:
-    variant = F.try_parse_json(body)
-    is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
-    items = F.try_variant_get(F.when(is_object, variant), "$.predictions", "array<variant>")
-    return variant, items, F.get(items, F.lit(0)), F.schema_of_variant(F.get(items, F.lit(0)))
+def _parsed(df: DataFrame, body: str) -> DataFrame:
+    """Add the parsed body, its predictions, and the first of them with its type; each step reads the last."""
+    return (
+        df.withColumn("__json", F.try_parse_json(column(body)))
+        .withColumn("__items", F.when(
+            F.schema_of_variant("__json").startswith("OBJECT"), F.try_variant_get("__json", "$.predictions", "array<variant>")
+        ))
+        .withColumn("__first", F.get("__items", F.lit(0)))
+        .withColumn("__kind", F.schema_of_variant("__first"))
+    )
 
 
 def _is_number(kind: Column) -> Column:
-    return F.coalesce(kind.rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)"), F.lit(False))
+    return F.coalesce(kind.rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT|BOOLEAN)"), F.lit(False))
+
+
+def _verdict(df: DataFrame, columns: Sequence[str], error: Column) -> DataFrame:
+    unreadable = (
+        F.when(F.col("__json").isNull(), F.lit("response is not JSON"))
+        .when(F.col("__items").isNull() | (F.size("__items") == 0), F.lit("predictions must be a non-empty list"))
+        .otherwise(error)
+    )
+    return df.withColumn("error", unreadable).select(*columns, "error", F.col("error").isNull().alias("valid"))
 
 
 def check_forecast_responses(df: DataFrame, body: str) -> DataFrame:
     """Add `valid` and `error`: predictions must be numbers or objects with a non-empty numeric `mean`."""
-    variant, items, first, kind = _response(column(body))
-    means = F.try_variant_get(first, "$.mean", "array<variant>")
-    numeric = F.forall(means, lambda m: _is_number(F.schema_of_variant(m)) | (F.schema_of_variant(m) == "BOOLEAN"))
+    parsed = _parsed(df, body).withColumn("__means", F.try_variant_get("__first", "$.mean", "array<variant>"))
+    kind, means = F.col("__kind"), F.col("__means")
     error = (
-        F.when(variant.isNull(), F.lit("response is not JSON"))
-        .when(items.isNull() | (F.size(items) == 0), F.lit("predictions must be a non-empty list"))
-        .when(_is_number(kind) | (kind == "BOOLEAN"), F.lit(None))
+        F.when(_is_number(kind), F.lit(None))
         .when(~kind.startswith("OBJECT"), F.lit("predictions must be numbers or prediction objects"))
         .when(means.isNull() | (F.size(means) == 0), F.lit("mean must be a non-empty list"))
-        .when(~numeric, F.lit("mean values must be numeric"))
+        .when(~F.forall(means, lambda m: _is_number(F.schema_of_variant(m))), F.lit("mean values must be numeric"))
     )
-    return df.withColumn("error", error).withColumn("valid", F.col("error").isNull())
+    return _verdict(parsed, df.columns, error)
 
 
 def check_anomaly_responses(df: DataFrame, body: str) -> DataFrame:
     """Add `valid` and `error`: the first prediction must hold a numeric score and a boolean flag."""
-    variant, items, first, kind = _response(column(body))
-    score, verdict = (F.try_variant_get(first, f"$.{name}", "variant") for name in ("anomaly_score", "is_anomaly"))
-    score_kind = F.schema_of_variant(score)
+    parsed = _parsed(df, body)
+    for name in ("anomaly_score", "is_anomaly"):
+        parsed = parsed.withColumn(f"__{name}", F.schema_of_variant(F.try_variant_get("__first", f"$.{name}", "variant")))
+    score, verdict = F.col("__anomaly_score"), F.col("__is_anomaly")
     error = (
-        F.when(variant.isNull(), F.lit("response is not JSON"))
-        .when(items.isNull() | (F.size(items) == 0), F.lit("predictions must be a non-empty list"))
-        .when(~kind.startswith("OBJECT"), F.lit("predictions must be objects"))
+        F.when(~F.col("__kind").startswith("OBJECT"), F.lit("predictions must be objects"))
         .when(score.isNull() | verdict.isNull(), F.lit("anomaly_score and is_anomaly are required"))
-        .when(~(_is_number(score_kind) | (score_kind == "BOOLEAN")), F.lit("anomaly_score must be numeric"))
-        .when(F.schema_of_variant(verdict) != "BOOLEAN", F.lit("is_anomaly must be boolean"))
+        .when(~_is_number(score), F.lit("anomaly_score must be numeric"))
+        .when(verdict != "BOOLEAN", F.lit("is_anomaly must be boolean"))
     )
-    return df.withColumn("error", error).withColumn("valid", F.col("error").isNull())
+    return _verdict(parsed, df.columns, error)

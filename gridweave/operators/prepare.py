@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave import schemas
-from gridweave.functions.scalars import column, is_numeric, safe_double, series_start_text
+from gridweave.functions.scalars import clean_double, column, is_numeric, series_start_text
 from gridweave.operators import series, sizing
 
-RECORD_POINTS = 1_000_000
+RECORD_POINTS = 200_000  # eleven years of half-hours
 
 
 def require_columns(df: DataFrame, *names: str) -> None:
@@ -71,7 +71,7 @@ def split_constant_columns(df: DataFrame, names: Sequence[str]) -> tuple[list[st
 
 def numeric_features(df: DataFrame, names: Sequence[str], *, keep: Sequence[str] = ()) -> DataFrame:
     """Feature columns as doubles with null and NaN read as 0, beside the columns in `keep`."""
-    return df.select(*[column(k) for k in keep], *[safe_double(column(n)).alias(n) for n in names if n not in keep])
+    return df.select(*[column(k) for k in keep], *[clean_double(df, n).alias(n) for n in names if n not in keep])
 
 
 def align_features(df: DataFrame, names: Sequence[str], *, keep: Sequence[str] = ()) -> DataFrame:
@@ -99,7 +99,7 @@ def indexed_panel(
     )
     return indexed.select(
         "series_id", "time_idx", F.col(schemas.TARGET).cast("double").alias(schemas.TARGET),
-        *[safe_double(column(c)).alias(c) for c in covariates],
+        *[clean_double(df, c).alias(c) for c in covariates],
     )
 
 
@@ -126,7 +126,7 @@ def inference_panel(
     return indexed.select(
         "series_id", "time_idx", decoder.alias("is_decoder"),
         F.coalesce(enough, F.when(decoder, demand).otherwise(F.coalesce(demand, F.lit(0.0)))).alias(schemas.TARGET),
-        *[(safe_double(column(c)) if c in df.columns else F.lit(0.0)).alias(c) for c in covariates],
+        *[(clean_double(df, c) if c in df.columns else F.lit(0.0)).alias(c) for c in covariates],
     )
 
 
@@ -179,8 +179,8 @@ def series_records(
             F.when(F.col("__n") <= horizon, too_short).otherwise(F.col("time_idx") < F.col("__n") - horizon)
         )
     cells = F.struct(
-        "time_idx", F.col(schemas.EVENT_TIME).alias("start"), safe_double(column(schemas.TARGET)).alias("y"),
-        *[safe_double(column(c)).alias(f"x{i}") for i, c in enumerate(covariates)],
+        "time_idx", F.col(schemas.EVENT_TIME).alias("start"), clean_double(df, schemas.TARGET).alias("y"),
+        *[clean_double(df, c).alias(f"x{i}") for i, c in enumerate(covariates)],
     )
     packed = indexed.groupBy(series_column, F.floor(F.col("time_idx") / points).alias("segment")).agg(
         F.sort_array(F.collect_list(cells)).alias("cells")

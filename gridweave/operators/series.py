@@ -41,10 +41,11 @@ def series_index(
 
 def _spread_index(df: DataFrame, series: list[str], order: list[str], name: str, size: str | None) -> DataFrame:
     columns = df.columns
+    settings = df.sparkSession.conf
     # The tie-breaks make a run of equal rows divisible; only identical rows depend on the second one.
     ties = ["__content", "__copy"]
     sort_keys = [*series, *order, *ties]
-    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // sizing.ROWS_PER_TASK + 1)
+    ranges = max(int(settings.get("spark.sql.shuffle.partitions")), df.count() // sizing.ROWS_PER_TASK + 1)
     placed = stage(
         df.withColumn("__content", F.xxhash64(*columns))
         .withColumn("__copy", F.monotonically_increasing_id())
@@ -134,8 +135,8 @@ def time_windows(
 ) -> DataFrame:
     """Add window columns over the last `seconds` of time (not rows), for series with gaps.
 
-    Each series is cut into blocks of time at least as long as the frame, and rows are also sent to the
-    next block, so no window task holds more than two blocks of one series.
+    Each series is cut into blocks as long as the frame, and rows are also sent to the next block, so a
+    window task holds two frames of one series. Meant for series on a grid, with few rows per frame.
     """
     series = list(series)
     clock = F.unix_micros(F.col(time).cast("timestamp"))

@@ -10,9 +10,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridweave.session import stage
+
 ROWS_PER_TASK = 2_000_000
 BROADCAST_ROWS = 200_000
 HOT_SHARE = 0.001
@@ -22,17 +24,19 @@ SALTS = 32
 def fits_one_task(df: DataFrame, keys: Sequence[str], row_bound: int | None = None) -> bool:
     """True when no group of `keys` can exceed `ROWS_PER_TASK`.
 
-    `row_bound` is a caller-proven upper bound on the rows of `df` (for example the row count of the
-    table it aggregates), which saves the counting passes.
+    `row_bound` is an upper bound on the rows of any one group that the caller has proven (such as the row
+    count of the table `df` aggregates). Without it the rows are counted, first in all, then by group.
     """
-    if row_bound is not None and row_bound <= ROWS_PER_TASK:
-        return True
-    if row_bound is None and df.count() <= ROWS_PER_TASK:
+    if row_bound is not None:
+        return row_bound <= ROWS_PER_TASK
+    if df.count() <= ROWS_PER_TASK:
         return True
-    if not keys:
-        return False
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return (largest or 0) <= ROWS_PER_TASK
+    return bool(keys) and largest_group(df, keys) <= ROWS_PER_TASK
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group; reads the key columns only and combines before the shuffle."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
@@ -43,8 +47,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
 
 
 def attach_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], row_bound: int | None = None) -> DataFrame:
-    """Left-join a table with unique `keys`: broadcast where its size is measured small, salted otherwise."""
+    """Left-join a table with unique `keys`: broadcast where its size is known to be small, else balanced.
+
+    Without a bound the table is computed once, written, and counted from its files.
+    """
     if row_bound is None:
+        lookup = stage(lookup, "lookup")
         row_bound = lookup.count()
     if row_bound <= BROADCAST_ROWS:
         return df.join(F.broadcast(lookup), list(keys), "left")
@@ -62,48 +70,37 @@ def balanced_left_join(
 ) -> DataFrame:
     """`left.join(right, keys, "left")` without a hot task.
 
-    Small inputs use the plain join, where Spark chooses the strategy from measured sizes. Beyond that,
-    hot keys are found first. Hot keys present on both sides are spread over a grid of salts (each pair
-    of rows meets exactly once); hot keys absent on the right need no join at all; the rest joins plainly.
+    Where no key can be hot this is the plain join, and Spark picks its strategy from measured sizes.
+    Otherwise hot keys are found first and both sides carry two salts: a side's own hot keys are divided
+    by a hash of the row, and the other side repeats its rows of those keys once per salt, so each pair
+    of rows still meets exactly once. Rows with a null key match nothing and are spread as well.
     """
     keys = list(keys)
     if not force and fits_one_task(left, keys, left_bound) and fits_one_task(right, keys, right_bound):
         return left.join(right, keys, "left")
 
     hot = hot_keys(left, keys, "__hot_left").join(hot_keys(right, keys, "__hot_right"), keys, "full")
-    present = right.join(F.broadcast(hot.select(*keys)), keys, "left_semi").groupBy(*keys).agg(F.lit(True).alias("__present"))
-    # Bounded by 2 / HOT_SHARE rows on either side of this join, so the broadcasts below are too.
-    hot = hot.join(present, keys, "left").select(
+    hot = hot.select(
         *keys,
-        F.when(F.col("__hot_left"), SALTS).otherwise(1).alias("__left_salts"),
-        F.when(F.col("__hot_right"), SALTS).otherwise(1).alias("__right_salts"),
-        F.coalesce("__present", F.lit(False)).alias("__present"),
-    )
-    hot = F.broadcast(hot)
-    left_tagged = left.join(hot, keys, "left")
-    right_tagged = right.join(hot, keys, "left")
-
-    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
-    plain = (
-        left_tagged.where(F.col("__present").isNull() & ~keyless).select(*left.columns)
-        .join(right_tagged.where("__present IS NULL").select(*right.columns), keys, "left")
-    )
-    unmatched = left_tagged.where(~F.col("__present") | keyless).select(*left.columns)
-
-    def slot(df: DataFrame, salts: str):
-        return F.pmod(F.xxhash64(*df.columns), F.col(salts)).cast("int")
-
-    def every(salts: str):
-        return F.explode(F.sequence(F.lit(0), F.col(salts) - 1))
-
-    salts = ["__left_salt", "__right_salt"]
-    left_grid = (
-        left_tagged.where("__present")
-        .select(*left.columns, slot(left, "__left_salts").alias(salts[0]), every("__right_salts").alias(salts[1]))
-    )
-    right_grid = (
-        right_tagged.where("__present")
-        .select(*right.columns, every("__left_salts").alias(salts[0]), slot(right, "__right_salts").alias(salts[1]))
+        F.when(F.col("__hot_left"), SALTS).otherwise(1).alias("__ls"),
+        F.when(F.col("__hot_right"), SALTS).otherwise(1).alias("__rs"),
     )
-    hot_pairs = left_grid.join(right_grid, [*keys, *salts], "inner").drop(*salts)
-    return plain.unionByName(hot_pairs).unionByName(unmatched, allowMissingColumns=True)
+    hot = F.broadcast(stage(hot, "hot-keys"))  # at most 2 / HOT_SHARE rows
+
+    def salted(df: DataFrame, divided: str, repeated: str, marker: Column) -> DataFrame:
+        keyless = reduce(or_, [F.col(k).isNull() for k in keys])
+        parts = F.when(keyless, SALTS).otherwise(F.coalesce(divided, F.lit(1)))
+        copies = F.coalesce(repeated, F.lit(1))
+        salts = {
+            divided: F.pmod(F.xxhash64(*df.columns), parts).cast("int"),
+            repeated: F.explode(F.sequence(F.lit(0), copies - 1)),
+        }
+        return df.join(hot, keys, "left").select(
+            *df.columns, marker, salts["__ls"].alias("__l"), salts["__rs"].alias("__r")
+        )
+
+    wide = salted(left, "__ls", "__rs", (F.coalesce("__rs", F.lit(1)) > 1).alias("__repeated"))
+    narrow = salted(right, "__rs", "__ls", F.lit(True).alias("__hit"))
+    # A repeated row has partners by definition; where one of its salts found none, that copy is no result.
+    joined = wide.join(narrow, [*keys, "__l", "__r"], "left").where(~F.col("__repeated") | F.col("__hit").isNotNull())
+    return joined.drop("__l", "__r", "__repeated", "__hit")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridweave.operators import silver
+from gridweave.operators import silver, sizing
 
 HALF_HOUR_MICROS = 1_800_000_000
 RECORDS_PER_PAYLOAD = 500
@@ -27,20 +27,30 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_count(spark: SparkSession, folder: str) -> int:
-    """Rows of the events table, from file footers: bounds every table aggregated from it."""
-    return table(spark, folder, "events").count()
+def slots(spark: SparkSession, folder: str) -> int:
+    """Upper bound on the rows of one half-hourly series: the row count from the file footers, or the
+    half-hours between the first and the last event where that is too many for one task."""
+    rows = table(spark, folder, "events").count()
+    if rows > sizing.ROWS_PER_TASK:
+        first, last = events(spark, folder).agg(F.min("half_hour"), F.max("half_hour")).first()
+        rows = min(rows, int((last - first).total_seconds() // 1800) + 1)
+    return rows
 
 
 def settlement_period(half_hour: Column) -> Column:
     return (F.hour(half_hour) * 2 + F.floor(F.minute(half_hour) / 30) + 1).cast("int")
 
 
+def payload_path() -> Column:
+    """Payload file an event came in: at most 500 events of one day."""
+    block = F.floor(F.col("event_id") / RECORDS_PER_PAYLOAD).cast("string")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    return F.concat(F.lit("bronze/raw/energy/dt="), day, F.lit("/req-"), block, F.lit(".json"))
+
+
 def energy_records(spark: SparkSession, folder: str) -> DataFrame:
     """Each event as one published demand record, with the payload file it came in."""
     e = events(spark, folder)
-    block = F.floor(F.col("event_id") / RECORDS_PER_PAYLOAD)
-    day = F.date_format("ts", "yyyy-MM-dd")
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     return e.select(
         F.struct(
@@ -51,7 +61,7 @@ def energy_records(spark: SparkSession, folder: str) -> DataFrame:
             settlement_period(F.col("half_hour")).alias("settlementPeriod"),
             F.col("cents").cast("int").alias("demand"),
         ).alias("record"),
-        F.concat(F.lit("bronze/raw/energy/dt="), day, F.lit("/req-"), block.cast("string"), F.lit(".json")).alias("source_object_path"),
+        payload_path().alias("source_object_path"),
     )
 
 
@@ -62,35 +72,52 @@ def bronze_energy(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_energy(spark: SparkSession, folder: str) -> DataFrame:
     """Published demand records, flat, with their repeats."""
-    single = energy_records(spark, folder).select("source_object_path", F.array("record").alias("data"))
-    return silver.energy_to_silver(single)
+    e = events(spark, folder)
+    path = payload_path()
+    return e.select(
+        F.col("event_type").alias("dataset_name"), settlement_period(F.col("half_hour")).alias("settlement_period"),
+        F.col("cents").cast("int").alias("demand_mw"), path.alias("source_object_path"), F.col("ts").alias("publish_time_utc"),
+        F.col("half_hour").alias("interval_start_utc"), F.to_date("half_hour").alias("settlement_date"),
+        (F.col("half_hour") + F.expr("INTERVAL 30 MINUTES")).alias("interval_end_utc"),
+        silver.ingestion_date(path, True).alias("bronze_ingestion_date"),
+    )
+
+
+def weather_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly weather stand-in per event type; each type plays one landing of the same forecast."""
+    return events(spark, folder).groupBy("event_type", F.date_trunc("hour", "half_hour").alias("hour")).agg(
+        (F.expr("sum(cents) div count(1)") / 100).alias("temperature_2m"),
+        F.pmod(F.count(F.lit(1)), F.lit(101)).cast("int").alias("relative_humidity_2m"),
+        F.max("value").alias("wind_speed_10m"),
+    )
+
+
+def weather_path(day: Column) -> Column:
+    return F.concat(F.lit("bronze/raw/weather/dt="), day, F.lit("/"), F.col("event_type"), F.lit(".json"))
 
 
 def bronze_weather(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested weather payloads: for each day one landing per event type, with parallel hourly arrays."""
-    hours = (
-        events(spark, folder).groupBy("event_type", F.date_trunc("hour", "half_hour").alias("hour"))
-        .agg(
-            (F.expr("sum(cents) div count(1)") / 100).alias("t"),
-            F.pmod(F.count(F.lit(1)), F.lit(101)).cast("int").alias("h"),
-            F.max("value").alias("w"),
-        )
+    """Nested weather payloads: for each day and landing parallel hourly arrays."""
+    names = ["temperature_2m", "relative_humidity_2m", "wind_speed_10m"]
+    cell = F.struct(F.date_format("hour", "yyyy-MM-dd'T'HH:mm").alias("time"), *names)
+    days = weather_hours(spark, folder).groupBy("event_type", F.date_format("hour", "yyyy-MM-dd").alias("day")).agg(
+        F.sort_array(F.collect_list(cell)).alias("c")  # 24 hours
     )
-    day = F.date_format("hour", "yyyy-MM-dd")
-    cell = F.struct(F.date_format("hour", "yyyy-MM-dd'T'HH:mm").alias("time"), "t", "h", "w")
-    days = hours.groupBy("event_type", day.alias("day")).agg(F.sort_array(F.collect_list(cell)).alias("c"))  # 24 hours
     return days.select(
         *[F.lit(v).alias(k) for k, v in SITE.items()],
-        F.struct(
-            F.col("c.time").alias("time"), F.col("c.t").alias("temperature_2m"),
-            F.col("c.h").alias("relative_humidity_2m"), F.col("c.w").alias("wind_speed_10m"),
-        ).alias("hourly"),
-        F.concat(F.lit("bronze/raw/weather/dt="), "day", F.lit("/"), "event_type", F.lit(".json")).alias("source_object_path"),
+        F.struct(*[F.col(f"c.{n}").alias(n) for n in ["time", *names]]).alias("hourly"),
+        weather_path(F.col("day")).alias("source_object_path"),
     )
 
 
 def silver_weather(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.weather_to_silver(bronze_weather(spark, folder))
+    """Hourly weather, flat, with every landing."""
+    day = F.date_format("hour", "yyyy-MM-dd")
+    return weather_hours(spark, folder).select(
+        *[F.lit(v).alias(k) for k, v in SITE.items()], "temperature_2m", "relative_humidity_2m", "wind_speed_10m",
+        weather_path(day).alias("source_object_path"), F.col("hour").alias("forecast_time_local"),
+        F.to_date("hour").alias("forecast_date"), day.alias("bronze_ingestion_date"),
+    )
 
 
 def demand(spark: SparkSession, folder: str) -> DataFrame:

@@ -46,7 +46,7 @@ def joined(values: str) -> Column:
 
 
 def gold_forecast(spark: SparkSession, folder: str, **options) -> DataFrame:
-    bound = adapters.event_count(spark, folder)
+    bound = adapters.slots(spark, folder)
     return gold.forecast_features(
         adapters.demand(spark, folder), adapters.silver_weather(spark, folder),
         energy_bound=bound, weather_bound=bound, row_bound=bound, **options,
@@ -54,7 +54,7 @@ def gold_forecast(spark: SparkSession, folder: str, **options) -> DataFrame:
 
 
 def gold_anomaly(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.anomaly_features(gold_forecast(spark, folder), row_bound=adapters.event_count(spark, folder))
+    return gold.anomaly_features(gold_forecast(spark, folder), row_bound=adapters.slots(spark, folder))
 
 
 def gold_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,7 +137,7 @@ def weather_view() -> list:
 
 
 def joined_weather(spark, folder, mode):
-    bound = adapters.event_count(spark, folder)
+    bound = adapters.slots(spark, folder)
     return gold.join_weather(
         adapters.demand(spark, folder), adapters.silver_weather(spark, folder), mode=mode, energy_bound=bound, weather_bound=bound
     )
@@ -162,7 +162,7 @@ def gold_calendar(spark, folder):
 def windowed(spark, folder, columns, **options):
     return series.row_windows(
         adapters.demand(spark, folder), BY_SERIES, gold.ROW_ORDER, columns, before=schemas.LOOKBACK,
-        row_bound=adapters.event_count(spark, folder), **options,
+        row_bound=adapters.slots(spark, folder), **options,
     )
 
 
@@ -224,7 +224,8 @@ def rolling_chunked(spark, folder):
     rows = adapters.events(spark, folder).select("event_id", "ts", "value")
     names = gold.lag_and_rolling("value") | gold.rolling_deviation("value")
     out = series.row_windows(rows, [], ["ts", "event_id"], names, before=48, spread=True, chunk_rows=1024)
-    return out.select("event_id", *[six(n) for n in names])
+    # Eight decimals: a mean of 32 two-decimal values may end in a tie at the sixth.
+    return out.select("event_id", *[F.round(n, 8).alias(n) for n in names])
 
 
 @query
@@ -252,7 +253,7 @@ def series_row_index(spark, folder):
 @query
 def chrono_split(spark, folder):
     out = series.chronological_split(
-        adapters.demand(spark, folder), BY_SERIES, IN_TIME, row_bound=adapters.event_count(spark, folder)
+        adapters.demand(spark, folder), BY_SERIES, IN_TIME, row_bound=adapters.slots(spark, folder)
     )
     return gold_view(out, F.col("time_idx").cast("bigint").alias("time_idx"), "split")
 
@@ -260,7 +261,7 @@ def chrono_split(spark, folder):
 @query
 def horizon_split(spark, folder):
     out = series.horizon_split(
-        adapters.demand(spark, folder), BY_SERIES, IN_TIME, 48, row_bound=adapters.event_count(spark, folder)
+        adapters.demand(spark, folder), BY_SERIES, IN_TIME, 48, row_bound=adapters.slots(spark, folder)
     )
     return gold_view(out, F.col("time_idx").cast("bigint").alias("time_idx"), "split")
 
@@ -269,7 +270,7 @@ def horizon_split(spark, folder):
 def encoder_decoder_windows(spark, folder):
     out = series.encoder_decoder_windows(
         adapters.demand(spark, folder), BY_SERIES, IN_TIME, ["demand_mw"], context=48, horizon=48,
-        row_bound=adapters.event_count(spark, folder),
+        row_bound=adapters.slots(spark, folder),
     )
     return out.select(
         "dataset_name", F.col("time_idx").cast("bigint").alias("time_idx"),
@@ -303,7 +304,7 @@ def series_records(spark, folder):
     """Training records: everything but the last 48 points of each series, with covariates."""
     rows = gold.add_calendar(adapters.demand(spark, folder))
     out = prepare.series_records(
-        rows, ["settlement_period", "is_weekend"], horizon=48, row_bound=adapters.event_count(spark, folder)
+        rows, ["settlement_period", "is_weekend"], horizon=48, row_bound=adapters.slots(spark, folder)
     )
     return out.select(
         "dataset_name", "start", joined("target").alias("target"),
@@ -315,7 +316,7 @@ def series_records(spark, folder):
 def series_records_jsonl(spark, folder):
     """The same records for the test channel, written as gzip JSON Lines and read back."""
     rows = gold.add_calendar(adapters.demand(spark, folder))
-    out = prepare.series_records(rows, ["settlement_period"], row_bound=adapters.event_count(spark, folder))
+    out = prepare.series_records(rows, ["settlement_period"], row_bound=adapters.slots(spark, folder))
     path = staging_path(spark, "records")
     writers.write_json_lines(out, path)
     back = spark.read.schema("dataset_name string, start string, target array<double>, dynamic_feat array<array<double>>").json(path)
@@ -375,7 +376,7 @@ def inference_panel(spark, folder):
         "demand_mw", F.when(F.col("settlement_period") != 7, F.col("demand_mw"))
     )
     out = prepare.inference_panel(
-        rows, ["settlement_period", "absent"], context=48, horizon=48, row_bound=adapters.event_count(spark, folder)
+        rows, ["settlement_period", "absent"], context=48, horizon=48, row_bound=adapters.slots(spark, folder)
     )
     return out.select("series_id", F.col("time_idx").cast("bigint").alias("time_idx"), "is_decoder", "demand_mw", "settlement_period", "absent")
 
@@ -415,7 +416,7 @@ def residual_scores(spark, folder):
 def residual_threshold_flags(spark, folder):
     """Share of half-hours over the 95th percentile of their series' scores."""
     scored = naive_residuals(spark, folder)
-    cut = agg.exact_quantiles(scored, BY_SERIES, "anomaly_score", [0.95], row_bound=adapters.event_count(spark, folder))
+    cut = agg.exact_quantiles(scored, BY_SERIES, "anomaly_score", [0.95], row_bound=adapters.slots(spark, folder))
     flagged = scored.join(F.broadcast(cut), "dataset_name")  # one row per series of the metrics table
     out = flagged.groupBy("dataset_name").agg(
         F.max("q0").alias("score_threshold"), F.avg("anomaly_score").alias("score_mean"),
@@ -441,7 +442,7 @@ PROFILE_KEYS = ["dataset_name", "settlement_period", "is_weekend"]
 @query
 def seasonal_profile_forecast(spark, folder):
     """The last 48 half-hours of each series, forecast by the profile of the rows before."""
-    bound = adapters.event_count(spark, folder)
+    bound = adapters.slots(spark, folder)
     parts = series.horizon_split(gold.add_calendar(adapters.demand(spark, folder)), BY_SERIES, IN_TIME, 48, row_bound=bound)
     profile = seasonal.seasonal_profile(parts.where("split = 'train'"), PROFILE_KEYS, row_bound=bound)
     out = seasonal.profile_forecast(parts.where("split = 'holdout'"), profile, PROFILE_KEYS)
@@ -483,7 +484,8 @@ def promotion_report(spark, folder):
 @query
 def registry_approvals(spark, folder):
     """Every customer order as a model version: approval of passed versions, then the latest of each kind."""
-    versions = adapters.table(spark, folder, "orders").select(
+    orders = adapters.table(spark, folder, "orders")
+    versions = orders.select(
         F.col("o_custkey").alias("model_group"), F.col("o_orderkey").alias("run_id"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"), "o_totalprice",
     )
@@ -693,53 +695,53 @@ def forecast_table(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def gbt_forecast(spark, folder):
     rows = forecast_table(spark, folder)
-    model, _ = boosting.train_forecast(rows, trees=20, row_bound=adapters.event_count(spark, folder))
+    model, _ = boosting.train_forecast(rows, trees=20, row_bound=adapters.slots(spark, folder))
     return gold_view(model.predict(rows), "demand_mw", "prediction")
 
 
 @query
 def gbt_forecast_metrics(spark, folder):
-    _, metrics = boosting.train_forecast(forecast_table(spark, folder), trees=20, row_bound=adapters.event_count(spark, folder))
+    _, metrics = boosting.train_forecast(forecast_table(spark, folder), trees=20, row_bound=adapters.slots(spark, folder))
     return metrics
 
 
 @query
 def residual_model_scores(spark, folder):
     rows = gold_table(spark, folder)
-    scorer, _ = boosting.train_residual(rows, trees=20, row_bound=adapters.event_count(spark, folder))
+    scorer, _ = boosting.train_residual(rows, trees=20, row_bound=adapters.slots(spark, folder))
     return scored_view(scorer.score(rows), "predicted_demand_mw")
 
 
 @query
 def iforest_scores(spark, folder):
     rows = gold_table(spark, folder)
-    forest, _ = isolation.train_isolation(rows, row_bound=adapters.event_count(spark, folder))
+    forest, _ = isolation.train_isolation(rows, row_bound=adapters.slots(spark, folder))
     return scored_view(forest.score(rows))
 
 
 @query
 def oneclass_scores(spark, folder):
     rows = gold_table(spark, folder)
-    boundary, _ = linear.train_one_class(rows, row_bound=adapters.event_count(spark, folder))
+    boundary, _ = linear.train_one_class(rows, row_bound=adapters.slots(spark, folder))
     return scored_view(boundary.score(rows))
 
 
 @query
 def pca_scores(spark, folder):
     rows = gold_table(spark, folder)
-    model, _ = linear.train_reconstruction(rows, row_bound=adapters.event_count(spark, folder))
+    model, _ = linear.train_reconstruction(rows, row_bound=adapters.slots(spark, folder))
     return scored_view(model.score(rows))
 
 
 @query
 def seasonal_arx(spark, folder):
-    _, forecast, _ = seasonal.train_seasonal(forecast_table(spark, folder), row_bound=adapters.event_count(spark, folder))
+    _, forecast, _ = seasonal.train_seasonal(forecast_table(spark, folder), row_bound=adapters.slots(spark, folder))
     return forecast
 
 
 @query
 def seasonal_arx_metrics(spark, folder):
-    _, _, metrics = seasonal.train_seasonal(forecast_table(spark, folder), row_bound=adapters.event_count(spark, folder))
+    _, _, metrics = seasonal.train_seasonal(forecast_table(spark, folder), row_bound=adapters.slots(spark, folder))
     return metrics
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridweave.operators import gold, silver
+from gridweave import schemas
+from gridweave.operators import gold, silver, sizing
 from gridweave.sources import readers, writers
 
 
@@ -22,7 +24,29 @@ def silver_to_gold(
     `parity` keeps every landed copy of demand and weather and treats the table as one series.
     """
     energy, weather = readers.read_table(spark, silver_energy), readers.read_table(spark, silver_weather)
-    options = {"mode": "raw", "partition_by": ()} if parity else {"mode": "latest"}
-    demand = energy if parity else silver.latest_energy(energy)
-    writers.write_forecast_gold(gold.forecast_features(demand, weather, **options), forecast)
-    writers.write_anomaly_gold(gold.anomaly_features(readers.read_table(spark, forecast), **options), anomaly)
+    if parity:
+        features = gold.forecast_features(energy, weather, mode="raw", partition_by=())
+        writers.write_forecast_gold(features, forecast)
+        anomalies = gold.anomaly_features(readers.read_table(spark, forecast), mode="raw", partition_by=())
+    else:
+        bound = rows_per_series(energy, weather)
+        features = gold.forecast_features(
+            silver.latest_energy(energy), weather, energy_bound=bound, weather_bound=bound, row_bound=bound
+        )
+        writers.write_forecast_gold(features, forecast)
+        anomalies = gold.anomaly_features(readers.read_table(spark, forecast), row_bound=bound)
+    writers.write_anomaly_gold(anomalies, anomaly)
+
+
+def rows_per_series(energy: DataFrame, weather: DataFrame) -> int:
+    """Bound on the Gold rows of one series and of one hour, from narrow scans of the Silver columns.
+
+    Each demand row meets at most two forecasts per site: one, or two in the hour a local clock repeats.
+    """
+    sites = weather.select("latitude", "longitude").distinct().count()
+    hours = weather.withColumn("hour", F.date_trunc("hour", "forecast_time_local"))
+    return max(
+        sizing.largest_group(energy, [schemas.SERIES]) * max(2 * sites, 1),
+        sizing.largest_group(energy, [schemas.EVENT_TIME]) * 2,
+        sizing.largest_group(hours, ["hour"]),
+    )

@@ -99,10 +99,10 @@ STATEMENTS = {
         lag_48 AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw, round(sd_48, 6) AS rolling_stddev_48_demand_mw,
         round(y - mean_48, 6) AS demand_minus_rolling_mean_mw, round(CASE WHEN mean_48 <> 0 THEN y / mean_48 END, 6) AS demand_to_rolling_mean_ratio,
         round(CASE WHEN sd_48 <> 0 THEN (y - mean_48) / sd_48 END, 6) AS rolling_z_score FROM gold""",
-    "rolling_chunked": """SELECT event_id, round(lag(value, 1) OVER w, 6) AS lag_1_value, round(lag(value, 2) OVER w, 6) AS lag_2_value,
-        round(lag(value, 48) OVER w, 6) AS lag_48_value, round(avg(value) OVER r, 6) AS rolling_mean_48_value,
-        round(min(value) OVER r, 6) AS rolling_min_48_value, round(max(value) OVER r, 6) AS rolling_max_48_value,
-        round(stddev_pop(value) OVER r, 6) AS rolling_stddev_48_value FROM events
+    "rolling_chunked": """SELECT event_id, round(lag(value, 1) OVER w, 8) AS lag_1_value, round(lag(value, 2) OVER w, 8) AS lag_2_value,
+        round(lag(value, 48) OVER w, 8) AS lag_48_value, round(avg(value) OVER r, 8) AS rolling_mean_48_value,
+        round(min(value) OVER r, 8) AS rolling_min_48_value, round(max(value) OVER r, 8) AS rolling_max_48_value,
+        round(stddev_pop(value) OVER r, 8) AS rolling_stddev_48_value FROM events
         WINDOW w AS (ORDER BY ts, event_id), r AS (ORDER BY ts, event_id ROWS BETWEEN 47 PRECEDING AND CURRENT ROW)""",
     "rolling_time_range": f"""SELECT dataset_name, {T}, round(avg(y) OVER r, 6) AS mean_24h, min(y) OVER r AS min_24h, max(y) OVER r AS max_24h,
         count(y) OVER r AS rows_24h FROM d
