@@ -29,6 +29,15 @@ def r2_score(actual: Column, predicted: Column) -> Column:
     return F.when((pairs < 2) | (total == 0), F.lit(0.0)).otherwise(1 - F.try_divide(residual, total))
 
 
+def pair_predictions(actual: DataFrame, predicted: DataFrame, keys: Sequence[str], target: str, prediction: str = "prediction") -> DataFrame:
+    """Truth and prediction of the same position side by side; one without the other is an error."""
+    truth = actual.select(*keys, F.col(target).cast("double").alias("actual"), F.lit(True).alias("__t"))
+    guess = predicted.select(*keys, F.col(prediction).cast("double").alias("predicted"), F.lit(True).alias("__p"))
+    lone = F.col("__t").isNull() | F.col("__p").isNull()
+    failure = F.raise_error(F.lit("truth and prediction do not cover the same rows")).cast("double")
+    return truth.join(guess, list(keys), "full").select(*keys, F.when(lone, failure).otherwise(F.col("actual")).alias("actual"), "predicted")
+
+
 def forecast_metrics(df: DataFrame, groups: Sequence[str], actual: str, predicted: str) -> DataFrame:
     """MAE, RMSE, R-squared and row count per group, in one partial aggregate."""
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridweave import schemas
-from gridweave.functions.aggregates import exact_quantiles, forecast_metrics
+from gridweave.functions.aggregates import exact_quantiles, forecast_metrics, pair_predictions
 from gridweave.operators import prepare, series, sizing
 
 SEASON = 48
@@ -89,7 +89,6 @@ def forecast_seasonal(history: DataFrame, future: DataFrame, coefficients: DataF
     )
     ordered = (
         sizing.attach_lookup(rows, coefficients.select("series_id", "coefficients"), ["series_id"])
-        .where("coefficients IS NOT NULL")
         .repartition("series_id").sortWithinPartitions("series_id", "time_idx")
     )
 
@@ -128,9 +127,8 @@ def train_seasonal(
     kept, dropped = prepare.split_constant_columns(train, covariates)
     coefficients = fit_seasonal(train.drop("split"), kept, row_bound=row_bound, spread=spread)
     forecast = forecast_seasonal(train, test, coefficients, kept)
-    # Positional pairing of truth and prediction, by key.
-    paired = test.select("series_id", "time_idx", TARGET).join(forecast, ["series_id", "time_idx"], "left")
-    metrics = forecast_metrics(paired, ["series_id"], TARGET, "prediction").join(
+    paired = pair_predictions(test, forecast, ["series_id", "time_idx"], TARGET)
+    metrics = forecast_metrics(paired, ["series_id"], "actual", "predicted").join(
         coefficients.select("series_id", F.col("rows").alias("training_rows")), "series_id", "left"
     )
     own = F.when(F.col("training_rows") >= 7 * SEASON, 2).otherwise(1)
@@ -155,8 +153,24 @@ def seasonal_profile(
     return means.join(bands, keys)
 
 
-def profile_forecast(
-    rows: DataFrame, profile: DataFrame, keys: list[str]
-) -> DataFrame:
+def profile_forecast(rows: DataFrame, profile: DataFrame, keys: list[str]) -> DataFrame:
     """Give every row to predict the profile of its slot."""
     return sizing.attach_lookup(rows, profile, keys)
+
+
+def score_sequences(
+    df: DataFrame, profile: DataFrame, *, context: int, horizon: int, row_bound: int | None = None, spread: bool | None = None
+) -> DataFrame:
+    """Horizon forecasts of request sequences of at least `context + horizon` rows per series.
+
+    `profile` is keyed by `series_id`, `settlement_period` and `is_weekend`. Each series' profile is shifted by how
+    far its own history lies from it.
+    """
+    keys = ["series_id", "settlement_period", "is_weekend"]
+    panel = prepare.inference_panel(df, keys[1:], context=context, horizon=horizon, row_bound=row_bound, spread=spread)
+    known = profile_forecast(panel, profile.withColumns({k: F.col(k).cast("double") for k in keys[1:]}), keys)
+    shift = F.avg(F.when(~F.col("is_decoder"), F.col(TARGET) - F.col("mean")))
+    shifts = known.groupBy("series_id").agg(F.coalesce(shift, F.lit(0.0)).alias("__shift"))
+    ahead = sizing.attach_lookup(known.where("is_decoder"), shifts, ["series_id"])
+    bands = [c for c in profile.columns if c == "mean" or c.startswith("q")]
+    return ahead.select("series_id", "time_idx", *[(F.col(b) + F.col("__shift")).alias(b) for b in bands])

@@ -192,3 +192,43 @@ def series_records(
         F.col("cells.y").alias("target"),
         *([features.alias("dynamic_feat")] if covariates else []),
     )
+
+
+def series_channels(
+    df: DataFrame, horizon: int, *, series_column: str = schemas.SERIES, row_bound: int | None = None, spread: bool | None = None
+) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Training and test records of all series: (train, test, kept covariates, dropped constant covariates)."""
+    rows = with_target(df)
+    names = preferred_columns(rows)
+    kept, dropped = split_constant_columns(numeric_features(rows, names), names)
+    options = {"series_column": series_column, "row_bound": row_bound, "spread": spread}
+    return series_records(rows, kept, horizon=horizon, **options), series_records(rows, kept, **options), kept, dropped
+
+
+def sequence_dataset(
+    df: DataFrame, *, context: int, horizon: int, series_column: str | None = schemas.SERIES,
+    row_bound: int | None = None, spread: bool | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame, list[str], list[str]]:
+    """Encoder/decoder samples of all series: (training windows, validation windows, rejected series, kept, dropped).
+
+    Series need `context + horizon + 1` rows. Training stops `horizon` rows before the end of a series; its
+    validation sample is the last full window. The target comes normalised per series as well.
+    """
+    rows = with_target(df)
+    names = preferred_columns(rows)
+    kept, dropped = split_constant_columns(rows, names)
+    panel = indexed_panel(rows, kept, series_column=series_column, row_bound=row_bound, spread=spread)
+    panel, rejected = series.reject_short(panel, ["series_id"], context + horizon + 1)
+    ends = panel.groupBy("series_id").agg(F.max("time_idx").alias("__last"))
+    panel = sizing.attach_lookup(panel, ends, ["series_id"])
+    scaled = normalise_target(panel.where(F.col("time_idx") <= F.col("__last") - horizon))
+    values = [schemas.TARGET, *kept]
+    options = {"context": context, "horizon": horizon, "row_bound": row_bound, "spread": spread}
+    training = series.encoder_decoder_windows(
+        scaled.withColumnRenamed("time_idx", "__at"), ["series_id"], ["__at"], [f"{schemas.TARGET}_normalised", *values], **options
+    )
+    tail = panel.where(F.col("time_idx") > F.col("__last") - context - horizon)
+    validation = series.encoder_decoder_windows(
+        tail.withColumnRenamed("time_idx", "__at"), ["series_id"], ["__at"], values, context=context, horizon=horizon, spread=False
+    )
+    return training, validation.drop("time_idx"), rejected, kept, dropped

@@ -66,7 +66,9 @@ def _spread_index(df: DataFrame, series: list[str], order: list[str], name: str,
         F.sum("__rows").over(Window.partitionBy(*series)).alias("__size"),
     )
     # Null-safe, so that rows without a series name form a series too. A key holds one range at most.
-    starts = starts.withColumnsRenamed({c: f"__of_{c}" for c in [*series, "__range"]})
+    starts = stage(starts.withColumnsRenamed({c: f"__of_{c}" for c in [*series, "__range"]}), "starts")
+    if starts.count() <= sizing.BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in [*series, "__range"]]
     numbered = placed.join(starts, same)
     index = F.col("__place") - F.col("__first") + F.col("__before")

@@ -60,7 +60,9 @@ def refresh_gold(spark: SparkSession, silver_energy: str, silver_weather: str, g
         session = batch.sparkSession
         touched = batch.select(F.col("settlement_date").alias("d")).where("d IS NOT NULL").distinct()
         energy = readers.read_table(session, silver_energy)
-        per_day = silver.latest_energy(energy).groupBy("dataset_name", "settlement_date").agg(F.count(F.lit(1)).alias("n"))
+        # Rows left after choosing versions, counted from three narrow columns.
+        version_key = F.struct("interval_start_utc", "settlement_period")
+        per_day = energy.groupBy("dataset_name", "settlement_date").agg(F.count_distinct(version_key).alias("n"))
         rewrite, history = affected_dates(per_day, touched)
         dates = rewrite.select("settlement_date").distinct()
         needed = history.select("settlement_date").distinct()

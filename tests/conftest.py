@@ -11,12 +11,12 @@ from gridweave.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint"))).getOrCreate()
+        .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)

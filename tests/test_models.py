@@ -187,3 +187,23 @@ def test_seasonal_profile(spark, table):
     out = seasonal.profile_forecast(parts.where("split = 'holdout'"), profile, keys).toPandas()
     assert len(out) == 48 and (out["q0"] <= out["q1"]).all() and (out["q1"] <= out["q2"]).all()
     assert (out["demand_mw"] - out["mean"]).abs().mean() < 100
+
+
+def test_sequence_scoring(spark, table):
+    history = table.where("demand_mw < 5000").withColumnRenamed("dataset_name", "series_id")
+    profile = seasonal.seasonal_profile(history, ["series_id", "settlement_period", "is_weekend"])
+    request = table.where("demand_mw < 5000").orderBy(F.desc("interval_start_utc")).limit(96).withColumn("demand_mw", F.col("demand_mw") + 100)
+    out = seasonal.score_sequences(request, profile, context=48, horizon=48).toPandas()
+    assert len(out) == 48 and (out["q0"] <= out["q2"]).all()
+    assert out["mean"].mean() == pytest.approx(1100, abs=15)
+    with pytest.raises(Exception, match="at least 97"):
+        seasonal.score_sequences(request, profile, context=49, horizon=48).collect()
+
+
+def test_unpaired_predictions_are_an_error(spark):
+    from gridweave.functions.aggregates import pair_predictions
+
+    truth, guess = spark.sql("SELECT id AS k, 1.0D AS y FROM range(3)"), spark.sql("SELECT id AS k, 2.0D AS prediction FROM range(3)")
+    assert pair_predictions(truth, guess, ["k"], "y").count() == 3
+    with pytest.raises(Exception, match="same rows"):
+        pair_predictions(truth, guess.where("k < 2"), ["k"], "y").collect()

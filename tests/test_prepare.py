@@ -109,3 +109,22 @@ def test_group_normaliser(spark):
     rows = {(r.series_id, r.demand_mw): r for r in prepare.normalise_target(frame).collect()}
     assert rows["a", 3.0].demand_mw_normalised == 1.0 and rows["a", 3.0].target_mean == 2.0
     assert rows["flat", 5.0].target_scale == 1.0 and rows["flat", 5.0].demand_mw_normalised == 0.0
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_series_channels(gold, spread):
+    train, test, kept, dropped = prepare.series_channels(gold, 4, spread=spread)
+    assert kept == ["settlement_period", "temperature_2m"] and dropped == ["relative_humidity_2m", "wind_speed_10m"]
+    sizes = lambda df: {r.dataset_name: (len(r.target), len(r.dynamic_feat)) for r in df.collect()}
+    assert sizes(train) == {"a": (25, 2), "b": (6, 2)} and sizes(test) == {"a": (29, 2), "b": (10, 2)}
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_sequence_dataset(gold, spread):
+    training, validation, rejected, kept, dropped = prepare.sequence_dataset(gold, context=8, horizon=3, spread=spread)
+    assert "settlement_period" in kept and "relative_humidity_2m" in dropped
+    assert [(r.series_id, r.row_count, r.required_rows) for r in rejected.collect()] == [("b", 10, 12)]
+    assert training.count() == 26 - 11 + 1
+    last = validation.collect()
+    assert len(last) == 1 and last[0].demand_mw_decoder == [270.0, 280.0, 290.0]
+    assert len(training.first().demand_mw_normalised_encoder) == 8
