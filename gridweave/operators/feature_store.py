@@ -86,4 +86,5 @@ def upsert(stored: DataFrame | None, incoming: DataFrame, *, event_time: str = s
 def select_backfill(gold: DataFrame, max_records: int | None = None) -> DataFrame:
     """Rows to backfill: the latest `max_records` of the table, or all of it."""
     keyed = gold.withColumn("__period", F.coalesce(F.col("settlement_period"), F.lit(0)))
-    return series.latest_rows_overall(keyed, [schemas.EVENT_TIME, "__period"], max_records).drop("__period")
+    order = [schemas.EVENT_TIME, "__period", *([schemas.SERIES] if schemas.SERIES in gold.columns else [])]
+    return series.latest_rows_overall(keyed, order, max_records).drop("__period")

@@ -11,7 +11,7 @@ from gridweave import schemas
 from gridweave.functions import aggregates as agg
 from gridweave.functions import scalars
 from gridweave.models import boosting, isolation, linear, seasonal
-from gridweave.operators import evaluation, feature_store, gold, ingestion, payloads, prepare, series, silver
+from gridweave.operators import evaluation, feature_store, gold, ingestion, payloads, prepare, series, silver, sizing
 from gridweave.plans import adapters
 from gridweave.session import configure, stage, staging_path
 from gridweave.sources import readers, writers
@@ -153,6 +153,16 @@ def gold_join_latest(spark, folder):
     return gold_view(joined_weather(spark, folder, "latest"), "demand_mw", *weather_view())
 
 
+@query
+def gold_join_balanced(spark, folder):
+    """The fan-out join by its large-table plan: hot hours found first, both sides salted."""
+    w = adapters.silver_weather(spark, folder)
+    hourly = w.select(F.date_trunc("hour", "forecast_time_local").alias("hour"), "temperature_2m", "source_object_path")
+    demand = adapters.demand(spark, folder).withColumn("hour", F.date_trunc("hour", "interval_start_utc"))
+    out = sizing.balanced_left_join(demand, hourly, ["hour"], force=True)
+    return gold_view(out, "demand_mw", six("temperature_2m"), "source_object_path")
+
+
 @query
 def gold_calendar(spark, folder):
     orders = adapters.table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("t"))
@@ -327,6 +337,19 @@ def series_records_jsonl(spark, folder):
     )
 
 
+@query
+def sequence_dataset(spark, folder):
+    """Encoder/decoder training windows of every series long enough, the last 48 half-hours held out."""
+    training, _, _, _, _ = prepare.sequence_dataset(
+        gold.add_calendar(adapters.demand(spark, folder)), context=48, horizon=48, row_bound=adapters.slots(spark, folder)
+    )
+    return training.select(
+        "series_id", F.col("time_idx").cast("bigint").alias("time_idx"), joined("demand_mw_encoder").alias("encoder"),
+        joined("settlement_period_decoder").alias("periods_ahead"),
+        F.round(F.col("demand_mw_normalised_decoder")[0], 6).alias("first_normalised"),
+    )
+
+
 @query
 def constant_columns(spark, folder):
     rows = gold.add_calendar(adapters.demand(spark, folder)).withColumn("empty", F.lit(None).cast("double"))
@@ -449,6 +472,30 @@ def seasonal_profile_forecast(spark, folder):
     return gold_view(out, "demand_mw", six("mean"), six("q0"), six("q1"), six("q2"))
 
 
+@query
+def sequence_scores(spark, folder):
+    """Profile forecasts of the last 48 half-hours of each series, shifted by its 48 half-hours before."""
+    bound = adapters.slots(spark, folder)
+    rows = gold.add_calendar(adapters.demand(spark, folder))
+    keys = ["series_id", *PROFILE_KEYS[1:]]
+    profile = seasonal.seasonal_profile(rows.withColumnRenamed("dataset_name", "series_id"), keys, row_bound=bound)
+    request = series.latest_rows(rows, BY_SERIES, IN_TIME, 96)
+    out = seasonal.score_sequences(request, profile, context=48, horizon=48, row_bound=bound)
+    return out.select("series_id", F.col("time_idx").cast("bigint").alias("time_idx"), six("mean"), six("q0"), six("q1"), six("q2"))
+
+
+@query
+def metrics_documents(spark, folder):
+    """Metrics rows written as a run's document and as history, and scanned back from both."""
+    measured = agg.forecast_metrics(seasonal_naive(spark, folder), METRICS_GROUP, "demand_mw", "prediction")
+    path = staging_path(spark, "run")
+    writers.write_metrics(measured, path, f"{path}/history")
+    document = readers.read_metrics(spark, f"{path}/evaluation.json", names="*.json").select("dataset_name", "mae", "test_rows")
+    history = spark.read.parquet(f"{path}/history").select("dataset_name", "rmse")
+    both = document.join(history, "dataset_name")
+    return both.select("dataset_name", six("mae"), six("rmse"), "test_rows")
+
+
 def runs(spark, folder):
     """One forecast run and one anomaly run per series, measured on the seasonal-naive predictor."""
     forecast = agg.forecast_metrics(seasonal_naive(spark, folder), METRICS_GROUP, "demand_mw", "prediction").select(
@@ -537,6 +584,24 @@ def feature_group_upsert(spark, folder):
     return feature_store.upsert(None, incoming).select("feature_record_id", "demand_mw")
 
 
+@query
+def feature_group_store(spark, folder):
+    """Demand rows appended to the offline store twice, the second time as new versions, and read by record."""
+    kinds = {n: schemas.FORECAST_FEATURES[n] for n in ("dataset_name", "interval_start_utc", "settlement_period", "demand_mw")}
+    rows = adapters.demand(spark, folder)
+    path = staging_path(spark, "store")
+    writers.write_feature_group(feature_store.to_feature_group(rows, kinds), path)
+    again = rows.where("settlement_period <= 24").withColumn("demand_mw", F.col("demand_mw") + 1)
+    writers.write_feature_group(feature_store.to_feature_group(again, kinds), path)
+    return feature_store.upsert(None, spark.read.parquet(path)).select("feature_record_id", "settlement_period", "demand_mw")
+
+
+@query
+def backfill_latest(spark, folder):
+    """The latest 1000 demand rows of the whole table."""
+    return gold_view(feature_store.select_backfill(adapters.demand(spark, folder), 1000), "demand_mw")
+
+
 @query
 def feature_value_text(spark, folder):
     """Doubles over a wide range of magnitudes as feature text."""

@@ -82,6 +82,9 @@ STATEMENTS = {
     "gold_join_fanout": f"""SELECT dataset_name, {T}, y AS demand_mw, strftime(h, '%Y-%m-%d %H:%M:%S') AS weather_timestamp,
         round(temperature_2m, 6) AS temperature_2m, relative_humidity_2m, round(wind_speed_10m, 6) AS wind_speed_10m
         FROM d LEFT JOIN w ON w.h = date_trunc('hour', d.t)""",
+    "gold_join_balanced": f"""SELECT dataset_name, {T}, y AS demand_mw, round(temperature_2m, 6) AS temperature_2m,
+        'bronze/raw/weather/dt=' || strftime(h, '%Y-%m-%d') || '/' || event_type || '.json' AS source_object_path
+        FROM d LEFT JOIN w ON w.h = date_trunc('hour', d.t)""",
     "gold_join_latest": f"SELECT dataset_name, {T}, y AS demand_mw, {WEATHER} FROM gold",
     "gold_calendar": """SELECT o_orderkey, CAST(date_part('hour', o_orderdate) AS INTEGER) AS interval_hour,
         CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS day_of_week, CAST(month(o_orderdate) AS INTEGER) AS month_of_year,
@@ -125,6 +128,13 @@ STATEMENTS = {
         FROM n WHERE i < n - 48 GROUP BY 1""",
     "series_records_jsonl": """SELECT dataset_name, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS points, CAST(sum(y) AS BIGINT) AS demand,
         CAST(sum(sp) AS BIGINT) AS periods FROM d GROUP BY 1""",
+    "sequence_dataset": """SELECT a.dataset_name AS series_id, a.i AS time_idx,
+        string_agg(CAST(x.y AS VARCHAR), ',' ORDER BY x.i) FILTER (WHERE x.i < a.i + 48) AS encoder,
+        string_agg(CAST(x.sp AS VARCHAR), ',' ORDER BY x.i) FILTER (WHERE x.i >= a.i + 48) AS periods_ahead,
+        round((max(x.y) FILTER (WHERE x.i = a.i + 48) - min(s.m)) / min(s.s), 6) AS first_normalised
+        FROM n a JOIN n x ON x.dataset_name = a.dataset_name AND x.i BETWEEN a.i AND a.i + 95
+        JOIN (SELECT dataset_name, avg(y) AS m, stddev_pop(y) AS s FROM n WHERE i < n - 48 GROUP BY 1) s ON s.dataset_name = a.dataset_name
+        WHERE a.i + 96 <= a.n - 48 AND a.n >= 97 GROUP BY 1, 2""",
     "constant_columns": """SELECT u.c AS column_name, u.k AS is_constant FROM (
         SELECT count(DISTINCT sp) = 1 AS a, count(DISTINCT y) = 1 AS b, count(DISTINCT date_part('hour', t)) = 1 AS c, count(DISTINCT dow) = 1 AS x,
         count(DISTINCT month(t)) = 1 AS m, count(DISTINCT we) = 1 AS v FROM d) s,
@@ -154,6 +164,13 @@ STATEMENTS = {
         round(q0, 6) AS q0, round(q1, 6) AS q1, round(q2, 6) AS q2 FROM n h LEFT JOIN (SELECT dataset_name, sp, we, avg(y) AS m,
         quantile_cont(y::DOUBLE, 0.1) AS q0, quantile_cont(y::DOUBLE, 0.5) AS q1, quantile_cont(y::DOUBLE, 0.9) AS q2 FROM n WHERE i < n - 48 GROUP BY 1, 2, 3) p
         ON p.dataset_name = h.dataset_name AND p.sp = h.sp AND p.we = h.we WHERE h.i >= h.n - 48""",
+    "sequence_scores": """WITH p AS (SELECT dataset_name, sp, we, avg(y) AS m, quantile_cont(y::DOUBLE, 0.1) AS q0, quantile_cont(y::DOUBLE, 0.5) AS q1,
+        quantile_cont(y::DOUBLE, 0.9) AS q2 FROM n GROUP BY 1, 2, 3), r AS (SELECT n.dataset_name, i - (n.n - 96) AS k, y, m, q0, q1, q2 FROM n
+        JOIN p ON p.dataset_name = n.dataset_name AND p.sp = n.sp AND p.we = n.we WHERE i >= n.n - 96),
+        v AS (SELECT dataset_name, avg(y - m) AS v FROM r WHERE k < 48 GROUP BY 1)
+        SELECT r.dataset_name AS series_id, k AS time_idx, round(m + v, 6) AS mean, round(q0 + v, 6) AS q0, round(q1 + v, 6) AS q1, round(q2 + v, 6) AS q2
+        FROM r JOIN v ON v.dataset_name = r.dataset_name WHERE k >= 48""",
+    "metrics_documents": "SELECT dataset_name, round(mae, 6) AS mae, round(rmse, 6) AS rmse, n AS test_rows FROM fm",
     "threshold_checks": """SELECT run_id, model_family, check_order, name, round(observed, 6) AS observed, comparator, target, passed FROM checked""",
     "promotion_report": """SELECT run_id, model_family, bool_and(passed) AS passed, CASE WHEN bool_and(passed) THEN 'approve' ELSE 'manual_review' END AS recommendation,
         count(*) AS checks, coalesce(string_agg(name, ',' ORDER BY check_order) FILTER (WHERE NOT passed), '') AS failing,
@@ -170,6 +187,9 @@ STATEMENTS = {
         count(*) AS n FROM e GROUP BY 1""",
     "feature_group_upsert": """SELECT event_type || '|' || strftime(b, '%Y-%m-%dT%H:%M:%SZ') AS feature_record_id, CAST(c AS INTEGER) AS demand_mw FROM rec
         QUALIFY row_number() OVER (PARTITION BY event_type, b ORDER BY ts DESC, path DESC, c DESC) = 1""",
+    "feature_group_store": """SELECT dataset_name || '|' || strftime(t, '%Y-%m-%dT%H:%M:%SZ') AS feature_record_id, CAST(sp AS BIGINT) AS settlement_period,
+        (y + CASE WHEN sp <= 24 THEN 1 ELSE 0 END)::DOUBLE AS demand_mw FROM d""",
+    "backfill_latest": f"SELECT dataset_name, {T}, y AS demand_mw FROM d ORDER BY t DESC, dataset_name DESC LIMIT 1000",
     "feature_value_text": """SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS VARCHAR) AS plain, CAST(l_extendedprice * 4096.0::DOUBLE AS VARCHAR) AS large,
         CAST(l_extendedprice * 1e13::DOUBLE AS VARCHAR) AS huge, CAST(l_extendedprice / 1048576.0::DOUBLE AS VARCHAR) AS small,
         CAST(l_extendedprice * l_discount / 1e12::DOUBLE AS VARCHAR) AS tiny FROM lineitem""",

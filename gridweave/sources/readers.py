@@ -57,10 +57,13 @@ def read_latest_partition(spark: SparkSession, path: str, partition: str = "sett
     return frame.where(F.col(partition) == F.lit(newest))
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Metrics documents of training runs (`evaluation.json` in any folder below `path`)."""
-    reader = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", "*evaluation*.json").json(path)
+def read_metrics(spark: SparkSession, path: str, *, names: str = "*evaluation*.json") -> DataFrame:
+    """Metrics documents of training runs: `evaluation.json` in any folder below `path`, pretty-printed or not.
+
+    Spark writes the document as a folder of part files; pass that folder with `names="*.json"`.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names)
+    return reader.option("multiLine", str(names != "*.json").lower()).json(path)
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
