@@ -13,6 +13,7 @@ from gridweave.functions.aggregates import forecast_metrics
 from gridweave.functions.scalars import safe_double
 from gridweave.models import scoring
 from gridweave.operators import prepare, series
+from gridweave.session import stage
 
 
 @dataclass
@@ -65,15 +66,22 @@ def train_forecast(
     """Fit on the first four fifths of the timeline, measure on the rest."""
     rows = prepare.with_target(gold)
     features = prepare.numeric_columns(rows, excluded)
-    parts = series.chronological_split(
-        rows, [], [schemas.EVENT_TIME, schemas.SERIES, "settlement_period"], row_bound=row_bound, spread=spread
-    )
-    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
+    train, test = split_table(rows, features, row_bound=row_bound, spread=spread)
     model = fit_demand(train, features, minimum_rows=5, trees=trees)
     metrics = run_metrics(model, train, test, "forecast_algorithm")
     return model, metrics
 
 
+def split_table(
+    rows: DataFrame, features: list[str], *, row_bound: int | None = None, spread: bool | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows of the whole timeline: target and features only, written once for the passes of a fit."""
+    order = [c for c in (schemas.EVENT_TIME, schemas.SERIES, "settlement_period") if c in rows.columns]
+    parts = series.chronological_split(rows, [], order, row_bound=row_bound, spread=spread)
+    parts = stage(prepare.numeric_features(parts, features, keep=[schemas.TARGET, "split"]), "split")
+    return parts.where("split = 'train'"), parts.where("split = 'test'")
+
+
 def run_metrics(model: DemandModel, train: DataFrame, test: DataFrame, tag: str) -> DataFrame:
     measured = forecast_metrics(model.predict(test), [], schemas.TARGET, "prediction")
     return measured.select(
@@ -112,20 +120,17 @@ def train_residual(
     """Fit the demand model, then set the threshold at the 95th percentile of all residual scores."""
     rows = prepare.with_target(gold)
     features = prepare.numeric_columns(rows, [*schemas.ANOMALY_EXCLUDED, schemas.TARGET])
-    parts = series.chronological_split(
-        rows, [], [schemas.EVENT_TIME, schemas.SERIES, "settlement_period"], row_bound=row_bound, spread=spread
-    )
-    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
-    counts = parts.agg(F.count_if(F.col("split") == "train"), F.count_if(F.col("split") == "test"), F.stddev_pop(schemas.TARGET)).first()
-    if counts[0] + counts[1] < 3:
+    whole = rows.agg(F.count(F.lit(1)), F.stddev_pop(schemas.TARGET)).first()
+    if whole[0] < 3:
         raise ValueError("at least three rows are required for residual scoring")
+    train, test = split_table(rows, features, row_bound=row_bound, spread=spread)
     model = fit_demand(train, features, minimum_rows=32, trees=trees)
-    scorer = ResidualScorer(model, max(counts[2], 1.0), 0.0)
-    scored = scorer.residuals(rows)
-    scorer.threshold = scoring.score_threshold(scored, 0.95, row_bound=row_bound, spread=spread)
-    flagged = scoring.flag(scored, scorer.threshold, scoring.ABOVE)
+    scorer = ResidualScorer(model, max(whole[1], 1.0), 0.0)
+    scorer.threshold, flagged = scoring.fit_threshold(
+        scorer.residuals(rows), 0.95, scoring.ABOVE, row_bound=row_bound, spread=spread
+    )
     metrics = scoring.anomaly_metrics(
-        flagged, scorer.threshold, algorithm="residual_scoring", bootstrap_rows=F.lit(counts[0]), features=features
+        flagged, scorer.threshold, algorithm="residual_scoring", bootstrap_rows=F.lit(train.count()), features=features
     )
     fit = run_metrics(model, train, test, "regression_algorithm").drop("training_rows", "feature_columns")
     return scorer, metrics.join(F.broadcast(fit))  # one row beside one row

@@ -120,8 +120,7 @@ class IsolationForest:
 
 
 def train_isolation(
-    gold: DataFrame, *, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED,
-    row_bound: int | None = None, spread: bool | None = None,
+    gold: DataFrame, *, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED, spread: bool | None = None
 ) -> tuple[IsolationForest, DataFrame]:
     """Fit on (a repeated tiny or) the whole table; flag below the 5th percentile of its scores."""
     prepare.require_rows(gold)
@@ -132,10 +131,9 @@ def train_isolation(
     samples = tree_samples(training, features, rows_used, trees=trees, sample=sample, seed=seed)
     nodes = grow_trees(samples, sample=sample, seed=seed).toPandas()
     forest = IsolationForest(features, nodes, min(sample, rows_used))
-    scored = forest.scores(gold)
-    forest.threshold = scoring.score_threshold(scored, 0.05, row_bound=row_bound or rows, spread=spread)
+    forest.threshold, flagged = scoring.fit_threshold(forest.scores(gold), 0.05, scoring.BELOW, row_bound=rows, spread=spread)
     metrics = scoring.anomaly_metrics(
-        scoring.flag(scored, forest.threshold, scoring.BELOW), forest.threshold, algorithm="isolation_forest",
+        flagged, forest.threshold, algorithm="isolation_forest",
         bootstrap_rows=scoring.bootstrap_rows(MINIMUM_ROWS), features=features,
     )
     return forest, metrics

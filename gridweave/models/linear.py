@@ -13,16 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave import schemas
-from gridweave.functions.aggregates import safe_scale, standardise
+from gridweave.functions.aggregates import standardise
 from gridweave.functions.scalars import clean_double, column
 from gridweave.models import scoring
 from gridweave.operators import prepare
 
 
 def column_stats(df: DataFrame, names: list[str]) -> tuple[list[float], list[float]]:
-    """Mean and population deviation of every feature in one pass (a zero deviation becomes 1)."""
+    """Mean and population deviation of every feature, in one pass."""
     values = [clean_double(df, n) for n in names]
-    row = df.agg(*[F.avg(v) for v in values], *[safe_scale(F.stddev_pop(v)) for v in values]).first()
+    row = df.agg(*[F.avg(v) for v in values], *[F.stddev_pop(v) for v in values]).first()
     return list(row[: len(names)]), list(row[len(names):])
 
 
@@ -86,8 +86,8 @@ def train_one_class(
     prepare.require_rows(gold)
     features = prepare.numeric_columns(gold, schemas.ANOMALY_EXCLUDED)
     means, deviations = column_stats(prepare.repeat_to_minimum(gold, 16, [schemas.EVENT_TIME]), features)
-    varying = prepare.split_constant_columns(prepare.numeric_features(gold, features), features)[0]
-    gamma = 1.0 / max(len(varying), 1)  # standardised columns have variance 1, constant ones 0
+    # Standardised columns have variance 1, constant ones 0.
+    gamma = 1.0 / max(sum(d > 0 for d in deviations), 1)
     project = fourier_map(len(features), gamma, size, seed)
 
     def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,10 +100,11 @@ def train_one_class(
     sums = table.mapInPandas(partial_sums, "position int, total double, rows long")
     centre = sums.groupBy("position").agg((F.sum("total") / F.sum("rows")).alias("mean")).orderBy("position")
     boundary = OneClassBoundary(features, means, deviations, gamma, [r["mean"] for r in centre.collect()], seed)
-    scored = boundary.scores(gold)
-    boundary.threshold = scoring.score_threshold(scored, 0.95, row_bound=row_bound, spread=spread)
+    boundary.threshold, flagged = scoring.fit_threshold(
+        boundary.scores(gold), 0.95, scoring.ABOVE, row_bound=row_bound, spread=spread
+    )
     metrics = scoring.anomaly_metrics(
-        scoring.flag(scored, boundary.threshold, scoring.ABOVE), boundary.threshold, algorithm="one_class_kernel",
+        flagged, boundary.threshold, algorithm="one_class_kernel",
         bootstrap_rows=scoring.bootstrap_rows(16), features=features,
     )
     return boundary, metrics
@@ -157,10 +158,11 @@ def train_reconstruction(
     vectors = training.select(array_to_vector(standard_array(training, features, means, deviations)).alias("x"))
     size = max(1, min(latent, len(features) - 1))
     model = Reconstruction(features, means, deviations, PCA(k=size, inputCol="x", outputCol="z").fit(vectors))
-    scored = model.scores(gold)
-    model.threshold = scoring.score_threshold(scored, quantile, row_bound=row_bound, spread=spread)
+    model.threshold, flagged = scoring.fit_threshold(
+        model.scores(gold), quantile, scoring.ABOVE, row_bound=row_bound, spread=spread
+    )
     metrics = scoring.anomaly_metrics(
-        scoring.flag(scored, model.threshold, scoring.ABOVE), model.threshold, algorithm="linear_autoencoder",
+        flagged, model.threshold, algorithm="linear_autoencoder",
         bootstrap_rows=scoring.bootstrap_rows(64), features=features, dropped=dropped,
     )
     return model, metrics

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridweave.functions.aggregates import exact_quantiles
 from gridweave.functions.scalars import clean_double, column
+from gridweave.session import stage
 
 ABOVE, BELOW = ">", "<"
 
@@ -23,13 +24,18 @@ def feature_vector(df: DataFrame, names: Sequence[str]) -> Column:
     return array_to_vector(feature_array(df, names))
 
 
-def score_threshold(
-    scored: DataFrame, probability: float, *, row_bound: int | None = None, spread: bool | None = None
-) -> float:
-    """Exact quantile of `anomaly_score` over the training rows."""
-    return exact_quantiles(
-        scored, [], "anomaly_score", [probability], row_bound=row_bound, spread=spread
+def fit_threshold(
+    scored: DataFrame, probability: float, direction: str, *, row_bound: int | None = None, spread: bool | None = None
+) -> tuple[float, DataFrame]:
+    """Exact quantile of the training scores, and the scores with their flags.
+
+    The scores are computed once and written (one column), since threshold and metrics both read them.
+    """
+    scores = stage(scored.select("anomaly_score"), "scores")
+    threshold = exact_quantiles(
+        scores, [], "anomaly_score", [probability], row_bound=row_bound, spread=spread
     ).first()["q0"]
+    return threshold, flag(scores, threshold, direction)
 
 
 def flag(scored: DataFrame, threshold: float, direction: str) -> DataFrame:

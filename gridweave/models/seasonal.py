@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gridweave import schemas
 from gridweave.functions.aggregates import exact_quantiles, forecast_metrics, pair_predictions
 from gridweave.operators import prepare, series, sizing
+from gridweave.session import stage
 
 SEASON = 48
 TARGET = schemas.TARGET
@@ -123,6 +124,7 @@ def train_seasonal(
     parts = series.chronological_split(
         panel.withColumnRenamed("time_idx", "__at"), ["series_id"], ["__at"], minimum_rows=3, row_bound=row_bound, spread=spread
     ).drop("__at")
+    parts = stage(parts, "split")
     train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
     kept, dropped = prepare.split_constant_columns(train, covariates)
     coefficients = fit_seasonal(train.drop("split"), kept, row_bound=row_bound, spread=spread)

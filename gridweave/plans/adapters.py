@@ -37,6 +37,12 @@ def slots(spark: SparkSession, folder: str) -> int:
     return rows
 
 
+def few_rows(spark: SparkSession, folder: str) -> int | None:
+    """Row count of the events where it bounds any group of a derived table; None asks for a measurement."""
+    rows = table(spark, folder, "events").count()
+    return rows if rows <= sizing.ROWS_PER_TASK else None
+
+
 def settlement_period(half_hour: Column) -> Column:
     return (F.hour(half_hour) * 2 + F.floor(F.minute(half_hour) / 30) + 1).cast("int")
 

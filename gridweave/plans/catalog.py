@@ -46,10 +46,10 @@ def joined(values: str) -> Column:
 
 
 def gold_forecast(spark: SparkSession, folder: str, **options) -> DataFrame:
-    bound = adapters.slots(spark, folder)
+    few = adapters.few_rows(spark, folder)
     return gold.forecast_features(
         adapters.demand(spark, folder), adapters.silver_weather(spark, folder),
-        energy_bound=bound, weather_bound=bound, row_bound=bound, **options,
+        energy_bound=few, weather_bound=few, row_bound=few or adapters.slots(spark, folder), **options,
     )
 
 
@@ -137,9 +137,9 @@ def weather_view() -> list:
 
 
 def joined_weather(spark, folder, mode):
-    bound = adapters.slots(spark, folder)
+    few = adapters.few_rows(spark, folder)
     return gold.join_weather(
-        adapters.demand(spark, folder), adapters.silver_weather(spark, folder), mode=mode, energy_bound=bound, weather_bound=bound
+        adapters.demand(spark, folder), adapters.silver_weather(spark, folder), mode=mode, energy_bound=few, weather_bound=few
     )
 
 
@@ -760,41 +760,41 @@ def forecast_table(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def gbt_forecast(spark, folder):
     rows = forecast_table(spark, folder)
-    model, _ = boosting.train_forecast(rows, trees=20, row_bound=adapters.slots(spark, folder))
+    model, _ = boosting.train_forecast(rows, trees=20)
     return gold_view(model.predict(rows), "demand_mw", "prediction")
 
 
 @query
 def gbt_forecast_metrics(spark, folder):
-    _, metrics = boosting.train_forecast(forecast_table(spark, folder), trees=20, row_bound=adapters.slots(spark, folder))
+    _, metrics = boosting.train_forecast(forecast_table(spark, folder), trees=20)
     return metrics
 
 
 @query
 def residual_model_scores(spark, folder):
     rows = gold_table(spark, folder)
-    scorer, _ = boosting.train_residual(rows, trees=20, row_bound=adapters.slots(spark, folder))
+    scorer, _ = boosting.train_residual(rows, trees=20)
     return scored_view(scorer.score(rows), "predicted_demand_mw")
 
 
 @query
 def iforest_scores(spark, folder):
     rows = gold_table(spark, folder)
-    forest, _ = isolation.train_isolation(rows, row_bound=adapters.slots(spark, folder))
+    forest, _ = isolation.train_isolation(rows)
     return scored_view(forest.score(rows))
 
 
 @query
 def oneclass_scores(spark, folder):
     rows = gold_table(spark, folder)
-    boundary, _ = linear.train_one_class(rows, row_bound=adapters.slots(spark, folder))
+    boundary, _ = linear.train_one_class(rows)
     return scored_view(boundary.score(rows))
 
 
 @query
 def pca_scores(spark, folder):
     rows = gold_table(spark, folder)
-    model, _ = linear.train_reconstruction(rows, row_bound=adapters.slots(spark, folder))
+    model, _ = linear.train_reconstruction(rows)
     return scored_view(model.score(rows))
 
 

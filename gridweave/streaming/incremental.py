@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridweave import schemas
 from gridweave.operators import gold, silver
+from gridweave.session import stage
 from gridweave.sources import readers, writers
 
 
@@ -50,33 +53,52 @@ def half_hour_sums(stream: DataFrame, time: str, key: str, value: str, delay: st
 
 
 def refresh_gold(spark: SparkSession, silver_energy: str, silver_weather: str, gold_path: str, checkpoint: str) -> StreamingQuery:
-    """Recompute the Gold dates that newly arrived Silver rows can change.
+    """Recompute the Gold dates that newly arrived demand rows can change.
 
-    A changed day alters its own rows and the 48 rows after it, hence the day itself and the days up to
-    the next 48 rows. Days are compared through whole dates: each touched date plus its neighbours on
-    both sides supply the history, and only touched dates and the following one are replaced.
+    A changed day alters its own rows and, through lags and rolling frames, the 48 rows after it. Those dates are
+    replaced; the dates holding the 48 rows before them are read as history; all others stay untouched.
     """
     def refresh(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         touched = batch.select(F.col("settlement_date").alias("d")).where("d IS NOT NULL").distinct()
+        if touched.isEmpty():
+            return
         energy = readers.read_table(session, silver_energy)
-        # Rows left after choosing versions, counted from three narrow columns.
-        version_key = F.struct("interval_start_utc", "settlement_period")
-        per_day = energy.groupBy("dataset_name", "settlement_date").agg(F.count_distinct(version_key).alias("n"))
-        rewrite, history = affected_dates(per_day, touched)
-        dates = rewrite.select("settlement_date").distinct()
-        needed = history.select("settlement_date").distinct()
+        rewrite, history = affected_dates(rows_per_day(energy, touched), touched)
         # Calendar dates: a few tens of thousands at the very most.
-        rows = energy.join(F.broadcast(needed), "settlement_date", "left_semi")
+        dates = F.broadcast(stage(rewrite.select("settlement_date").distinct(), "rewrite"))
+        needed = F.broadcast(history.select("settlement_date").distinct())
+        rows = energy.join(needed, "settlement_date", "left_semi")
         features = gold.forecast_features(silver.latest_energy(rows), readers.read_table(session, silver_weather))
-        writers.write_forecast_gold(
-            features.join(F.broadcast(dates), "settlement_date", "left_semi"), gold_path, incremental=True
-        )
+        writers.write_forecast_gold(features.join(dates, "settlement_date", "left_semi"), gold_path, incremental=True)
 
     stream = spark.readStream.schema(spark.read.parquet(silver_energy).schema).parquet(silver_energy)
     return stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def rows_per_day(energy: DataFrame, touched: DataFrame, *, rows: int = schemas.LOOKBACK, days: int = 8) -> DataFrame:
+    """Rows per series and date after choosing versions, for enough dates around the touched ones.
+
+    Reads three narrow columns of the dates `days` around the touched span, and goes further out only while some
+    series has fewer than `rows` rows on either side of the span and older or newer dates exist.
+    """
+    first, last = touched.agg(F.min("d"), F.max("d")).first()
+    oldest, newest = energy.agg(F.min("settlement_date"), F.max("settlement_date")).first()
+    day = F.col("settlement_date")
+    while True:
+        low, high = first - timedelta(days=days), last + timedelta(days=days)
+        near = energy.where(day.between(low, high))
+        version_key = F.struct("interval_start_utc", "settlement_period")
+        counts = stage(near.groupBy("dataset_name", "settlement_date").agg(F.count_distinct(version_key).alias("n")), "days")
+        sides = counts.groupBy("dataset_name").agg(
+            F.sum(F.when(day < first, F.col("n")).otherwise(0)).alias("before"),
+            F.sum(F.when(day > last, F.col("n")).otherwise(0)).alias("after"),
+        ).agg(F.min("before"), F.min("after")).first()
+        if (low <= oldest or sides[0] >= rows) and (high >= newest or sides[1] >= rows):
+            return counts
+        days *= 4
+
+
 def affected_dates(per_day: DataFrame, touched: DataFrame, rows: int = schemas.LOOKBACK) -> tuple[DataFrame, DataFrame]:
     """(dates to rewrite, dates to read) from row counts per series and date.
 
@@ -84,8 +106,6 @@ def affected_dates(per_day: DataFrame, touched: DataFrame, rows: int = schemas.L
     date. It is read if it is rewritten or fewer than `rows` rows lie between it and a later rewritten
     date. Counts run over the calendar dates of a series, which are few.
     """
-    from pyspark.sql import Window
-
     days = per_day.join(F.broadcast(touched.select(F.col("d").alias("settlement_date"), F.lit(True).alias("__t"))), "settlement_date", "left")
     past = Window.partitionBy("dataset_name").orderBy("settlement_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = Window.partitionBy("dataset_name").orderBy("settlement_date").rowsBetween(Window.currentRow, Window.unboundedFollowing)

@@ -107,3 +107,14 @@ def test_half_hour_windows(spark, tmp_path):
     query.awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() > 5 and out.agg(F.max("total")).first()[0] == 30
+
+
+def test_day_counts_reach_out_for_sparse_series(spark):
+    days = [("dense", d, 0) for d in range(60, 100)] + [("sparse", d, 0) for d in (1, 80)]
+    frame = spark.createDataFrame(days, "dataset_name string, day int, settlement_period int").select(
+        "dataset_name", F.date_add(F.lit(dt.date(2026, 1, 1)), F.col("day")).alias("settlement_date"),
+        F.timestamp_seconds(F.col("day") * 86400).alias("interval_start_utc"), "settlement_period")
+    touched = spark.createDataFrame([(dt.date(2026, 1, 1) + dt.timedelta(days=80),)], "d date")
+    near = incremental.rows_per_day(frame.where("dataset_name = 'dense'"), touched, rows=5)
+    assert near.count() == 17
+    assert incremental.rows_per_day(frame, touched, rows=5).count() == 42
