@@ -44,7 +44,7 @@ def tree_samples(df: DataFrame, features: list[str], rows: int, *, trees: int, s
     return drawn.withColumn("__rank", F.row_number().over(lowest)).where(F.col("__rank") <= sample).select("tree", "__rank", "x")
 
 
-def grow_trees(samples: DataFrame, *, sample: int, seed: int) -> DataFrame:
+def grow_trees(samples: DataFrame, *, trees: int, sample: int, seed: int) -> DataFrame:
     """One small tree per group of at most `sample` rows, as a table of nodes."""
     depth_limit = int(np.ceil(np.log2(max(sample, 2))))
 
@@ -70,7 +70,9 @@ def grow_trees(samples: DataFrame, *, sample: int, seed: int) -> DataFrame:
             following += 2
         return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "left", "right", "path"])
 
-    return samples.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    # The samples are small in bytes but not in work: keep Spark from joining all trees into one task.
+    tasks = min(trees, 2 * samples.sparkSession.sparkContext.defaultParallelism)
+    return samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
 @dataclass
@@ -129,7 +131,7 @@ def train_isolation(
     training = prepare.repeat_to_minimum(gold, MINIMUM_ROWS, [schemas.EVENT_TIME])
     rows_used = max(rows, MINIMUM_ROWS)
     samples = tree_samples(training, features, rows_used, trees=trees, sample=sample, seed=seed)
-    nodes = grow_trees(samples, sample=sample, seed=seed).toPandas()
+    nodes = grow_trees(samples, trees=trees, sample=sample, seed=seed).toPandas()
     forest = IsolationForest(features, nodes, min(sample, rows_used))
     forest.threshold, flagged = scoring.fit_threshold(forest.scores(gold), 0.05, scoring.BELOW, row_bound=rows, spread=spread)
     metrics = scoring.anomaly_metrics(

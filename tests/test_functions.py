@@ -90,7 +90,7 @@ def test_rates_and_scales(spark):
 
 @pytest.mark.parametrize("shape", ["uniform", "ties", "heavy", "single"])
 def test_spread_quantiles_are_exact(spark, monkeypatch, shape):
-    monkeypatch.setattr(aggregates, "BUCKETS", 8)
+    monkeypatch.setattr(aggregates, "BUCKETS", 64)
     monkeypatch.setattr(aggregates.sizing, "ROWS_PER_TASK", 20)
     rng = np.random.default_rng(5)
     values = {
