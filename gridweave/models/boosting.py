@@ -132,5 +132,6 @@ def train_residual(
     metrics = scoring.anomaly_metrics(
         flagged, scorer.threshold, algorithm="residual_scoring", bootstrap_rows=F.lit(train.count()), features=features
     )
-    fit = run_metrics(model, train, test, "regression_algorithm").drop("training_rows", "feature_columns")
-    return scorer, metrics.join(F.broadcast(fit))  # one row beside one row
+    fit = run_metrics(model, train, test, "regression_algorithm").first()
+    names = ("mae", "rmse", "r2", "test_rows", "regression_algorithm")
+    return scorer, metrics.withColumns({name: F.lit(fit[name]) for name in names})

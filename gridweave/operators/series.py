@@ -11,6 +11,8 @@ from gridweave.operators import sizing
 from gridweave.session import stage
 
 CHUNK_ROWS = 65_536
+GROUP_LIMIT = 1000  # Spark's own limit for trimming groups before the exchange
+TOP_LIMIT = 100_000  # rows each task may keep for a top-N of the whole table
 
 
 def series_index(
@@ -202,8 +204,17 @@ def reject_short(df: DataFrame, series: Sequence[str], minimum_rows: int) -> tup
     return kept, rejected
 
 
-def latest_rows(df: DataFrame, series: Sequence[str], order: Sequence[str], count: int) -> DataFrame:
-    """The last `count` rows of each series. Spark trims each input partition before the exchange."""
+def latest_rows(
+    df: DataFrame, series: Sequence[str], order: Sequence[str], count: int, *, row_bound: int | None = None
+) -> DataFrame:
+    """The last `count` rows of each series.
+
+    Up to 1000 Spark trims each input partition to `count` rows per series before the exchange. Larger counts
+    go by the row index, which stays balanced for any series.
+    """
+    if count > GROUP_LIMIT:
+        indexed = series_index(df, series, order, name="__idx", size="__n", row_bound=row_bound)
+        return indexed.where(F.col("__idx") >= F.col("__n") - count).drop("__idx", "__n")
     newest_first = Window.partitionBy(*series).orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn("__rank", F.row_number().over(newest_first)).where(F.col("__rank") <= count).drop("__rank")
 
@@ -212,6 +223,8 @@ def latest_rows_overall(df: DataFrame, order: Sequence[str], count: int | None)
     """The last `count` rows of the whole table, or all of them."""
     if count is None:
         return df
+    if count > TOP_LIMIT:
+        return latest_rows(df, [], order, count)
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(count)
 
 

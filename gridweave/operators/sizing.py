@@ -73,7 +73,8 @@ def balanced_left_join(
     Where no key can be hot this is the plain join, and Spark picks its strategy from measured sizes.
     Otherwise hot keys are found first and both sides carry two salts: a side's own hot keys are divided
     by a hash of the row, and the other side repeats its rows of those keys once per salt, so each pair
-    of rows still meets exactly once. Rows with a null key match nothing and are spread as well.
+    of rows still meets exactly once. Rows with a null key match nothing and are spread as well. Rows that are
+    identical in every column share a salt; Silver rows differ at least in the file they came from.
     """
     keys = list(keys)
     if not force and fits_one_task(left, keys, left_bound) and fits_one_task(right, keys, right_bound):

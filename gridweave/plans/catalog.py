@@ -423,11 +423,10 @@ def naive_forecast_metrics(spark, folder):
 def naive_residuals(spark, folder):
     """Residual scores of the seasonal-naive forecast, with the fallback scale of the whole table."""
     rows = seasonal_naive(spark, folder)
-    scale = rows.agg(agg.fallback_scale(F.col("demand_mw")).alias("__scale"))
+    scale = rows.agg(agg.fallback_scale(F.col("demand_mw"))).first()[0]
     deviation = F.col("rolling_stddev_48_demand_mw")
-    unit = F.when(deviation > 0, deviation).otherwise(F.col("__scale"))
-    # One row on the broadcast side, by construction of a global aggregate.
-    return rows.join(F.broadcast(scale)).withColumn("anomaly_score", F.abs(F.col("demand_mw") - F.col("prediction")) / unit)
+    unit = F.when(deviation > 0, deviation).otherwise(F.lit(scale))
+    return rows.withColumn("anomaly_score", F.abs(F.col("demand_mw") - F.col("prediction")) / unit)
 
 
 @query
@@ -440,7 +439,7 @@ def residual_threshold_flags(spark, folder):
     """Share of half-hours over the 95th percentile of their series' scores."""
     scored = naive_residuals(spark, folder)
     cut = agg.exact_quantiles(scored, BY_SERIES, "anomaly_score", [0.95], row_bound=adapters.slots(spark, folder))
-    flagged = scored.join(F.broadcast(cut), "dataset_name")  # one row per series of the metrics table
+    flagged = sizing.attach_lookup(scored, cut, BY_SERIES)
     out = flagged.groupBy("dataset_name").agg(
         F.max("q0").alias("score_threshold"), F.avg("anomaly_score").alias("score_mean"),
         F.stddev_pop("anomaly_score").alias("score_std"), F.count(F.lit(1)).alias("training_rows"),

@@ -99,6 +99,15 @@ def test_latest_rows(spark):
     assert sorted(r.id for r in series.latest_rows_overall(frame, ["id"], 3).collect()) == [97, 98, 99]
 
 
+@pytest.mark.parametrize("row_bound", [100, 10**9])
+def test_many_latest_rows_go_by_index(spark, monkeypatch, row_bound):
+    monkeypatch.setattr(series, "GROUP_LIMIT", 2)
+    monkeypatch.setattr(series, "TOP_LIMIT", 2)
+    frame = spark.range(100).select((F.col("id") % 3).alias("s"), "id")
+    assert sorted(r.id for r in series.latest_rows(frame, ["s"], ["id"], 3, row_bound=row_bound).collect()) == list(range(91, 100))
+    assert sorted(r.id for r in series.latest_rows_overall(frame, ["id"], 3).collect()) == [97, 98, 99]
+
+
 @pytest.mark.parametrize("spread", [False, True])
 def test_encoder_decoder_windows(spark, spread):
     frame = spark.range(12).select(F.lit("x").alias("s"), "id", (F.col("id") * 10.0).alias("v"))
