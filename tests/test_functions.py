@@ -60,8 +60,8 @@ def test_keys(spark):
     assert one(spark, key) == "bronze/raw/energy/dt=2026-03-24/request-123.json"
     quoted = scalars.landing_key("raw", F.lit("energy"), F.lit("a b/c"), F.lit("2026-03-24"))
     assert one(spark, quoted) == "raw/energy/dt=2026-03-24/a+b%2Fc.json"
-    report = scalars.report_key("/sagemaker/model_evaluation/forecast/", F.lit("forecast"), F.lit(3), F.lit("20260325203000"))
-    assert one(spark, report) == "sagemaker/model_evaluation/forecast/forecast/model_package_version=3/20260325203000.json"
+    report = scalars.report_key("/reports/forecast/", F.lit("forecast"), F.lit(3), F.lit("20260325203000"))
+    assert one(spark, report) == "reports/forecast/forecast/model_package_version=3/20260325203000.json"
 
 
 def test_missing_series_start_is_an_error(spark):
