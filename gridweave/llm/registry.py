@@ -1,7 +1,7 @@
 """Registered queries of the text operators and their SQL."""
 
-from gridweave.llm import warc
+from gridweave.llm import chat, mixing, tokenfile, warc
 
-MODULES = [warc]
+MODULES = [warc, tokenfile, chat, mixing]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
