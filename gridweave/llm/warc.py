@@ -113,7 +113,7 @@ def members(data: bytes) -> Iterator[tuple[int, Iterator[bytes]]]:
             fed = view[at:at + PIECE]
             at += len(fed)
             out = inflate.decompress(fed, PIECE)
-            while out or inflate.unconsumed_tail:
+            while out or (inflate.unconsumed_tail and not inflate.eof):
                 yield out
                 out = b"" if inflate.eof else inflate.decompress(inflate.unconsumed_tail, PIECE)
             at -= len(inflate.unused_data)
