@@ -19,10 +19,19 @@ from gridweave.llm.common import BLANKS, table, whole_text, words_of
 from gridweave.session import stage
 
 SYMBOLS = "#*$%&|<>"
+#: Frequent words of English, German, French and Spanish.
+COMMON = (
+    "the of and to in is that for it as was with be by on from this at or an are a "
+    "der die und das von zu den mit sich des auf ist im dem nicht ein eine als auch es an "
+    "de la le et les des en un du une que est pour qui dans par sur au il "
+    "el los se las por con no su para al lo como del y").split()
 WINDOW = 8
-#: A rule is taken to be right at least this often; with less, good and bad could change places.
-LEAST, MOST, ROUNDS = 0.55, 0.999, 200
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_calls", "n_distinct", "n_echoes")
+#: Bounds of a rule's accuracies. Bad documents are bad in different ways, so a rule may miss most of them; but its vote must
+#: be `MARGIN` likelier on the side it names than on the other, or good and bad could change places.
+LEAST, MOST, MARGIN, ROUNDS = 0.5, 0.999, 0.01, 200
+#: The start says what the rules are made for: hardly ever to blame a good document, and each to know one kind of bad ones.
+START = (0.97, 0.3)
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_calls", "n_distinct", "n_echoes", "n_plain", "n_common")
 
 
 def let(value: Column, body) -> Column:
@@ -59,6 +68,8 @@ def measure(documents: DataFrame, *keep: str) -> DataFrame:
     lines = F.filter(F.split("__t", "\n"), lambda line: F.translate(line, BLANKS, "") != "")
     read = documents.select(*keep, text.alias("__t")).select(
         *keep, "__t", F.transform(words_of(F.col("__t")), lambda w: F.xxhash64(w)).alias("__w"), lines.alias("__l"))
+    common = [row[0] for row in documents.sparkSession.range(1).select(
+        F.explode(F.transform(F.array(*map(F.lit, sorted(set(COMMON)))), lambda w: F.xxhash64(w)))).collect()]
     out = {
         "n_words": F.size("__w"),
         "word_chars": F.length(F.translate("__t", BLANKS, "")),
@@ -69,6 +80,8 @@ def measure(documents: DataFrame, *keep: str) -> DataFrame:
         "n_upper": dropped("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         "n_calls": dropped("!"),
         "n_distinct": F.size(F.array_distinct("__w")),
+        "n_plain": F.size(F.filter(words_of(F.col("__t")), lambda w: w.rlike(r"^\p{L}+[.,;:!?]?$"))),
+        "n_common": F.size(F.filter("__w", lambda h: h.isin(common))),
         "n_echoes": F.size(F.filter("__w", lambda w, i: F.when(i > 0, F.get("__w", i - 1) == w).otherwise(False))),
     }
     return read.select(*keep, *[out[name].cast("long").alias(name) for name in MEASURES])
@@ -96,6 +109,8 @@ RULES = (
     Rule("capitals", "10 * n_upper > 3 * word_chars", "word_chars > 0 AND 10 * n_upper <= word_chars"),
     Rule("calls", "10 * n_calls > n_words", "n_words > 0 AND 100 * n_calls <= n_words"),
     Rule("variety", "10 * n_distinct < n_words", "n_words > 0 AND 10 * n_distinct >= 2 * n_words"),
+    Rule("plain_words", "10 * n_plain < 7 * n_words", "n_words > 0 AND 10 * n_plain >= 9 * n_words"),
+    Rule("common_words", "100 * n_common < 3 * n_words", "n_words > 0 AND 100 * n_common >= 8 * n_words"),
     Rule("echoes", "10 * n_echoes > n_words", "n_words > 0 AND 50 * n_echoes <= n_words"),
 )
 
@@ -120,8 +135,7 @@ class Weights:
 def estimate(counts: Sequence[tuple[tuple[int, ...], int]]) -> Weights:
     """Expectation-maximisation over (votes, documents) from a fixed start until it stands still."""
     rules = len(counts[0][0]) if counts else 0
-    at = Weights(0.8, (0.8,) * rules, (0.8,) * rules)
-    bounded = lambda x: min(MOST, max(LEAST, x))
+    at = Weights(0.8, (START[0],) * rules, (START[1],) * rules)
     for _ in range(ROUNDS):
         mass = [[1.0, 1.0], *[[2.0, 2.0, 2.0, 2.0] for _ in range(rules)]]  # a few imagined votes keep shares off 0 and 1
         right = [[1.6, 1.6] for _ in range(rules)]
@@ -134,10 +148,9 @@ def estimate(counts: Sequence[tuple[tuple[int, ...], int]]) -> Weights:
                     mass[k + 1][0] += n * p
                     mass[k + 1][1] += n * (1 - p)
                     right[k][0 if v > 0 else 1] += n * (p if v > 0 else 1 - p)
-        new = Weights(
-            min(0.99, max(0.01, mass[0][0] / sum(mass[0][:2]))),
-            tuple(bounded(r[0] / m[0]) for r, m in zip(right, mass[1:], strict=True)),
-            tuple(bounded(r[1] / m[1]) for r, m in zip(right, mass[1:], strict=True)))
+        on_good = tuple(min(MOST, max(LEAST, r[0] / m[0])) for r, m in zip(right, mass[1:], strict=True))
+        on_bad = tuple(min(MOST, max(1 - g + MARGIN, r[1] / m[1])) for r, m, g in zip(right, mass[1:], on_good, strict=True))
+        new = Weights(min(0.99, max(0.01, mass[0][0] / sum(mass[0][:2]))), on_good, on_bad)
         moved = max(abs(a - b) for a, b in zip((new.good, *new.right_on_good, *new.right_on_bad), (at.good, *at.right_on_good, *at.right_on_bad), strict=True))
         at = new
         if moved < 1e-9:
