@@ -1,7 +1,7 @@
 """Registered queries of the text operators and their SQL."""
 
-from gridweave.llm import chat, mixing, quality_rules, tokenfile, warc
+from gridweave.llm import chat, fingerprints, mixing, quality_rules, tokenfile, warc
 
-MODULES = [warc, tokenfile, quality_rules, chat, mixing]
+MODULES = [warc, fingerprints, tokenfile, quality_rules, chat, mixing]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
