@@ -62,7 +62,9 @@ def fingerprint(text: Column) -> Column:
     def placed(m: Column) -> Column:
         """By bin, the low bits of its minimum or null."""
         by_bin = F.map_from_arrays(F.transform(m, bin_of), F.transform(m, low))
-        return F.when(F.size(m) == BINS, F.transform(m, low)).otherwise(
+        # Hashes are sorted as signed numbers: the upper half of the bins comes first.
+        full = F.concat(F.slice(m, BINS // 2 + 1, BINS // 2), F.slice(m, 1, BINS // 2))
+        return F.when(F.size(m) == BINS, F.transform(full, low)).otherwise(
             let(by_bin, lambda known: F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.try_element_at(known, b))))
 
     def dense(values: Column) -> Column:
