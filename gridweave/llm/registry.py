@@ -1,7 +1,7 @@
 """Registered queries of the text operators and their SQL."""
 
-from gridweave.llm import chat, fingerprints, mixing, near_duplicates, packing, quality_rules, tokenfile, warc
+from gridweave.llm import chat, fingerprints, mixing, near_duplicates, ordinal_quality, packing, quality_rules, tokenfile, warc
 
-MODULES = [warc, fingerprints, tokenfile, quality_rules, packing, chat, mixing, near_duplicates]
+MODULES = [warc, fingerprints, tokenfile, quality_rules, packing, ordinal_quality, chat, mixing, near_duplicates]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

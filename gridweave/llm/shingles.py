@@ -45,7 +45,7 @@ class WordHasher:
             out = np.concatenate((out, out * np.uint64(pow(base, len(out), 1 << 64))))
         return out[:n]
 
-    def _some(self, data: np.ndarray) -> np.ndarray:
+    def _some(self, data: np.ndarray, head: int | None = None) -> np.ndarray:
         n = len(data)
         if n > len(self.powers):  # one word that is longer than a chunk
             self.powers, self.inverse = self._powers(self.base, n), self._powers(pow(self.base, -1, 1 << 64), n)
@@ -53,12 +53,14 @@ class WordHasher:
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.table[data] * self.powers[:n], dtype=np.uint64)))
+        if head is not None:
+            ends = np.minimum(ends, starts + head)
         return mix((sums[ends] - sums[starts]) * self.inverse[np.minimum(starts, n - 1)]) if len(starts) else np.zeros(0, np.uint64)
 
-    def words(self, data: np.ndarray) -> np.ndarray:
-        """Hashes of the words of one text, in order; long texts go in chunks that end at a blank."""
+    def words(self, data: np.ndarray, head: int | None = None) -> np.ndarray:
+        """Hashes of the words of one text, or of their first `head` bytes, in order; long texts go in chunks that end at a blank."""
         if len(data) <= CHUNK:
-            return self._some(data) if len(data) else np.zeros(0, np.uint64)
+            return self._some(data, head) if len(data) else np.zeros(0, np.uint64)
         out, at = [], 0
         while at < len(data):
             end = min(at + CHUNK, len(data))
@@ -68,7 +70,7 @@ class WordHasher:
                     end = at + int(blanks[-1]) + 1
                     break
                 end = min(end + CHUNK, len(data))
-            out.append(self._some(data[at:end]))
+            out.append(self._some(data[at:end], head))
             at = end
         return np.concatenate(out)
 
