@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,7 @@ from gridweave.operators import sizing
 from gridweave.session import stage
 
 BUCKETS = 1024
+LARGEST = sys.float_info.max
 
 
 def mean_absolute_error(actual: Column, predicted: Column) -> Column:
@@ -22,9 +24,9 @@ def root_mean_squared_error(actual: Column, predicted: Column) -> Column:
 
 
 def r2_score(actual: Column, predicted: Column) -> Column:
-    """1 - SSres/SStot; 0 for fewer than two rows or a constant target."""
+    """1 - SSres/SStot over complete pairs; 0 for fewer than two pairs or a constant target."""
     pairs = F.count(actual - predicted)
-    total = F.var_pop(actual) * pairs
+    total = F.var_pop(F.when(predicted.isNotNull(), actual)) * pairs
     residual = F.sum(F.pow(actual - predicted, 2))
     return F.when((pairs < 2) | (total == 0), F.lit(0.0)).otherwise(1 - F.try_divide(residual, total))
 
@@ -39,13 +41,13 @@ def pair_predictions(actual: DataFrame, predicted: DataFrame, keys: Sequence[str
 
 
 def forecast_metrics(df: DataFrame, groups: Sequence[str], actual: str, predicted: str) -> DataFrame:
-    """MAE, RMSE, R-squared and row count per group, in one partial aggregate."""
+    """MAE, RMSE, R-squared and number of complete pairs per group, in one partial aggregate."""
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     return df.groupBy(*groups).agg(
         mean_absolute_error(a, p).alias("mae"),
         root_mean_squared_error(a, p).alias("rmse"),
         r2_score(a, p).alias("r2"),
-        F.count(F.lit(1)).alias("test_rows"),
+        F.count(a - p).alias("test_rows"),
     )
 
 
@@ -76,17 +78,14 @@ def exact_quantiles(
     *,
     row_bound: int | None = None,
     spread: bool | None = None,
-    approx: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles per group as columns `q0`, `q1`, … in the order asked.
 
     Groups proven to fit one task use `percentile`, which gathers a group's values. Beyond that the
-    order statistics are found by repeatedly narrowing a histogram, in passes that only count.
+    order statistics are found by repeatedly narrowing a histogram, in passes that only count. Both forms
+    give null quantiles to a group whose values are all null, and sort NaN above infinity.
     """
     groups = list(groups)
-    if approx:
-        picks = [F.percentile_approx(value, p, 100_000).cast("double") for p in probabilities]
-        return df.groupBy(*groups).agg(*[q.alias(f"q{i}") for i, q in enumerate(picks)])
     if spread is None:
         spread = not sizing.fits_one_task(df, groups, row_bound)
     if spread:
@@ -118,9 +117,11 @@ def _narrowed_quantiles(df: DataFrame, groups: list[str], value: str, probabilit
         F.col("__w.i").alias("__i"), F.col("__w.at").alias("__at"),
         F.explode(F.array(F.floor("__w.at"), F.ceil("__w.at"))).alias("__rank"),
     ).distinct()
-    found = stage(ranks, "ranks")
+    found, before = stage(ranks, "ranks"), None
     while left := found.where("__lo < __hi").agg(F.sum("__values")).first()[0]:
-        found = stage(_narrow(counted, found, keys, last=left <= sizing.ROWS_PER_TASK), "ranks")
+        if before is not None and left >= before:
+            raise RuntimeError("the histogram of a quantile no longer narrows")
+        found, before = stage(_narrow(counted, found, keys, last=left <= sizing.ROWS_PER_TASK), "ranks"), left
 
     low, high = F.col("__rank") == F.floor("__at"), F.col("__rank") == F.ceil("__at")
     at, lo, hi = F.first("__at"), F.max(F.when(low, F.col("__lo"))), F.max(F.when(high, F.col("__lo")))
@@ -129,7 +130,12 @@ def _narrowed_quantiles(df: DataFrame, groups: list[str], value: str, probabilit
         .otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias("__q")
     )
     picks = [F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"q{i}") for i in range(len(probabilities))]
-    out = each.groupBy("__key").agg(*picks)
+    # Groups without a value have no ranks; they come back with nulls.
+    every = source.select("__key").distinct().select(F.col("__key").alias("__every"))
+    if not groups:
+        every = source.sparkSession.range(1).select(F.struct(F.lit(0).alias("__all")).alias("__every"))
+    found_of = each.groupBy("__key").agg(*picks).withColumnRenamed("__key", "__found")
+    out = every.join(found_of, F.col("__every").eqNullSafe(F.col("__found")), "left").withColumnRenamed("__every", "__key")
     return out.select(*[F.col(f"__key.{g}") for g in groups], *[f"q{i}" for i in range(len(probabilities))])
 
 
@@ -140,8 +146,15 @@ def _narrow(counted: DataFrame, ranks: DataFrame, keys: list[str], last: bool) -
     """
     done = ranks.where("__lo = __hi")
     by_key = ranks.where("__lo < __hi").groupBy(*keys).agg(F.collect_set(F.struct("__lo", "__hi", "__below")).alias("__ranges"))
-    scaled = F.floor((F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * BUCKETS)
-    bucket = F.col("__v") if last else F.least(scaled, F.lit(BUCKETS - 1))
+    # Values that are not finite have buckets of their own; halves keep the width of the widest ranges finite.
+    low, high = (F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.col(c))) for c in ("__lo", "__hi"))
+    wide = high / 2 - low / 2 > LARGEST / 4
+    share = F.when(wide, (F.col("__v") / 2 - low / 2) / (high / 2 - low / 2)).otherwise((F.col("__v") - low) / (high - low))
+    scaled = (
+        F.when(F.isnan("__v"), F.lit(BUCKETS + 1)).when(F.col("__v") > LARGEST, F.lit(BUCKETS)).when(F.col("__v") < -LARGEST, F.lit(-1))
+        .otherwise(F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))).cast("long")
+    )
+    bucket = F.col("__v") if last else scaled
     buckets = (
         # A key has at most two ranges per probability asked for.
         sizing.attach_lookup(counted, by_key, keys)

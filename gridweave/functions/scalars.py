@@ -105,7 +105,7 @@ def record_id(df: DataFrame, name: str = "dataset_name", time: str = "interval_s
     """Record identifier `<dataset>|<timestamp>`: an absent dataset column reads `unknown`, a null `0.0`."""
     dataset = F.coalesce(column(name).cast("string"), F.lit("0.0")) if name in df.columns else F.lit("unknown")
     moment = feature_timestamp(column(time), df.schema[time].dataType) if time in df.columns else F.lit("")
-    return F.concat_ws(chr(124), dataset, moment)
+    return F.concat_ws("|", dataset, moment)
 
 
 def landing_key(prefix: str, source: Column, request_id: Column, event_time: Column) -> Column:

@@ -43,7 +43,8 @@ def join_weather(
     joined = sizing.balanced_left_join(
         demand, hourly, ["__hour"], left_bound=energy_bound, right_bound=weather_bound
     )
-    return joined.select(*schemas.SILVER_ENERGY_COLUMNS, *schemas.WEATHER_COLUMNS)
+    further = [c for c in energy.columns if c not in schemas.SILVER_ENERGY_COLUMNS]
+    return joined.select(*schemas.SILVER_ENERGY_COLUMNS, *schemas.WEATHER_COLUMNS, *further)
 
 
 def add_calendar(df: DataFrame, time: str = "interval_start_utc") -> DataFrame:
@@ -93,19 +94,32 @@ def forecast_features(
     mode: str = "latest",
     partition_by: Sequence[str] = (schemas.SERIES,),
     exclude_current: bool = False,
+    deviation: bool = False,
     energy_bound: int | None = None,
     weather_bound: int | None = None,
     row_bound: int | None = None,
     **options,
 ) -> DataFrame:
-    """Gold forecast features. `partition_by=()` treats the whole table as one series."""
+    """Gold forecast features. `partition_by=()` treats the whole table as one series.
+
+    In the `latest` mode windows run over the demand rows before weather joins them: a demand row that meets the weather of
+    several sites is repeated with the same lags. `deviation` adds the rolling deviation of the anomaly features.
+    """
+    windows = lag_and_rolling(exclude_current=exclude_current)
+    if deviation:
+        windows |= rolling_deviation(exclude_current=exclude_current)
+    if mode == "latest":
+        demand = energy.select(*schemas.SILVER_ENERGY_COLUMNS)
+        rolled = series.row_windows(
+            add_calendar(demand), partition_by, ROW_ORDER, windows, before=schemas.LOOKBACK, row_bound=row_bound, **options
+        )
+        return join_weather(rolled, weather, energy_bound=energy_bound, weather_bound=weather_bound)
     joined = join_weather(
         energy, weather, mode=mode, energy_bound=energy_bound, weather_bound=weather_bound
     )
-    order = ROW_ORDER if mode == "latest" else [*ROW_ORDER, "weather_timestamp", *schemas.WEATHER_FEATURE_COLUMNS]
+    order = [*ROW_ORDER, "weather_timestamp", *schemas.WEATHER_FEATURE_COLUMNS]
     return series.row_windows(
-        add_calendar(joined), partition_by, order, lag_and_rolling(exclude_current=exclude_current),
-        before=schemas.LOOKBACK, row_bound=row_bound, **options,
+        add_calendar(joined), partition_by, order, windows, before=schemas.LOOKBACK, row_bound=row_bound, **options,
     )
 
 
@@ -118,7 +132,12 @@ def anomaly_features(
     row_bound: int | None = None,
     **options,
 ) -> DataFrame:
-    """Gold anomaly features: the forecast features plus rolling deviation, ratios and z-score."""
+    """Gold anomaly features: the forecast features plus rolling deviation, ratios and z-score.
+
+    Forecast features made with `deviation` need no further window, and only they allow for several weather sites.
+    """
+    if f"rolling_stddev_48_{schemas.TARGET}" in forecast.columns:
+        return add_deviation_ratios(forecast)
     order = ROW_ORDER if mode == "latest" else [*ROW_ORDER, "weather_timestamp", *schemas.WEATHER_FEATURE_COLUMNS]
     widened = series.row_windows(
         forecast, partition_by, order, rolling_deviation(exclude_current=exclude_current),

@@ -35,8 +35,9 @@ def series_index(
     if spread is None:
         spread = not sizing.fits_one_task(df, series, row_bound)
     if not spread:
-        by_time = Window.partitionBy(*series).orderBy(*order)
-        out = df.withColumn(name, F.row_number().over(by_time) - 1)
+        # The same tie-break and type as below.
+        by_time = Window.partitionBy(*series).orderBy(*order, "__content")
+        out = df.withColumn("__content", F.xxhash64(*df.columns)).withColumn(name, (F.row_number().over(by_time) - 1).cast("bigint")).drop("__content")
         return out.withColumn(size, F.count(F.lit(1)).over(Window.partitionBy(*series))) if size else out
     return _spread_index(df, series, order, name, size)
 

@@ -73,7 +73,8 @@ def latest_energy(silver: DataFrame) -> DataFrame:
 
 
 def latest_weather(silver: DataFrame) -> DataFrame:
-    """Latest landed forecast of each hour at each site."""
-    keyed = _mark_untimed(silver, "forecast_time_local").withColumn("__hour", F.date_trunc("hour", "forecast_time_local"))
+    """Latest landed forecast of each hour at each site; hours are UTC, as a local clock repeats one."""
+    moment = F.to_utc_timestamp("forecast_time_local", F.coalesce("timezone", F.lit("UTC")))
+    keyed = _mark_untimed(silver, "forecast_time_local").withColumn("__hour", F.date_trunc("hour", moment))
     order = ["bronze_ingestion_date", "source_object_path", "forecast_time_local"]
     return _latest(keyed, ["latitude", "longitude", "__hour", "__untimed"], order).drop("__hour", "__untimed")

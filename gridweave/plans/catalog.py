@@ -54,7 +54,7 @@ def gold_forecast(spark: SparkSession, folder: str, **options) -> DataFrame:
 
 
 def gold_anomaly(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.anomaly_features(gold_forecast(spark, folder), row_bound=adapters.slots(spark, folder))
+    return gold.anomaly_features(gold_forecast(spark, folder, deviation=True))
 
 
 def gold_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,6 +204,18 @@ def gold_forecast_features(spark, folder):
     )
 
 
+@query
+def gold_two_sites(spark, folder):
+    """Demand meets the weather of two sites: each demand row is there twice, with the same lags."""
+    site = adapters.silver_weather(spark, folder)
+    north = site.withColumns({"latitude": F.col("latitude") + 1, "temperature_2m": F.col("temperature_2m") + 1})
+    few = adapters.few_rows(spark, folder)
+    out = gold.forecast_features(
+        adapters.demand(spark, folder), site.unionByName(north), energy_bound=few, weather_bound=None if few is None else 2 * few,
+        row_bound=few or adapters.slots(spark, folder))
+    return gold_view(out, "demand_mw", six("temperature_2m"), "lag_1_demand_mw", "lag_48_demand_mw", six("rolling_mean_48_demand_mw"))
+
+
 ANOMALY_VIEW = ["rolling_stddev_48_demand_mw", "demand_minus_rolling_mean_mw", "demand_to_rolling_mean_ratio", "rolling_z_score"]
 
 
@@ -265,7 +277,7 @@ def chrono_split(spark, folder):
     out = series.chronological_split(
         adapters.demand(spark, folder), BY_SERIES, IN_TIME, row_bound=adapters.slots(spark, folder)
     )
-    return gold_view(out, F.col("time_idx").cast("bigint").alias("time_idx"), "split")
+    return gold_view(out, "time_idx", "split")
 
 
 @query
@@ -273,7 +285,7 @@ def horizon_split(spark, folder):
     out = series.horizon_split(
         adapters.demand(spark, folder), BY_SERIES, IN_TIME, 48, row_bound=adapters.slots(spark, folder)
     )
-    return gold_view(out, F.col("time_idx").cast("bigint").alias("time_idx"), "split")
+    return gold_view(out, "time_idx", "split")
 
 
 @query
@@ -283,7 +295,7 @@ def encoder_decoder_windows(spark, folder):
         row_bound=adapters.slots(spark, folder),
     )
     return out.select(
-        "dataset_name", F.col("time_idx").cast("bigint").alias("time_idx"),
+        "dataset_name", "time_idx",
         joined("demand_mw_encoder").alias("encoder"), joined("demand_mw_decoder").alias("decoder"),
     )
 
@@ -344,7 +356,7 @@ def sequence_dataset(spark, folder):
         gold.add_calendar(adapters.demand(spark, folder)), context=48, horizon=48, row_bound=adapters.slots(spark, folder)
     )
     return training.select(
-        "series_id", F.col("time_idx").cast("bigint").alias("time_idx"), joined("demand_mw_encoder").alias("encoder"),
+        "series_id", "time_idx", joined("demand_mw_encoder").alias("encoder"),
         joined("settlement_period_decoder").alias("periods_ahead"),
         F.round(F.col("demand_mw_normalised_decoder")[0], 6).alias("first_normalised"),
     )
@@ -401,7 +413,7 @@ def inference_panel(spark, folder):
     out = prepare.inference_panel(
         rows, ["settlement_period", "absent"], context=48, horizon=48, row_bound=adapters.slots(spark, folder)
     )
-    return out.select("series_id", F.col("time_idx").cast("bigint").alias("time_idx"), "is_decoder", "demand_mw", "settlement_period", "absent")
+    return out.select("series_id", "time_idx", "is_decoder", "demand_mw", "settlement_period", "absent")
 
 
 # --- Metrics, quantiles, evaluation ---------------------------------------------------------------
@@ -480,7 +492,7 @@ def sequence_scores(spark, folder):
     profile = seasonal.seasonal_profile(rows.withColumnRenamed("dataset_name", "series_id"), keys, row_bound=bound)
     request = series.latest_rows(rows, BY_SERIES, IN_TIME, 96)
     out = seasonal.score_sequences(request, profile, context=48, horizon=48, row_bound=bound)
-    return out.select("series_id", F.col("time_idx").cast("bigint").alias("time_idx"), six("mean"), six("q0"), six("q1"), six("q2"))
+    return out.select("series_id", "time_idx", six("mean"), six("q0"), six("q1"), six("q2"))
 
 
 @query
@@ -701,14 +713,14 @@ def predictions_response(spark, folder):
 # --- Ingestion ------------------------------------------------------------------------------------
 
 def ingestion_manifests(spark, folder):
-    """A manifest per user and day: the demand payload is a list of values, every seventh one broken."""
+    """A manifest per user and day: the demand payload lists the day's events, every seventh user's is broken."""
     e = adapters.table(spark, folder, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
     day = F.date_format("ts", "yyyy-MM-dd")
     hours = F.collect_set(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm"))  # at most 24
     requests = e.groupBy("user_id", day.alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("ts").alias("at"), F.sort_array(hours).alias("time")
+        F.max("ts").alias("at"), F.sort_array(hours).alias("time"), F.sort_array(F.collect_list("event_id")).alias("data")
     )
-    data = F.to_json(F.struct(F.sequence(F.lit(1), F.least("n", F.lit(48)).cast("int")).alias("data")))
+    data = F.to_json(F.struct("data"))
     requests = requests.select(
         F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit("/"), "day").alias("request_id"),
         F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_time_utc"),
@@ -759,20 +771,20 @@ def forecast_table(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def gbt_forecast(spark, folder):
     rows = forecast_table(spark, folder)
-    model, _ = boosting.train_forecast(rows, trees=20)
+    model, _ = boosting.train_forecast(rows)
     return gold_view(model.predict(rows), "demand_mw", "prediction")
 
 
 @query
 def gbt_forecast_metrics(spark, folder):
-    _, metrics = boosting.train_forecast(forecast_table(spark, folder), trees=20)
+    _, metrics = boosting.train_forecast(forecast_table(spark, folder))
     return metrics
 
 
 @query
 def residual_model_scores(spark, folder):
     rows = gold_table(spark, folder)
-    scorer, _ = boosting.train_residual(rows, trees=20)
+    scorer, _ = boosting.train_residual(rows)
     return scored_view(scorer.score(rows), "predicted_demand_mw")
 
 

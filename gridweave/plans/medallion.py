@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.operators import gold, silver, sizing
+from gridweave.session import stage
 from gridweave.sources import readers, writers
 
 
@@ -19,7 +20,7 @@ def bronze_to_silver(spark: SparkSession, energy: str, weather: str, silver_ener
 def silver_to_gold(
     spark: SparkSession, silver_energy: str, silver_weather: str, forecast: str, anomaly: str, *, parity: bool = False
 ) -> None:
-    """Build both Gold tables; the anomaly table starts from the written forecast table.
+    """Build both Gold tables from one pass of windows and joins.
 
     `parity` keeps every landed copy of demand and weather and treats the table as one series.
     """
@@ -30,11 +31,11 @@ def silver_to_gold(
         anomalies = gold.anomaly_features(readers.read_table(spark, forecast), mode="raw", partition_by=())
     else:
         bound = rows_per_series(energy, weather)
-        features = gold.forecast_features(
-            silver.latest_energy(energy), weather, energy_bound=bound, weather_bound=bound, row_bound=bound
-        )
-        writers.write_forecast_gold(features, forecast)
-        anomalies = gold.anomaly_features(readers.read_table(spark, forecast), row_bound=bound)
+        features = stage(gold.forecast_features(
+            silver.latest_energy(energy), weather, deviation=True, energy_bound=bound, weather_bound=bound, row_bound=bound
+        ), "features")
+        writers.write_forecast_gold(features.drop(f"rolling_stddev_48_{schemas.TARGET}"), forecast)
+        anomalies = gold.anomaly_features(features)
     writers.write_anomaly_gold(anomalies, anomaly)
 
 

@@ -56,7 +56,7 @@ PARTS = {
               WHEN event_type = 'signup' THEN '{"predictions": ["high"]}'
               ELSE '{"predictions": [' || c END AS body FROM e""",
     "req": """SELECT 'user ' || user_id || '/' || strftime(ts, '%Y-%m-%d') AS request_id, user_id, strftime(max(ts), '%Y-%m-%d') AS dt,
-            max(ts) AS landed, least(count(*), 48) AS n, count(DISTINCT date_trunc('hour', ts)) AS hours,
+            max(ts) AS landed, count(*) AS n, count(DISTINCT date_trunc('hour', ts)) AS hours,
             strftime(min(date_trunc('hour', ts)), '%Y-%m-%dT%H:%M') AS first_hour, strftime(max(date_trunc('hour', ts)), '%Y-%m-%dT%H:%M') AS last_hour,
             user_id % 7 = 0 AS bad FROM events GROUP BY user_id, strftime(ts, '%Y-%m-%d')""",
     "store": """SELECT *, dataset_name || '|' || strftime(t, '%Y-%m-%dT%H:%M:%SZ') AS id FROM f""",
@@ -98,6 +98,9 @@ STATEMENTS = {
         CAST(date_part('hour', t) AS INTEGER) AS interval_hour, dow AS day_of_week, CAST(month(t) AS INTEGER) AS month_of_year, we AS is_weekend,
         lag_1 AS lag_1_demand_mw, lag_2 AS lag_2_demand_mw, lag_48 AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw,
         min_48 AS rolling_min_48_demand_mw, max_48 AS rolling_max_48_demand_mw FROM gold""",
+    "gold_two_sites": f"""SELECT dataset_name, {T}, y AS demand_mw, round(temperature_2m + u.plus, 6) AS temperature_2m, lag_1 AS lag_1_demand_mw,
+        lag_48 AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw
+        FROM gold, LATERAL (VALUES (0), (1)) AS u(plus) WHERE u.plus = 0 OR weather_timestamp IS NOT NULL""",
     "gold_anomaly_features": f"""SELECT dataset_name, {T}, y AS demand_mw, we AS is_weekend, round(temperature_2m, 6) AS temperature_2m,
         lag_48 AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw, round(sd_48, 6) AS rolling_stddev_48_demand_mw,
         round(y - mean_48, 6) AS demand_minus_rolling_mean_mw, round(CASE WHEN mean_48 <> 0 THEN y / mean_48 END, 6) AS demand_to_rolling_mean_ratio,
