@@ -132,8 +132,6 @@ def _narrowed_quantiles(df: DataFrame, groups: list[str], value: str, probabilit
     picks = [F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"q{i}") for i in range(len(probabilities))]
     # Groups without a value have no ranks; they come back with nulls.
     every = source.select("__key").distinct().select(F.col("__key").alias("__every"))
-    if not groups:
-        every = source.sparkSession.range(1).select(F.struct(F.lit(0).alias("__all")).alias("__every"))
     found_of = each.groupBy("__key").agg(*picks).withColumnRenamed("__key", "__found")
     out = every.join(found_of, F.col("__every").eqNullSafe(F.col("__found")), "left").withColumnRenamed("__every", "__key")
     return out.select(*[F.col(f"__key.{g}") for g in groups], *[f"q{i}" for i in range(len(probabilities))])

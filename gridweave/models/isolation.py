@@ -29,18 +29,14 @@ def expected_path(n) -> np.ndarray:
 def tree_samples(df: DataFrame, features: list[str], rows: int, *, trees: int, sample: int, seed: int) -> DataFrame:
     """At most `sample` rows per tree, those with the lowest hash of (row, tree).
 
-    One rule for tables of any size: a row serves `expected` trees on average, at most all; the number and the trees are
-    drawn by its hash, so only rows that are drawn at all are repeated. Copies of a row are drawn each by itself.
+    One rule for tables of any size: a row serves each tree whose hash with the row is below a bound that falls with the
+    number of rows. The trees are found inside the row, so only what is drawn becomes rows.
     """
-    copy = F.monotonically_increasing_id()
-    base = df.select(F.xxhash64(*df.columns, copy, F.lit(seed)).alias("__row"), scoring.feature_array(df, features).alias("x"))
+    base = df.select(F.xxhash64(*df.columns, F.lit(seed)).alias("__row"), scoring.feature_array(df, features).alias("x"))
     keep = 1.5 * sample  # so that a tree ends up short only with negligible probability
-    expected = min(float(trees), keep * trees / max(rows, 1))
-    uniform = F.pmod(F.xxhash64("__row", F.lit(-1)), F.lit(1 << 40)) / float(1 << 40)
-    number = (F.lit(int(expected)) + (uniform < expected - int(expected)).cast("int")).cast("int")
-    draws = F.sort_array(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64("__row", t).alias("draw"), t.alias("tree"))))
-    drawn = base.withColumn("__number", number).where("__number > 0").withColumn("__of", F.explode(F.slice(draws, F.lit(1), F.col("__number"))))
-    drawn = drawn.select("x", F.col("__of.tree").alias("tree"), F.xxhash64("__row", F.col("__of.tree"), F.lit(-2)).alias("__draw"))
+    cut = 2.0**63 * min(1.0, keep / max(rows, 1))
+    served = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.abs(F.xxhash64("__row", tree).cast("double")) <= cut)
+    drawn = base.withColumn("tree", F.explode(served)).withColumn("__draw", F.xxhash64("__row", "tree"))
     lowest = Window.partitionBy("tree").orderBy("__draw")
     return drawn.withColumn("__rank", F.row_number().over(lowest)).where(F.col("__rank") <= sample).select("tree", "__rank", "x")
 

@@ -110,3 +110,29 @@ def test_spread_quantiles_are_exact(spark, monkeypatch, shape):
 
 def test_quantiles_of_nothing(spark):
     assert aggregates.exact_quantiles(spark.createDataFrame([], "v double"), [], "v", [0.5], spread=True).count() == 0
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_quantiles_of_odd_values(spark, small_tasks, spread):
+    """Both plans give the same rows and schema with null groups, null keys, ties and values that are not finite."""
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", None), ("a", None), (None, 1.0), (None, 3.0), (None, 8.0)]
+    rows += [("b", v) for v in (-inf, 1.0, inf, 2.0, nan, 5e-324, -1.7e308, 1.7e308)]
+    rows += [("c", float(k % 50)) for k in range(300)] + [("c", inf), ("c", -inf)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    got = aggregates.exact_quantiles(frame, ["g"], "v", [0.0, 0.3, 0.5, 1.0], spread=spread)
+    out = {r["g"]: [r[f"q{i}"] for i in range(4)] for r in got.collect()}
+    assert got.dtypes == [("g", "string"), *[(f"q{i}", "double") for i in range(4)]]
+    assert out["a"] == [None] * 4 and out[None] == pytest.approx([1.0, 2.2, 3.0, 8.0])
+    held = sorted(v for g, v in rows if g == "c")
+    assert out["c"][0] == -inf and out["c"][3] == inf
+    assert out["c"][2] == pytest.approx((held[150] + held[151]) / 2)
+    assert out["b"][0] == -inf and math.isnan(out["b"][3]) and out["b"][2] == pytest.approx((1.0 + 2.0) / 2)
+    whole = aggregates.exact_quantiles(frame.where("g = 'c'"), [], "v", [0.5], spread=spread).collect()
+    assert len(whole) == 1 and whole[0]["q0"] == pytest.approx(out["c"][2])
+
+
+def test_r2_over_complete_pairs(spark):
+    frame = spark.createDataFrame([(1.0, 1.5), (2.0, 2.5), (100.0, None)], "y double, p double")
+    row = aggregates.forecast_metrics(frame, [], "y", "p").first()
+    assert row["test_rows"] == 2 and row["r2"] == pytest.approx(0.0) and row["mae"] == pytest.approx(0.5)

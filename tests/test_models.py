@@ -207,3 +207,11 @@ def test_unpaired_predictions_are_an_error(spark):
     assert pair_predictions(truth, guess, ["k"], "y").count() == 3
     with pytest.raises(Exception, match="same rows"):
         pair_predictions(truth, guess.where("k < 2"), ["k"], "y").collect()
+
+
+@pytest.mark.parametrize("rows", [50, 4000])
+def test_isolation_samples_by_one_rule(spark, rows):
+    """Trees get their samples by one rule below and above the number of rows they need."""
+    frame = spark.createDataFrame([(float(k),) for k in range(rows)], "x double")
+    samples = isolation.tree_samples(frame, ["x"], rows, trees=20, sample=64, seed=1).groupBy("tree").count().collect()
+    assert len(samples) == 20 and all(r["count"] == min(rows, 64) for r in samples)

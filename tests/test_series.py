@@ -183,3 +183,11 @@ def test_anomaly_sample_row(spark):
     assert row.demand_minus_rolling_mean_mw == 860
     assert row.rolling_z_score == pytest.approx(1.011765, abs=1e-6)
     assert row.demand_to_rolling_mean_ratio == pytest.approx(1.031982, abs=1e-6)
+
+
+def test_index_is_the_same_in_both_plans(spark, small_tasks):
+    rows = [(s, k // 3, k % 2) for s in ("a", None) for k in range(100)]
+    frame = spark.createDataFrame(rows, "s string, t int, v int")
+    plans = [series.series_index(frame, ["s"], ["t"], size="n", spread=spread) for spread in (False, True)]
+    assert plans[0].schema["time_idx"].dataType == plans[1].schema["time_idx"].dataType
+    assert sorted(map(str, plans[0].collect())) == sorted(map(str, plans[1].collect()))
