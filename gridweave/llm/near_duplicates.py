@@ -6,9 +6,10 @@
    sits in the largest buckets, which is close to what a group of copies has in common.
 3. A pair is dropped where the estimate from bit counts, corrected for chance, is more than six standard deviations below the
    threshold. The rest is decided on the full sets of both texts.
-4. Where a bucket falls into several components, everyone outside its largest component is paired with the members of
-   other components, and step 3 decides. So a bucket of n classes that are alike costs n pairs, not n squared, and no pair of
-   classes in a bucket that could join two components is left out.
+4. Where a bucket falls into several components, those outside its largest component ask: all askers and members of the
+   buckets of one pivot meet in tasks of `ASKERS` askers each, through which the members stream. Estimate and full sets decide
+   there, and only links are put out, one of an asker with a component. So a bucket of n classes that are alike costs
+   n pairs, not n squared, and no pair in a bucket that could join two components is left out.
 
 A pair at the threshold shares no bucket with a probability of (1 - 0.8^4)^32, 5 in 10^8.
 """
@@ -30,6 +31,7 @@ from gridweave.session import stage
 PERMUTATIONS, BANDS, BITS = 128, 32, 8
 ROWS = PERMUTATIONS // BANDS
 SIGMAS = 6
+ASKERS = 256
 
 
 def signatures(documents: DataFrame, words: int = 5) -> DataFrame:
@@ -104,8 +106,59 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, percent: in
     return with_both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def joining_links(open_: DataFrame, nodes: DataFrame, bodies: DataFrame, percent: int, words: int, askers: int = ASKERS) -> DataFrame:
+    """Links `a, b` between components, among the classes of one pivot: each asker against all members.
+
+    `open_` has `pivot, node, component, asks`. A task holds about `askers` askers' sets; members pass one by one. An asker that
+    has found a link to a component asks no other member of it.
+    """
+    import pyarrow as pa
+
+    level = percent / 100
+    cut = level - SIGMAS * (level * (1 - level) / PERMUTATIONS) ** 0.5
+    least = (cut * (1 - 1 / (1 << BITS)) + 1 / (1 << BITS)) * PERMUTATIONS
+    parts = open_.groupBy("pivot").agg(F.ceil(F.sum(F.col("asks").cast("long")) / askers).cast("int").alias("parts")).where("parts > 0")
+    known = open_.join(nodes.select("node", "bits"), "node").join(bodies, "node").join(parts, "pivot")
+    columns = ["pivot", "part", "streams", "node", "component", "bits", "text"]
+    asking = known.where("asks").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("streams", F.lit(False)).select(*columns)
+    streaming = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("streams", F.lit(True)).select(*columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, current = WordHasher(), None
+        ids, parts_of, sets, rows, packed, joined = [], [], [], [], None, set()
+        for batch in batches:
+            found = []
+            heads = [batch.column(i).to_pylist() for i in range(5)]
+            low = np.asarray(batch.column(5).flatten()).view(np.uint8).reshape(-1, PERMUTATIONS)
+            for pivot, part, streams, node, component, mine, data in zip(*heads, low, texts(batch.column(6)), strict=True):
+                if (pivot, part) != current:
+                    current, ids, parts_of, sets, rows, packed, joined = (pivot, part), [], [], [], [], None, set()
+                if not streams:
+                    ids.append(node)
+                    parts_of.append(component)
+                    sets.append(shingles(hasher.words(data), words))
+                    rows.append(mine.copy())
+                    continue
+                if packed is None:  # all askers come before the first member
+                    packed = np.array(rows, np.uint8).reshape(-1, PERMUTATIONS)
+                own = None
+                for k in np.flatnonzero((packed == mine).sum(axis=1) >= least):
+                    if parts_of[k] == component or (k, component) in joined:
+                        continue
+                    own = shingles(hasher.words(data), words) if own is None else own
+                    at = np.searchsorted(sets[k], own)
+                    common = int((sets[k][np.minimum(at, len(sets[k]) - 1)] == own).sum())
+                    if 100 * common >= percent * (len(own) + len(sets[k]) - common):
+                        joined.add((k, component))
+                        found.append((ids[k], node))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ([], []))], ["a", "b"])
+
+    ordered = asking.unionByName(streaming).repartition("pivot", "part").sortWithinPartitions("pivot", "part", "streams")
+    return ordered.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(documents: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
-    """`doc_id, tie, n_shingles, component_id` of every row of `documents`.
+    """`doc_id, tie, n_shingles, component_id, component_tie` of every row of `documents`; `tie` is a hash of the text.
 
     Rows are linked where 100 * common >= percent * union of their sets of distinct shingles of `words` words; A-Z count as
     a-z. Fewer words are one shingle; a text without words, or null, is linked with nothing, and is its own
@@ -135,18 +188,33 @@ def near_duplicates(documents: DataFrame, percent: int = 80, words: int = 5) ->
     placed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
     split = stage(parts.groupBy("band").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "component"))["component"].alias("largest")).where("parts > 1"), "split")
-    open_ = stage(placed.join(split, "band").join(pivots.withColumnRenamed("b", "pivot"), "band"), "open")
-    asking = open_.where("component <> largest AND node <> pivot").select("band", F.col("node").alias("a"), F.col("component").alias("ca"))
-    asked = open_.where("node <> pivot").select("band", F.col("node").alias("b"), F.col("component").alias("cb"), "largest")
-    second = asking.join(asked, "band").where("ca <> cb AND (cb = largest OR a < b)").select("a", "b").distinct()
-    more = stage(confirmed(second.join(first, ["a", "b"], "left_anti"), nodes, bodies, percent, words), "links")
+    # Who asks, and whom, by pivot: buckets of one pivot have nearly the same members, so they are taken together.
+    open_ = stage(
+        placed.join(split, "band").join(pivots.withColumnRenamed("b", "pivot"), "band").where("node <> pivot")
+        .groupBy("pivot", "node", "component").agg(F.max(F.col("component") != F.col("largest")).alias("asks")), "open")
+    more = stage(joining_links(open_, nodes, bodies, percent, words), "links")
     whole = components(links.unionByName(more))
 
-    reached = nodes.join(whole, "node", "left").select("key", "doc_id", F.coalesce("component", "node").alias("component"))
-    smallest = reached.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_key = stage(reached.join(smallest, "component").select("key", "component_id"), "class-components")
+    reached = nodes.join(whole, "node", "left").select("key", "doc_id", "tie", F.coalesce("component", "node").alias("component"))
+    chosen = reached.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("chosen"))
+    of_key = stage(reached.join(chosen, "component").select("key", F.col("chosen.doc_id").alias("component_id"), F.col("chosen.tie").alias("component_tie")), "class-components")
     named = rows.join(of_key, "key", "left")
-    return named.select("doc_id", "tie", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    alone = F.col("n_shingles") == 0
+    return named.select(
+        "doc_id", "tie", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.col("tie")).otherwise(F.col("component_tie")).alias("component_tie"))
+
+
+def one_of_each(documents: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+    """`documents` with one row of each component, that with the smallest `doc_id`; all rows without words stay."""
+    found = near_duplicates(documents, percent, words).where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tie") == F.col("component_tie")))
+    kept = stage(found.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n")), "kept").select(
+        F.col("doc_id").alias("__d"), F.col("tie").alias("__t"), ((F.col("times") == 1) | (F.col("n") == 0)).alias("__every"))
+    tied = documents.withColumn("__tie", F.xxhash64("text"))
+    met = tied.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__d")) & (F.col("__tie") == F.col("__t")))
+    # Repeated rows of one document are rare; of those one stays.
+    single, repeated = met.where("__every"), met.where("NOT __every").dropDuplicates(["__d", "__t"])
+    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
