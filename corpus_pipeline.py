@@ -1,6 +1,60 @@
-"""The corpus pipeline; its stages are added as their operators are built."""
+"""A corpus pipeline of five stages over `documents`.
 
-from gridweave.llm import registry  # noqa: F401
+Each stage takes (spark, docs, folder of the tables) and returns a DataFrame; all but the last return the columns of `docs`.
+"""
 
-STAGES: list = []
-ORACLE_SQL = None
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridweave.llm import mixing, near_duplicates, ordinal_quality, packing, repeats
+from gridweave.llm.common import table
+from gridweave.llm.vocabulary import tokenizer_path
+from gridweave.session import stage
+
+#: A repeated passage of over 50 words has at least this many bytes.
+PASSAGE_BYTES, PASSAGE_GRAM = 200, 40
+
+
+def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the ordinal classifier, fitted on `labels`, takes for the best grade."""
+    judged = ordinal_quality.judged(docs, table(spark, folder, "labels"))
+    return judged.where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near-duplicates, on five-word shingles and a similarity of 0.8."""
+    return near_duplicates.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, without the passages that are there more than once."""
+    return repeats.without_repeats(docs, PASSAGE_BYTES, PASSAGE_GRAM)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The mix of sources to their targets; a document is a row as often as the mix takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pieces of all documents in training sequences, with their ids."""
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality), ("near_copies", near_copies), ("repeated_passages", repeated_passages), ("source_mix", source_mix), ("packed", packed),
+]
+#: A fitted model, candidate search and a tokenizer are no SQL; tests check every stage.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; what one stage returns is written and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

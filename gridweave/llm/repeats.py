@@ -324,6 +324,18 @@ def cleaned(repeats: Repeats, length: int = LENGTH, with_text: bool = False) ->
     return joined.mapInArrow(run, "h binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text)
 
 
+def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """`documents` with texts cut to what no repeat covers; `n_chars`, where there is one, is set again. Every row stays."""
+    repeats = find_repeats(documents, length, gram)
+    kept = stage(cleaned(repeats, length, with_text=True).where("n_removed > 0").select(F.col("h").alias("__h"), "kept"), "kept")
+    documents.sparkSession.sql(f"DROP TABLE {repeats.name}")
+    joined = documents.withColumn("__key", text_key()).join(kept.withColumnRenamed("kept", "__kept"), F.col("__key") == F.col("__h"), "left")
+    values = {"text": F.coalesce("__kept", "text")}
+    if "n_chars" in documents.columns:
+        values["n_chars"] = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("__kept").cast(documents.schema["n_chars"].dataType))
+    return joined.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns])
+
+
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of all `documents` without 400-byte strings that start twice."""
     documents = table(spark, folder, "documents")
