@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridweave import schemas
@@ -72,6 +72,12 @@ def recommendation(passed: Column) -> Column:
     return F.when(passed, F.lit("approve")).otherwise(F.lit("manual_review"))
 
 
+def rank_candidates(metrics: DataFrame, families: Sequence[str] = ("model_family",), by: str = "rmse") -> DataFrame:
+    """Add `candidate_rank` within each family: lowest error first, a missing error last, ties by run."""
+    best = Window.partitionBy(*families).orderBy(F.col(by).asc_nulls_last(), "run_id")
+    return metrics.withColumn("candidate_rank", F.row_number().over(best))
+
+
 def latest_version(registry: DataFrame, groups: Sequence[str] = ("model_group",)) -> DataFrame:
     """Highest version of each model group."""
     return registry.groupBy(*groups).agg(

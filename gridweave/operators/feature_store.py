@@ -77,9 +77,11 @@ def to_feature_group(df: DataFrame, definitions: dict[str, str], record_identifi
 
 def upsert(stored: DataFrame | None, incoming: DataFrame, *, event_time: str = schemas.EVENT_TIME,
            written_at: str = "write_time", record_identifier: str = schemas.RECORD_ID) -> DataFrame:
-    """Latest version of every record by event time, then write time."""
+    """Latest version of every record by event time, write time, publish time, and last by a hash of the row."""
     versions = incoming if stored is None else stored.unionByName(incoming, allowMissingColumns=True)
-    newest = F.max_by(F.struct(*versions.columns), F.struct(event_time, written_at)).alias("__row")
+    published = [c for c in ("publish_time_utc",) if c in versions.columns]
+    order = F.struct(event_time, written_at, *published, F.xxhash64(*versions.columns))
+    newest = F.max_by(F.struct(*versions.columns), order).alias("__row")
     return versions.groupBy(record_identifier).agg(newest).select("__row.*")
 
 

@@ -164,10 +164,10 @@ def series_records(
     row_bound: int | None = None,
     spread: bool | None = None,
 ) -> DataFrame:
-    """Time-series records `{start, target, dynamic_feat}`, one per series.
+    """Time-series records `{segment, first_index, start, target, dynamic_feat}`.
 
-    `horizon` > 0 cuts the last rows off (training records); 0 keeps all (test records). A series longer
-    than `points` continues in further records with their own `start`, so no record outgrows a task.
+    `horizon` > 0 cuts the last rows off (training records); 0 keeps all (test records). A series is divided evenly into
+    segments of at most `points` points, numbered from 0, so no record outgrows a task; most series have one.
     """
     rows = with_target(df)
     indexed = series.series_index(
@@ -182,12 +182,14 @@ def series_records(
         "time_idx", F.col(schemas.EVENT_TIME).alias("start"), clean_double(df, schemas.TARGET).alias("y"),
         *[clean_double(df, c).alias(f"x{i}") for i, c in enumerate(covariates)],
     )
-    packed = indexed.groupBy(series_column, F.floor(F.col("time_idx") / points).alias("segment")).agg(
+    kept = F.col("__n") - horizon
+    length = F.ceil(kept / F.ceil(kept / points))
+    packed = indexed.groupBy(series_column, F.floor(F.col("time_idx") / length).alias("segment")).agg(
         F.sort_array(F.collect_list(cells)).alias("cells")
     )
     features = F.array(*[F.col(f"cells.x{i}") for i in range(len(covariates))])
     return packed.select(
-        series_column, "segment",
+        series_column, "segment", F.col("cells")[0]["time_idx"].alias("first_index"),
         series_start_text(F.col("cells")[0]["start"]).alias("start"),
         F.col("cells.y").alias("target"),
         *([features.alias("dynamic_feat")] if covariates else []),

@@ -17,8 +17,7 @@ from gridweave.session import stage
 
 ROWS_PER_TASK = 2_000_000
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 0.001
-SALTS = 32
+NULL_PARTS = 1 << 20  # rows without a key have no partners, so nothing is repeated for their parts
 
 
 def fits_one_task(df: DataFrame, keys: Sequence[str], row_bound: int | None = None) -> bool:
@@ -39,11 +38,10 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    """Keys holding over 1/1000 of the rows (so at most 1000 of them), marked by column `flag`."""
+def hot_keys(df: DataFrame, keys: Sequence[str], parts: str) -> DataFrame:
+    """Keys with more rows than one task takes, and into how many parts (column `parts`) their rows go."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    floor = max(ROWS_PER_TASK, df.count() * HOT_SHARE)
-    return counts.where(F.col("__n") > floor).select(*keys, F.lit(True).alias(flag))
+    return counts.where(F.col("__n") > ROWS_PER_TASK).select(*keys, F.ceil(F.col("__n") / ROWS_PER_TASK).cast("int").alias(parts))
 
 
 def attach_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], row_bound: int | None = None) -> DataFrame:
@@ -72,25 +70,21 @@ def balanced_left_join(
 
     Where no key can be hot this is the plain join, and Spark picks its strategy from measured sizes.
     Otherwise hot keys are found first and both sides carry two salts: a side's own hot keys are divided
-    by a hash of the row, and the other side repeats its rows of those keys once per salt, so each pair
-    of rows still meets exactly once. Rows with a null key match nothing and are spread as well. Rows that are
+    by a hash of the row into as many parts as they fill tasks, and the other side repeats its rows of those keys
+    once per part, so each pair of rows still meets exactly once. Rows with a null key match nothing and are spread as well. Rows that are
     identical in every column share a salt; Silver rows differ at least in the file they came from.
     """
     keys = list(keys)
     if not force and fits_one_task(left, keys, left_bound) and fits_one_task(right, keys, right_bound):
         return left.join(right, keys, "left")
 
-    hot = hot_keys(left, keys, "__hot_left").join(hot_keys(right, keys, "__hot_right"), keys, "full")
-    hot = hot.select(
-        *keys,
-        F.when(F.col("__hot_left"), SALTS).otherwise(1).alias("__ls"),
-        F.when(F.col("__hot_right"), SALTS).otherwise(1).alias("__rs"),
-    )
-    hot = F.broadcast(stage(hot, "hot-keys"))  # at most 2 / HOT_SHARE rows
+    hot = hot_keys(left, keys, "__ls").join(hot_keys(right, keys, "__rs"), keys, "full")
+    hot = hot.select(*keys, F.coalesce("__ls", F.lit(1)).alias("__ls"), F.coalesce("__rs", F.lit(1)).alias("__rs"))
+    hot = F.broadcast(stage(hot, "hot-keys"))  # one small row for each `ROWS_PER_TASK` rows of input at most
 
     def salted(df: DataFrame, divided: str, repeated: str, marker: Column) -> DataFrame:
         keyless = reduce(or_, [F.col(k).isNull() for k in keys])
-        parts = F.when(keyless, SALTS).otherwise(F.coalesce(divided, F.lit(1)))
+        parts = F.when(keyless, NULL_PARTS).otherwise(F.coalesce(divided, F.lit(1)))
         copies = F.coalesce(repeated, F.lit(1))
         salts = {
             divided: F.pmod(F.xxhash64(*df.columns), parts).cast("int"),

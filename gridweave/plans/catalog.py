@@ -329,7 +329,7 @@ def series_records(spark, folder):
         rows, ["settlement_period", "is_weekend"], horizon=48, row_bound=adapters.slots(spark, folder)
     )
     return out.select(
-        "dataset_name", "start", joined("target").alias("target"),
+        "dataset_name", "segment", "first_index", "start", joined("target").alias("target"),
         joined(F.col("dynamic_feat")[0]).alias("feat_0"), joined(F.col("dynamic_feat")[1]).alias("feat_1"),
     )
 
@@ -341,10 +341,10 @@ def series_records_jsonl(spark, folder):
     out = prepare.series_records(rows, ["settlement_period"], row_bound=adapters.slots(spark, folder))
     path = staging_path(spark, "records")
     writers.write_json_lines(out, path)
-    back = spark.read.schema("dataset_name string, start string, target array<double>, dynamic_feat array<array<double>>").json(path)
+    back = spark.read.schema("dataset_name string, segment long, start string, target array<double>, dynamic_feat array<array<double>>").json(path)
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, v: a + v).cast("bigint")
     return back.select(
-        "dataset_name", "start", F.size("target").cast("bigint").alias("points"), total("target").alias("demand"),
+        "dataset_name", "segment", "start", F.size("target").cast("bigint").alias("points"), total("target").alias("demand"),
         total(F.col("dynamic_feat")[0]).alias("periods"),
     )
 
@@ -539,6 +539,17 @@ def promotion_report(spark, folder):
     )
 
 
+@query
+def candidate_ranking(spark, folder):
+    """Naive forecasts by three lags, ranked per series by their error on the same rows."""
+    rows = gold_forecast(spark, folder).where("lag_48_demand_mw IS NOT NULL")
+    lags = F.array(*[F.struct(F.lit(f"lag_{n}").alias("run_id"), F.col(f"lag_{n}_demand_mw").alias("p")) for n in (1, 2, 48)])
+    made = rows.select("dataset_name", "demand_mw", F.inline(lags))
+    metrics = agg.forecast_metrics(made, ["dataset_name", "run_id"], "demand_mw", "p")
+    ranked = evaluation.rank_candidates(metrics, ["dataset_name"])
+    return ranked.select("dataset_name", "run_id", six("rmse"), "candidate_rank")
+
+
 @query
 def registry_approvals(spark, folder):
     """Every customer order as a model version: approval of passed versions, then the latest of each kind."""

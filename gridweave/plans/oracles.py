@@ -126,10 +126,13 @@ STATEMENTS = {
     "latest_n_per_series": f"SELECT dataset_name, {T}, y AS demand_mw FROM n WHERE i >= n - 96",
     "latest_partition_row": f"""SELECT dataset_name, {T}, y AS demand_mw FROM d WHERE CAST(t AS DATE) = (SELECT max(CAST(t AS DATE)) FROM d)
         QUALIFY row_number() OVER (PARTITION BY dataset_name ORDER BY t DESC) = 1""",
-    "series_records": """SELECT dataset_name, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS start, string_agg(CAST(y AS VARCHAR), ',' ORDER BY i) AS target,
+    "candidate_ranking": """SELECT dataset_name, run_id, round(e, 6) AS rmse, CAST(row_number() OVER (PARTITION BY dataset_name ORDER BY e, run_id) AS INTEGER) AS candidate_rank
+        FROM (SELECT dataset_name, u.run_id, sqrt(avg(pow(y - u.p, 2))) AS e FROM f, LATERAL (VALUES ('lag_1', lag_1), ('lag_2', lag_2), ('lag_48', lag_48)) AS u(run_id, p)
+        WHERE lag_48 IS NOT NULL GROUP BY 1, 2)""",
+    "series_records": """SELECT dataset_name, 0::BIGINT AS segment, 0::BIGINT AS first_index, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS start, string_agg(CAST(y AS VARCHAR), ',' ORDER BY i) AS target,
         string_agg(CAST(sp AS VARCHAR), ',' ORDER BY i) AS feat_0, string_agg(CAST(we AS VARCHAR), ',' ORDER BY i) AS feat_1
         FROM n WHERE i < n - 48 GROUP BY 1""",
-    "series_records_jsonl": """SELECT dataset_name, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS points, CAST(sum(y) AS BIGINT) AS demand,
+    "series_records_jsonl": """SELECT dataset_name, 0::BIGINT AS segment, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS points, CAST(sum(y) AS BIGINT) AS demand,
         CAST(sum(sp) AS BIGINT) AS periods FROM d GROUP BY 1""",
     "sequence_dataset": """SELECT a.dataset_name AS series_id, a.i AS time_idx,
         string_agg(CAST(x.y AS VARCHAR), ',' ORDER BY x.i) FILTER (WHERE x.i < a.i + 48) AS encoder,

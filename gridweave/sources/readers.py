@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,16 +47,21 @@ def read_gold(spark: SparkSession, path: str, *, target: str | None = None) -> D
     """
     try:
         frame = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet").parquet(path)
-    except AnalysisException as missing:
-        raise FileNotFoundError(f"no Parquet files under {path}") from missing
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        raise FileNotFoundError(f"no Parquet files under {path}") from problem
     return frame.where(F.col(target).isNotNull()) if target else frame
 
 
 def read_latest_partition(spark: SparkSession, path: str, partition: str = "settlement_date") -> DataFrame:
-    """Rows of the newest partition; the folders of the others are not opened."""
-    frame = read_gold(spark, path)
-    newest = frame.agg(F.max(partition)).first()[0]
-    return frame.where(F.col(partition) == F.lit(newest))
+    """Rows of the newest partition, found in the list of files; the files of other partitions are not opened."""
+    folders = {file.rsplit("/", 1)[0] for file in spark.read.schema(f"{partition} date").parquet(path).inputFiles()}
+    dated = {found[1]: folder for folder in folders if (found := re.search(rf"/{partition}=(\d[^/]*)$", folder))}
+    if not dated:
+        raise FileNotFoundError(f"no dated Parquet files under {path}")
+    reader = spark.read.option("basePath", path).option("mergeSchema", "true").option("pathGlobFilter", "*.parquet")
+    return reader.parquet(dated[max(dated)])
 
 
 def read_metrics(spark: SparkSession, path: str, *, names: str = "*evaluation*.json") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridweave.session import stage
+
 ROWS_PER_FILE = 5_000_000
 
 
@@ -47,9 +49,11 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 def write_metrics(metrics: DataFrame, path: str, history: str | None = None) -> None:
     """Metrics document of a run, and optionally a row in the table of all runs."""
-    metrics.coalesce(1).write.mode("overwrite").json(f"{path}/evaluation.json")
+    made = stage(metrics, "metrics")
+    # A row for each series: they are made in parallel and only then put into one file.
+    made.repartition(1).write.mode("overwrite").json(f"{path}/evaluation.json")
     if history:
-        metrics.coalesce(1).write.mode("append").option("mergeSchema", "true").parquet(history)
+        made.repartition(1).write.mode("append").parquet(history)
 
 
 def write_reports(report: DataFrame, path: str) -> None:

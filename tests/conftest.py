@@ -30,5 +30,4 @@ def small_tasks(monkeypatch):
 
     monkeypatch.setattr(sizing, "ROWS_PER_TASK", 40)
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", 2)
-    monkeypatch.setattr(sizing, "HOT_SHARE", 0.05)
     return sizing
