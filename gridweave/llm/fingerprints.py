@@ -52,7 +52,8 @@ def bin_of(h: Column) -> Column:
 
 def fingerprint(text: Column) -> Column:
     """Packed fingerprint as an array of longs; empty for a text without words."""
-    low = lambda h: h.bitwiseAND(F.lit((1 << BITS) - 1))
+    # The bin takes part in the stored bits: a minimum that several bins hold agrees with another by chance in each by itself.
+    low = lambda h, b: F.xxhash64(h, b).bitwiseAND(F.lit((1 << BITS) - 1))
     steps, starts = (F.array(*map(F.lit, x)) for x in probe_steps())
 
     def minima(h: Column) -> Column:
@@ -60,11 +61,11 @@ def fingerprint(text: Column) -> Column:
         return F.filter(h, lambda x, i: F.when(i == 0, True).otherwise(bin_of(x) != bin_of(F.get(h, i - 1))))
 
     def placed(m: Column) -> Column:
-        """By bin, the low bits of its minimum or null."""
-        by_bin = F.map_from_arrays(F.transform(m, bin_of), F.transform(m, low))
+        """By bin, its minimum or null."""
+        by_bin = F.map_from_arrays(F.transform(m, bin_of), m)
         # Hashes are sorted as signed numbers: the upper half of the bins comes first.
         full = F.concat(F.slice(m, BINS // 2 + 1, BINS // 2), F.slice(m, 1, BINS // 2))
-        return F.when(F.size(m) == BINS, F.transform(full, low)).otherwise(
+        return F.when(F.size(m) == BINS, full).otherwise(
             let(by_bin, lambda known: F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.try_element_at(known, b))))
 
     def dense(values: Column) -> Column:
@@ -72,7 +73,7 @@ def fingerprint(text: Column) -> Column:
             drawn = F.transform(F.sequence(F.lit(0), F.lit(probes - 1)), lambda t: (F.get(steps, b) * t + F.get(starts, b)).bitwiseAND(F.lit(BINS - 1)))
             return F.get(F.filter(F.transform(drawn, lambda c: F.get(values, c)), lambda v: v.isNotNull()), F.lit(0))
 
-        return F.transform(values, lambda v, b: F.coalesce(v, borrowed(b, 8), borrowed(b, BINS)))
+        return F.transform(values, lambda v, b: low(F.coalesce(v, borrowed(b, 8), borrowed(b, BINS)), b))
 
     def packed(values: Column) -> Column:
         def one(k: Column) -> Column:

@@ -124,11 +124,11 @@ def brute_repeats(rows, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("gathered", [1500, 1])
-def test_repeats(spark, gathered, monkeypatch):
+@pytest.mark.parametrize(("gathered", "groups"), [(1500, False), (1500, True), (1, False)])
+def test_repeats(spark, gathered, groups, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 5000)
     docs = documents(spark)
-    found = repeats.find_repeats(docs, length=120, gram=32, gathered=gathered)
+    found = repeats.find_repeats(docs, length=120, gram=32, gathered=gathered, groups=groups)
     kept = repeats.cleaned(found, 120)
     got = docs.select("doc_id", repeats.text_key().alias("h")).join(kept, "h").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(pairs(docs), 120)
@@ -169,7 +169,10 @@ def test_fingerprints(spark, tmp_path):
     rows = pairs(docs)
     got = {r["doc_id"]: r for r in fingerprints.op2_fingerprints(spark, write(spark, docs, tmp_path, "documents")).collect()}
     assert len(got) == len(rows)
-    exact = lambda t: {tuple(w) for w in ([ws[i:i + 5] for i in range(len(ws) - 4)] if len(ws := WORD.findall(t)) >= 5 else [ws] if ws else [])}
+    def exact(t: str) -> set:
+        words = WORD.findall(t)
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     errors, prints = [], {}
     for k, (doc_id, text) in enumerate(rows):
