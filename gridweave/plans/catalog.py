@@ -118,6 +118,24 @@ def landing_roundtrip(spark, folder):
     return silver_energy_view(silver.energy_to_silver(bronze)).drop("source_object_path")
 
 
+@query
+def bronze_files_silver(spark, folder):
+    """Pretty-printed payloads, one file per request in its day's folder; the path of the file read dates the rows."""
+    path = staging_path(spark, "bronze")
+    day = F.regexp_extract("source_object_path", silver.PARTITION_DATE, 1)
+    docs = adapters.bronze_energy(spark, folder).select(day.alias("dt"), F.to_json(F.struct("data"), {"pretty": "true"}).alias("value"))
+    docs.write.option("maxRecordsPerFile", 1).partitionBy("dt").text(path)
+    return silver_energy_view(silver.energy_to_silver(readers.read_bronze_energy(spark, path))).drop("source_object_path")
+
+
+@query
+def weather_table_roundtrip(spark, folder):
+    """Weather Silver written by date and read back."""
+    path = staging_path(spark, "weather")
+    writers.write_weather_silver(silver.weather_to_silver(adapters.bronze_weather(spark, folder)), path)
+    return silver_weather_view(readers.read_table(spark, path))
+
+
 @query
 def silver_table_roundtrip(spark, folder):
     """Silver written by date, then the newest date scanned."""
@@ -204,6 +222,29 @@ def gold_forecast_features(spark, folder):
     )
 
 
+@query
+def gold_promoted_scan(spark, folder):
+    """Gold fragments of two schemas read as one table, rows without a target left out at the scan."""
+    path = staging_path(spark, "fragments")
+    rows = gold_forecast(spark, folder).withColumn("demand_mw", F.when(F.col("settlement_period") != 7, F.col("demand_mw")))
+    early = F.col("interval_hour") < 12
+    rows.where(early).drop("is_weekend").write.parquet(f"{path}/version=1")
+    rows.where(~early).write.parquet(f"{path}/version=2")
+    return gold_view(readers.read_gold(spark, path, target="demand_mw"), "demand_mw", "is_weekend", "lag_1_demand_mw")
+
+
+@query
+def gold_tables_roundtrip(spark, folder):
+    """Both Gold tables written by date and read back, side by side."""
+    path = staging_path(spark, "gold-tables")
+    features = stage(gold_forecast(spark, folder, deviation=True), "features")
+    writers.write_forecast_gold(features.drop("rolling_stddev_48_demand_mw"), f"{path}/forecast")
+    writers.write_anomaly_gold(gold.anomaly_features(features), f"{path}/anomaly")
+    forecast, anomaly = readers.read_gold(spark, f"{path}/forecast"), readers.read_gold(spark, f"{path}/anomaly")
+    both = gold_view(forecast, "lag_2_demand_mw").join(gold_view(anomaly, six("rolling_z_score")), ["dataset_name", "interval_start_utc"])
+    return both
+
+
 @query
 def gold_two_sites(spark, folder):
     """Demand meets the weather of two sites: each demand row is there twice, with the same lags."""

@@ -98,6 +98,12 @@ STATEMENTS = {
         CAST(date_part('hour', t) AS INTEGER) AS interval_hour, dow AS day_of_week, CAST(month(t) AS INTEGER) AS month_of_year, we AS is_weekend,
         lag_1 AS lag_1_demand_mw, lag_2 AS lag_2_demand_mw, lag_48 AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw,
         min_48 AS rolling_min_48_demand_mw, max_48 AS rolling_max_48_demand_mw FROM gold""",
+    "bronze_files_silver": "SELECT * EXCLUDE (source_object_path) FROM silver",
+    "weather_table_roundtrip": "SELECT * EXCLUDE (h) FROM weather",
+    "gold_promoted_scan": f"""SELECT dataset_name, {T}, y AS demand_mw, CASE WHEN date_part('hour', t) >= 12 THEN we END AS is_weekend, lag_1 AS lag_1_demand_mw
+        FROM (SELECT dataset_name, t, we, sp, y, lag_1 FROM gold) WHERE sp <> 7""",
+    "gold_tables_roundtrip": f"""SELECT dataset_name, {T}, lag_2 AS lag_2_demand_mw,
+        round(CASE WHEN sd_48 <> 0 THEN (y - mean_48) / sd_48 END, 6) AS rolling_z_score FROM gold""",
     "gold_two_sites": f"""SELECT dataset_name, {T}, y AS demand_mw, round(temperature_2m + u.plus, 6) AS temperature_2m, lag_1 AS lag_1_demand_mw,
         lag_48 AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw
         FROM gold, LATERAL (VALUES (0), (1)) AS u(plus) WHERE u.plus = 0 OR weather_timestamp IS NOT NULL""",
