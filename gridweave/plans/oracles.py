@@ -241,7 +241,7 @@ STATEMENTS = {
         SELECT strftime(t, '%Y-%m-%d %H:%M:%S') AS interval_start_utc, count(*) AS n, CAST(sum(y) AS BIGINT) AS demand, CAST(sum(l) AS BIGINT) AS lag_48,
         round(sum(a), 4) AS rolling_mean, CAST(sum(mn) AS BIGINT) AS rolling_min, CAST(sum(mx) AS BIGINT) AS rolling_max FROM y GROUP BY 1""",
     "stream_halfhour_demand": """SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS interval_start_utc, event_type, CAST(sum(c) AS BIGINT) AS total, count(*) AS n FROM e
-        GROUP BY b, event_type HAVING b + INTERVAL '30 minutes' <= (SELECT max(ts) - INTERVAL '1 hour' FROM events)""",
+        GROUP BY b, event_type""",
     "stream_silver": "SELECT * EXCLUDE (source_object_path, bronze_ingestion_date) FROM silver",
 }
 

@@ -118,3 +118,20 @@ def test_day_counts_reach_out_for_sparse_series(spark):
     near = incremental.rows_per_day(frame.where("dataset_name = 'dense'"), touched, rows=5)
     assert near.count() == 17
     assert incremental.rows_per_day(frame, touched, rows=5).count() == 42
+
+
+def test_half_hour_sums_lose_nothing(spark, tmp_path):
+    """Files that land out of order, weeks late, give the sums of the whole table, and a second run adds only new files."""
+    rows = [(f"2026-03-{day:02d} {hour:02d}:{minute:02d}:00", "ab"[hour % 2], day + hour) for day in (25, 3, 26) for hour in range(0, 24, 5) for minute in (1, 29, 31)]
+    frame = spark.createDataFrame(rows, "at string, k string, v int").selectExpr("CAST(at AS timestamp) AS ts", "k", "CAST(v AS bigint) AS v")
+    parts = [frame.where(f"day(ts) = {day}") for day in (25, 3, 26)]
+    for number, part in enumerate(parts[:2]):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    run = lambda: incremental.stream_half_hour_sums(
+        spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), "ts", "k", "v", f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
+    run()
+    parts[2].coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    run()
+    got = incremental.read_half_hour_sums(spark, f"{tmp_path}/out", "k").selectExpr("CAST(interval_start_utc AS string) AS t", "k", "total", "n")
+    expected = frame.groupBy(F.window("ts", "30 minutes").start.cast("string").alias("t"), "k").agg(F.sum("v").alias("total"), F.count("v").alias("n"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
