@@ -136,7 +136,7 @@ def estimate(counts: Sequence[tuple[tuple[int, ...], int]]) -> Weights:
     """Expectation-maximisation over (votes, documents) from a fixed start until it stands still."""
     rules = len(counts[0][0]) if counts else 0
     at = Weights(0.8, (START[0],) * rules, (START[1],) * rules)
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS if any(n for _, n in counts) else 0):
         mass = [[1.0, 1.0], *[[2.0, 2.0, 2.0, 2.0] for _ in range(rules)]]  # a few imagined votes keep shares off 0 and 1
         right = [[1.6, 1.6] for _ in range(rules)]
         for votes, n in counts:
