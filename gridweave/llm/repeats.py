@@ -146,7 +146,10 @@ def maximal_repeats(parts: list[bytes], starts: list[int], length: int, owner: l
 
 @dataclass(frozen=True)
 class Repeats:
-    """`texts`: a bucketed table of `h, text, copies`; `occurrences`: `repeat, h, start, end`, bytes; `name` of the table."""
+    """`texts`: a bucketed table of `h, text, copies`; `occurrences`: `repeat, h, start, end`, bytes; `name` of the table.
+
+    `repeat` names the group of an occurrence; it is null where occurrences in a segment were merged.
+    """
 
     texts: DataFrame
     occurrences: DataFrame
@@ -158,12 +161,13 @@ def text_key(text: str = "text"):
     return F.unhex(F.substring(F.sha2(whole_text(text), 256), 1, 32))
 
 
-def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, gathered: int = GATHERED) -> Repeats:
+def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, gathered: int = GATHERED, groups: bool = False) -> Repeats:
     """All occurrences of maximal repeats of at least `length` bytes in the texts of `documents`.
 
     Texts are UTF-8 bytes, a null text is empty, and repeats do not cross texts. Equal texts are looked at once; that
-    they repeat each other is told by `copies`. `repeat` names a group of occurrences. Strings of very frequent anchors come
-    as occurrences of exactly `length` bytes. An empty table has no occurrences.
+    they repeat each other is told by `copies`. With `groups` all occurrences of every maximal repeat come out, which are
+    many where many variants of a passage nest; without, what they cover of a segment. Strings of very frequent anchors
+    come as occurrences of exactly `length` bytes. An empty table has no occurrences.
     """
     import pyarrow as pa
 
@@ -202,8 +206,8 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, g
         F.xxhash64("a", "body").alias("repeat"), "h", F.explode("at").alias("start"), "n").select(
         "repeat", "h", "start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
     # Segments to compare: of anchors with several different ones, of which one at least is there once only.
-    groups = bodies.groupBy("a").agg(F.count(F.lit(1)).alias("bodies"), F.min("times").alias("least")).where("bodies > 1 AND least = 1").select("a", "bodies")
-    asked = bodies.join(groups, "a").select("a", "bodies", F.col("one.h").alias("h"), F.struct("a", F.col("one.at").alias("at"), F.col("one.n").alias("n"), (F.col("bodies") > gathered).alias("hot")).alias("s"))
+    mixed = bodies.groupBy("a").agg(F.count(F.lit(1)).alias("bodies"), F.min("times").alias("least")).where("bodies > 1 AND least = 1").select("a", "bodies")
+    asked = bodies.join(mixed, "a").select("a", "bodies", F.col("one.h").alias("h"), F.struct("a", F.col("one.at").alias("at"), F.col("one.n").alias("n"), (F.col("bodies") > gathered).alias("hot")).alias("s"))
     by_text = asked.groupBy("h").agg(F.collect_list("s").alias("s"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,11 +238,24 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, g
         size = 0
 
         def solve() -> pa.RecordBatch:
-            rows = []
+            rows: list[tuple] = []
+            covers: dict[int, list[tuple[int, int]]] = {}
             for prefix, members in maximal_repeats([r[4] for r in held], [r[3] for r in held], length, [r[0] for r in held]):
-                k, place = members[0]
-                name = xxhash.xxh3_64_intdigest(held[k][4][place: place + prefix]) >> 1
-                rows += [(name, held[k][1], held[k][2] + place, held[k][2] + place + prefix) for k, place in members]
+                if groups:
+                    k, place = members[0]
+                    name = xxhash.xxh3_64_intdigest(held[k][4][place: place + prefix]) >> 1
+                    rows += [(name, held[k][1], held[k][2] + place, held[k][2] + place + prefix) for k, place in members]
+                else:
+                    for k, place in members:
+                        covers.setdefault(k, []).append((place, place + prefix))
+            for k, spans in covers.items():
+                spans.sort()
+                first, last = spans[0]
+                for start, end in [*spans[1:], (1 << 40, 0)]:
+                    if start > last:
+                        rows.append((None, held[k][1], held[k][2] + first, held[k][2] + last))
+                        first, last = start, end
+                    last = max(last, end)
             kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)], ["repeat", "h", "start", "end"])
 
