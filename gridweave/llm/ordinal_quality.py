@@ -23,14 +23,14 @@ from gridweave.llm.shingles import WordHasher, numbers, shingles, texts
 
 HASH_BITS = 18
 #: Bytes of the beginnings of words that are features beside the whole word.
-HEADS = (5, 6, 7)
+HEADS = (6,)
 SHARES = 4
 #: Sampled texts that must have a feature, and the probability of the highest grade from which a document is kept: labels of
 #: the highest grade prevail, so an even chance of it is already a sign of something wrong.
 LEAST_TEXTS, LEAST = 20, 0.8
 FEATURES = (1 << HASH_BITS) + 256 + SHARES
 #: Labelled rows that the model is fitted on, at most.
-SAMPLE = 20_000
+SAMPLE = 5_000
 
 
 def features(hasher: WordHasher, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +80,7 @@ def fit(starts: np.ndarray, index: np.ndarray, values: np.ndarray, grades: np.nd
         bounds = np.log((1 - tail) / tail)
         shape[0] = bounds[0]
         shape[1:] = np.log(np.maximum(np.diff(bounds), 0.05))
-    of_row = np.repeat(np.arange(rows), np.diff(starts))
+    of_row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(starts))
     common = np.bincount(index, minlength=FEATURES)[index] >= least_texts
     of_row, index, values = of_row[common], index[common], values[common]
     moments = [np.zeros(FEATURES + levels - 1), np.zeros(FEATURES + levels - 1)]
@@ -131,11 +131,12 @@ def train(rated: DataFrame, levels: int, sample: int = SAMPLE) -> Model:
     made = chosen.select(F.coalesce("text", F.lit("")).alias("text"), F.col("grade").cast("int").alias("grade"), "order").mapInArrow(
         run, "grade int, order long, index binary, values binary")
     rows = sorted(made.collect(), key=lambda r: (r["order"], r["index"], r["values"]))[:sample]
-    index = [np.frombuffer(r["index"], "<i4") for r in rows]
-    values = [np.frombuffer(r["values"], "<f4") for r in rows]
-    starts = np.concatenate(([0], np.cumsum([len(x) for x in index]))).astype(np.int64)
-    none = np.zeros(0)
-    return fit(starts, np.concatenate([none.astype(np.int64), *index]), np.concatenate([none, *values]), np.array([r["grade"] for r in rows], np.int64), levels)
+    starts = np.concatenate(([0], np.cumsum([len(r["index"]) // 4 for r in rows]))).astype(np.int64)
+    index = np.frombuffer(b"".join(r["index"] for r in rows), "<i4")
+    values = np.frombuffer(b"".join(r["values"] for r in rows), "<f4")
+    grades = np.array([r["grade"] for r in rows], np.int64)
+    del rows
+    return fit(starts, index, values, grades, levels)
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
