@@ -5,7 +5,7 @@ blocks floor(e) times and, in one more round, blocks in a permuted order until t
 border is cut, so a source takes exactly its rounded target. Each (round, block) is a draw. The tree halves the output
 shards again and again; at each node the draws of each source that go left are a multivariate-hypergeometric sample, so
 every shard gets an exact quota of draws of each source. A shard's quota is a run of the source's permuted draws: draws
-are disjoint between shards. Inside a shard, documents are ordered by a hash.
+are disjoint between shards. Inside a shard, documents are ordered by a hash; `mixed_documents` puts rows out in that order.
 
 Only numbers by source and shard reach the driver: three per source, and the tree's quotas.
 """
@@ -24,6 +24,8 @@ from gridweave.session import stage
 
 #: Words of a block on average, slices of a source's permuted blocks, output shards, most repeats of a document.
 BLOCK_WORDS, SLICES, SHARDS, MOST = 65_536, 1024, 64, 3
+#: Draws of a shard on average, at least: with fewer, shards of single sources would follow each other. Words of an output task.
+SHARD_DRAWS, TASK_WORDS = 8, 4_000_000
 DIGITS = 60 // 4
 CYCLE = (1, 2, 3)
 
@@ -102,6 +104,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int =
     The mix has a row for each time a document is taken: `row, shard, shuffle_key, round, words`; `words` is less than the
     document's size in one document of a source at most. Documents without words are never taken. A null source is a
     source. Rows that repeat a document are documents of their own. `docs` is read several times: pass a written table.
+    There are fewer than `shards` shards where each would have fewer than `SHARD_DRAWS` draws.
     """
     spark = docs.sparkSession
     sources = source_targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, most)
@@ -136,6 +139,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int =
         F.sum(F.col("rounds") + (F.col("last") > 0).cast("long")).alias("draws")).collect()}
     in_round = {r["place"]: r["n"] for r in ordered.groupBy("place").count().withColumnRenamed("count", "n").collect()}
     places = sorted(draws)
+    shards = max(1, min(shards, sum(draws.values()) // SHARD_DRAWS))
     tree = splitting_tree([draws[p] for p in places], shards, seed)
     ends, so_far = {p: [] for p in places}, dict.fromkeys(places, 0)
     for quotas in tree:
@@ -170,8 +174,9 @@ def sized(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
-    """The mix of `documents` as documents: a row for each time one is taken, in no order across rows.
+    """The mix of `documents` as documents: a row for each time one is taken, by shard and in a shard by the shuffle key.
 
+    A partition is a run of one shard's order, so files written from the result hold that order, and readers of files meet it.
     A document cut at its source's border keeps its first words. Rows carry every column of `documents`; `n_chars` is set
     again where the text was cut. With no words at all the mix is empty.
     """
@@ -183,11 +188,19 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
         F.regexp_count(F.coalesce("__doc.text", F.lit("")), F.lit(WORD)).cast("long").alias("size"))
     narrow = stage(narrow, "mix-narrow")
     rows, _ = mix(narrow, **options)
-    taken = rows.join(narrow.select("row", "size"), "row").select(F.col("row").alias("__row"), F.when(F.col("words") < F.col("size"), F.col("words")).alias("__words"))
+    taken = stage(rows.join(narrow.select("row", "size"), "row").select(
+        F.col("row").alias("__row"), F.when(F.col("words") < F.col("size"), F.col("words")).alias("__words"),
+        F.col("shard").alias("__shard"), F.col("shuffle_key").alias("__key"), F.col("round").alias("__round"), F.col("words").alias("__taken")), "mix-taken")
+    last, words = taken.agg(F.max("__shard"), F.sum("__taken")).first()
+    shards = (last or 0) + 1
+    # Runs of a shard: equal parts of the range of its keys, which are 60 even bits.
+    parts = max(1, -(-(words or 0) // (shards * TASK_WORDS)))
+    run = F.shiftright(F.shiftright("__key", 4 * DIGITS - 30) * F.lit(parts).cast("long"), 30)
     joined = keyed_rows.join(taken, "__row")
     head = F.array_join(F.slice(F.regexp_extract_all(F.col("__doc.text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("__words").cast("int")), "")
     text = F.when(F.col("__words").isNull(), F.col("__doc.text")).otherwise(head)
-    out = joined.select("__doc", text.alias("__text"), "__words")
+    out = joined.select("__doc", text.alias("__text"), "__words", "__shard", "__key", "__row", "__round")
+    out = out.repartitionById(shards * parts, (F.col("__shard") * parts + run).cast("int")).sortWithinPartitions("__shard", "__key", "__row", "__round")
     values = {"text": F.col("__text")}
     if "n_chars" in names:
         kind = documents.schema["n_chars"].dataType

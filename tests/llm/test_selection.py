@@ -169,6 +169,33 @@ def test_mix_edges(spark):
     assert len(cut) <= 6 and all(any(t.startswith(r["text"]) for t in texts) and r["n_chars"] == len(r["text"]) for r in cut)
 
 
+def test_mixed_documents_are_in_the_order_of_the_tree(spark, tmp_path, monkeypatch):
+    """Files hold shards with the tree's quotas, in the shuffled order; sources that lie apart in the input are mingled."""
+    monkeypatch.setattr(mixing, "TASK_WORDS", 1_500)
+    docs = spark.range(600).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 300, "a").otherwise("b").alias("source"),
+        F.concat_ws(" ", F.lit("d"), F.col("id"), F.lit("c d e f g h i j")).alias("text"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.schema(docs.schema).parquet(str(tmp_path / "docs"))
+    sizes = mixing.sized(docs, "doc_id", "source")
+    options = {"shards": 3, "block_words": 60, "slices": 4, "cycle": (1, 2)}
+    rows, sources = mixing.mix(sizes, **options)
+    block = F.pmod(mixing.keyed("0", F.col("doc_id")), F.col("blocks"))
+    made = rows.join(sizes, "row").join(sources.select("source", "place", "blocks"), "source").withColumn("block", block).collect()
+    draws = {(r["shard"], r["place"], r["round"], r["block"]) for r in made}
+    count = Counter((shard, place) for shard, place, _, _ in draws)
+    tree = mixing.splitting_tree([sum(n for (_, p), n in count.items() if p == place) for place in (1, 2)], 3, 0)
+    assert [[count[shard, place] for place in (1, 2)] for shard in range(3)] == tree
+    expected = [r["doc_id"] for r in sorted(made, key=lambda r: (r["shard"], r["shuffle_key"]))]
+    mixing.mixed_documents(docs, **options).write.parquet(str(tmp_path / "mix"))
+    files = sorted((tmp_path / "mix").glob("*.parquet"))
+    found = [r["doc_id"] for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert len(files) > 3 and found == expected
+    sources_in_order = [k < 300 for k in found]
+    runs = sum(a != b for a, b in zip(sources_in_order, sources_in_order[1:]))
+    assert runs > len(found) / 4
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("kept", F.lit(1)).withColumn("__extra", F.lit("x"))
     sizes = []
