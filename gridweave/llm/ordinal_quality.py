@@ -6,16 +6,18 @@ P(grade >= k) = sigmoid(s - threshold k). So a document gets an expected grade a
 Features are hashed words (A-Z as a-z), hashed beginnings of words (compounds of a stem share them), bytes, and a few
 shares of repetition; each is the square root of its share in the text, so texts of all lengths have the same scale. A
 feature that few sampled texts have keeps weight 0: it could only be learned by heart. The model is fitted on a
-bounded sample of labelled rows, drawn by a hash of the id; scoring reads every whole text.
+bounded sample of labelled rows, drawn by a hash of the id, in one task of an executor: features stay off the driver, which
+gets weights and thresholds. Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridweave.llm.common import table, whole_text
@@ -23,14 +25,16 @@ from gridweave.llm.shingles import WordHasher, numbers, shingles, texts
 
 HASH_BITS = 18
 #: Bytes of the beginnings of words that are features beside the whole word.
-HEADS = (6,)
+HEADS = (5, 6, 7)
 SHARES = 4
 #: Sampled texts that must have a feature, and the probability of the highest grade from which a document is kept: labels of
 #: the highest grade prevail, so an even chance of it is already a sign of something wrong.
 LEAST_TEXTS, LEAST = 20, 0.8
 FEATURES = (1 << HASH_BITS) + 256 + SHARES
-#: Labelled rows that the model is fitted on, at most.
-SAMPLE = 5_000
+#: Labelled rows that the model is fitted on, at most, and how many of them may share a doc_id.
+SAMPLE, PER_ID = 5_000, 16
+#: Features of rows that are in memory at once while the model is fitted.
+PART = 1 << 22
 
 
 def features(hasher: WordHasher, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,13 +84,19 @@ def fit(starts: np.ndarray, index: np.ndarray, values: np.ndarray, grades: np.nd
         bounds = np.log((1 - tail) / tail)
         shape[0] = bounds[0]
         shape[1:] = np.log(np.maximum(np.diff(bounds), 0.05))
-    of_row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(starts))
-    common = np.bincount(index, minlength=FEATURES)[index] >= least_texts
-    of_row, index, values = of_row[common], index[common], values[common]
+    cuts = [0]
+    while cuts[-1] < rows:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(starts, starts[cuts[-1]] + PART, "right")) - 1))
+    parts = [(lo, hi, slice(starts[lo], starts[hi])) for lo, hi in zip(cuts, cuts[1:])]
+    of_row = lambda lo, hi: np.repeat(np.arange(hi - lo), np.diff(starts[lo:hi + 1]))
+    common = np.zeros(FEATURES, np.int64)
+    for _, _, of in parts:
+        common += np.bincount(index[of], minlength=FEATURES)
+    common = common >= least_texts
     moments = [np.zeros(FEATURES + levels - 1), np.zeros(FEATURES + levels - 1)]
     thresholds = lambda: shape[0] + np.concatenate(([0.0], np.cumsum(np.exp(shape[1:]))))
     for step in range(1, rounds + 1 if rows else 1):
-        scores = np.bincount(of_row, values * weights[index], rows)
+        scores = np.concatenate([np.bincount(of_row(lo, hi), values[of] * weights[index[of]], hi - lo) for lo, hi, of in parts])
         tails = Model(weights, thresholds()).tails(scores)
         tails = np.concatenate((np.ones((rows, 1)), tails, np.zeros((rows, 1))), axis=1)
         upper, lower = tails[np.arange(rows), grades], tails[np.arange(rows), grades + 1]
@@ -97,7 +107,8 @@ def fit(starts: np.ndarray, index: np.ndarray, values: np.ndarray, grades: np.nd
         for k in range(1, levels):
             to_bound[k - 1] = (slopes[grades == k, k] / share[grades == k]).sum() / rows - (slopes[grades == k - 1, k] / share[grades == k - 1]).sum() / rows
         to_shape = np.concatenate(([to_bound.sum()], np.exp(shape[1:]) * np.cumsum(to_bound[::-1])[::-1][1:]))
-        gradient = np.concatenate((np.bincount(index, values * to_score[of_row], FEATURES) + penalty * weights, to_shape))
+        to_weight = sum(np.bincount(index[of], values[of] * to_score[lo:hi][of_row(lo, hi)], FEATURES) for lo, hi, of in parts)
+        gradient = np.concatenate((to_weight * common + penalty * weights, to_shape))
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.99 * moments[1] + 0.01 * gradient**2
         move = rate * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-8)
@@ -114,12 +125,18 @@ def drawn(doc_id: str) -> Column:
 def train(rated: DataFrame, levels: int, sample: int = SAMPLE) -> Model:
     """Fit on at most `sample` rows of `doc_id, text, grade` (0 to `levels` - 1), those with the smallest hash of the id.
 
-    Rows with a null grade are passed over; a null text counts as empty. Features are made where the rows are and come to
-    the driver, so `rated` is to be a sample already (`sampled_labels`), hardly larger than `sample`.
+    Rows with a null grade are passed over; a null text counts as empty. Of rows with the same id, `PER_ID` take part, those
+    with the smallest hash of text and grade. Features are made where the rows are. One task fits: it holds `sample` rows at
+    most, in files of its own, so `rated` is to be a sample already (`sampled_labels`), hardly larger than `sample`.
     """
     import pyarrow as pa
 
-    chosen = rated.where("grade IS NOT NULL").select("text", "grade", drawn("doc_id").alias("order"))
+    of_id = Window.partitionBy("order", "doc_id").orderBy("tie", "grade")
+    chosen = rated.where("grade IS NOT NULL").select(
+        "doc_id", whole_text().alias("text"), F.col("grade").cast("int").alias("grade"), drawn("doc_id").alias("order"),
+        F.xxhash64(whole_text(), F.lit(12)).alias("tie"))
+    chosen = chosen.withColumn("place", F.row_number().over(of_id)).where(F.col("place") <= PER_ID).select("text", "grade", "order")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
@@ -128,15 +145,30 @@ def train(rated: DataFrame, levels: int, sample: int = SAMPLE) -> Model:
                 batch.column(1), batch.column(2), pa.array([x.astype("<i4").tobytes() for x in index], pa.binary()),
                 pa.array([x.astype("<f4").tobytes() for x in values], pa.binary())], ["grade", "order", "index", "values"])
 
-    made = chosen.select(F.coalesce("text", F.lit("")).alias("text"), F.col("grade").cast("int").alias("grade"), "order").mapInArrow(
-        run, "grade int, order long, index binary, values binary")
-    rows = sorted(made.collect(), key=lambda r: (r["order"], r["index"], r["values"]))[:sample]
-    starts = np.concatenate(([0], np.cumsum([len(r["index"]) // 4 for r in rows]))).astype(np.int64)
-    index = np.frombuffer(b"".join(r["index"] for r in rows), "<i4")
-    values = np.frombuffer(b"".join(r["values"] for r in rows), "<f4")
-    grades = np.array([r["grade"] for r in rows], np.int64)
-    del rows
-    return fit(starts, index, values, grades, levels)
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, grades = [0], []
+        with tempfile.TemporaryFile() as indexes, tempfile.TemporaryFile() as values:
+            for batch in batches:
+                for grade, i, v in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                    if len(grades) == sample:
+                        break
+                    grades.append(grade)
+                    starts.append(starts[-1] + len(i) // 4)
+                    indexes.write(i)
+                    values.write(v)
+            indexes.flush()
+            values.flush()
+            held = [np.memmap(f, kind, "r") if starts[-1] else np.zeros(0, kind) for f, kind in ((indexes, "<i4"), (values, "<f4"))]
+            model = fit(np.array(starts, np.int64), *held, np.array(grades, np.int64), levels)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([model.weights.astype("<f4").tobytes()], pa.binary()), pa.array([model.thresholds.astype("<f8").tobytes()], pa.binary())], ["weights", "thresholds"])
+
+    made = chosen.mapInArrow(run, "grade int, order long, index binary, values binary")
+    found = made.repartition(1).sortWithinPartitions("order", "index", "values").select("grade", "index", "values").mapInArrow(
+        solve, "weights binary, thresholds binary").first()
+    if found is None:
+        return fit(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), levels)
+    return Model(np.frombuffer(found["weights"], "<f4"), np.frombuffer(found["thresholds"], "<f8"))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -163,17 +195,16 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return given.mapInArrow(run, StructType(fields))
 
 
-def graded(labels: DataFrame, documents: DataFrame) -> DataFrame:
-    """`doc_id, text, grade` of labelled documents: 0 is of low quality, 1 good but toxic, 2 good."""
+def grades_of(labels: DataFrame) -> DataFrame:
+    """`doc_id, grade` of labels that tell it, equal ones once: 0 is of low quality, 1 good but toxic, 2 good."""
     rating = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
-    rated = labels.select(F.col("doc_id").alias("__id"), rating.alias("grade"))
-    return documents.select("doc_id", "text").join(rated, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "grade")
+    return labels.where("quality IS NOT NULL").select("doc_id", rating.alias("grade")).where("doc_id IS NOT NULL AND grade IS NOT NULL").distinct()
 
 
-def sampled_labels(labels: DataFrame, sample: int) -> DataFrame:
-    """A little over `sample` labelled rows at most, those with the smallest hash of the id, so that few rows meet the texts."""
-    share = min(1.0, (1.05 * sample + 100) / max(labels.count(), 1))
-    return labels.where(drawn("doc_id") <= F.lit(int(share * (1 << 40))))
+def sampled_labels(grades: DataFrame, sample: int) -> DataFrame:
+    """A little over `sample` graded ids at most, those with the smallest hash of the id, so that few rows meet the texts."""
+    share = min(1.0, (1.05 * sample + 100) / max(grades.count(), 1))
+    return grades.where(drawn("doc_id") <= F.lit(int(share * (1 << 40))))
 
 
 def judged(documents: DataFrame, labels: DataFrame, least: float = LEAST, sample: int = SAMPLE) -> DataFrame:
@@ -181,9 +212,10 @@ def judged(documents: DataFrame, labels: DataFrame, least: float = LEAST, sample
 
     With no labels all grades are equally likely and the middle threshold decides; an empty table gives no rows.
     """
-    chosen = sampled_labels(labels.where("quality IS NOT NULL"), sample)
-    # At most a little more than `sample` ids of 8 bytes: small by construction.
-    model = train(graded(F.broadcast(chosen.select("doc_id", "quality", "toxic")), documents), 3, sample)
+    # At most a little more than `sample` ids and grades: an id has three grades at most.
+    chosen = F.broadcast(sampled_labels(grades_of(labels), sample).withColumnRenamed("doc_id", "__id"))
+    rated = documents.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "grade")
+    model = train(rated, 3, sample)
     return score(documents, model).withColumn("__kept", F.col("__tail") >= least)
 
 

@@ -105,6 +105,37 @@ def test_ordinal_quality_query(spark, tmp_path):
     assert kept.count() == docs.count() and set(docs.columns) < set(kept.columns)
 
 
+def test_ordinal_features_stay_off_the_driver(spark, monkeypatch):
+    """All beginnings of words are features, the fit is that of the driver, in parts too, and one id cannot fill the sample."""
+    assert ordinal_quality.HEADS == (5, 6, 7)
+    draw, data = random.Random(9), []
+    for k in range(120):
+        data.append((k, sentence(draw, 40) + " excellent" * (4 * (k % 3)), k % 3))
+    rated = spark.createDataFrame(data + [(500, f"again {k}", 0) for k in range(300)], "doc_id long, text string, grade int").repartition(3)
+    collected = []
+    plain = type(rated).collect
+    monkeypatch.setattr(type(rated), "collect", lambda self: collected.append(self.columns) or plain(self))
+    model = ordinal_quality.train(rated, 3)
+    assert not [c for c in collected if "index" in c or "text" in c]
+    monkeypatch.undo()
+    taken = []
+    fit = lambda rows: ordinal_quality.fit(
+        np.concatenate(([0], np.cumsum([len(i) for i, _, _ in rows]))), np.concatenate([i for i, _, _ in rows]),
+        np.concatenate([v for _, v, _ in rows]), np.array([g for _, _, g in rows]), 3)
+    again = rated.where("doc_id = 500").orderBy(F.xxhash64("text", F.lit(12))).limit(ordinal_quality.PER_ID).collect()
+    order = {r["doc_id"]: r["o"] for r in rated.select("doc_id", ordinal_quality.drawn("doc_id").alias("o")).distinct().collect()}
+    hasher = WordHasher()
+    for r in [*data, *map(tuple, again)]:
+        i, v = ordinal_quality.features(hasher, np.frombuffer(r[1].encode(), np.uint8))
+        taken.append(((order[r[0]], i.astype("<i4").tobytes(), v.astype("<f4").tobytes()), i, v, r[2]))
+    taken = [x[1:] for x in sorted(taken, key=lambda x: x[0])]
+    expected = fit(taken)
+    assert np.allclose(model.weights, expected.weights, atol=1e-4) and np.allclose(model.thresholds, expected.thresholds, atol=1e-4)
+    monkeypatch.setattr(ordinal_quality, "PART", 1000)
+    cut = fit(taken)
+    assert np.allclose(cut.weights, expected.weights, atol=1e-4) and np.allclose(cut.thresholds, expected.thresholds, atol=1e-4)
+
+
 def brute_targets(sizes, most=3):
     names = sorted([s for s in sizes if s is not None], key=lambda s: s.encode()) + ([None] if None in sizes else [])
     weight = {s: (1, 2, 3)[k % 3] for k, s in enumerate(names)}
