@@ -14,6 +14,10 @@ from gridweave.session import stage
 from gridweave.sources import readers, writers
 
 
+#: What tells a published record from others.
+RECORD = ["dataset_name", "interval_start_utc", "settlement_period", "publish_time_utc"]
+
+
 def stream_bronze(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Payload files as they land."""
     return spark.readStream.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(path)
@@ -37,9 +41,28 @@ def stream_weather_to_silver(spark: SparkSession, bronze: str, target: str, chec
 
 
 def drop_relanded(stream: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Drop copies of a published record that land again within `delay`."""
-    keys = ["dataset_name", "interval_start_utc", "settlement_period", "publish_time_utc"]
-    return stream.withWatermark("publish_time_utc", delay).dropDuplicatesWithinWatermark(keys)
+    """Drop copies of a published record that land again within `delay`, and records later than that (`stream_relanded` keeps them)."""
+    return stream.withWatermark("publish_time_utc", delay).dropDuplicatesWithinWatermark(RECORD)
+
+
+def stream_relanded(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Published records without a watermark: each micro-batch writes what landed to a folder of its own.
+
+    No record is too late; copies collapse in `read_relanded`. A batch that runs again replaces its folder.
+    """
+    def add(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_relanded(spark: SparkSession, target: str) -> DataFrame:
+    """One row of each published record of all micro-batches so far, as it first landed; records without readable times all stay."""
+    parts = spark.read.parquet(target)
+    names = [c for c in parts.columns if c != "batch"]
+    timed = F.col("interval_start_utc").isNotNull() & F.col("publish_time_utc").isNotNull()
+    first = parts.where(timed).groupBy(*RECORD).agg(F.min_by(F.struct(*names), "batch").alias("__first")).select("__first.*")
+    return first.unionByName(parts.where(~timed).select(*names))
 
 
 def half_hour_sums(stream: DataFrame, time: str, key: str, value: str, delay: str = "1 hour") -> DataFrame:
@@ -75,14 +98,18 @@ def refresh_gold(spark: SparkSession, silver_energy: str, silver_weather: str, g
     """Recompute the Gold dates that newly arrived demand rows can change.
 
     A changed day alters its own rows and, through lags and rolling frames, the 48 rows after it. Those dates are
-    replaced; the dates holding the 48 rows before them are read as history; all others stay untouched.
+    replaced; the dates holding the 48 rows before them are read as history; all others stay untouched. Rows without a date
+    can stand between the rows of any date, so while Silver has some, Gold is made again as a whole.
     """
     def refresh(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        touched = batch.select(F.col("settlement_date").alias("d")).where("d IS NOT NULL").distinct()
+        touched = batch.select(F.col("settlement_date").alias("d")).distinct()
         if touched.isEmpty():
             return
         energy = readers.read_table(session, silver_energy)
+        if not energy.where("settlement_date IS NULL").isEmpty():
+            writers.write_forecast_gold(gold.forecast_features(silver.latest_energy(energy), readers.read_table(session, silver_weather)), gold_path)
+            return
         rewrite, history = affected_dates(rows_per_day(energy, touched), touched)
         # Calendar dates: a few tens of thousands at the very most.
         dates = F.broadcast(stage(rewrite.select("settlement_date").distinct(), "rewrite"))

@@ -58,6 +58,20 @@ def test_relanded_records_are_dropped(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 7
 
 
+def test_a_late_backfill_is_kept(spark, tmp_path):
+    """Records published weeks before the newest seen stay, copies collapse, and the stream equals a batch over the files."""
+    bronze, target = tmp_path / "bronze", str(tmp_path / "out")
+    for name, document in (("a", payload(24, range(4))), ("b", payload(2, range(3))), ("c", payload(24, range(6))), ("d", payload(2, range(4)))):
+        land(bronze, name, document)
+        stream = silver.energy_to_silver(incremental.stream_bronze(spark, str(bronze), incremental.schemas.BRONZE_ENERGY))
+        incremental.stream_relanded(stream, target, str(tmp_path / "cp")).awaitTermination()
+    flat = silver.energy_to_silver(readers.read_bronze_energy(spark, str(bronze)))
+    expected = flat.select(incremental.RECORD).distinct()
+    found = incremental.read_relanded(spark, target)
+    show = lambda df: sorted(map(repr, df.select(incremental.RECORD).collect()))
+    assert show(found) == show(expected) and found.count() == 10 and sorted(found.columns) == sorted(flat.columns)
+
+
 def test_gold_refresh_equals_full_run(spark, tmp_path):
     silver_energy, silver_weather, target = (str(tmp_path / n) for n in ("se", "sw", "gold"))
     weather = spark.sql("""SELECT 51.5D AS latitude, 0.1D AS longitude, 'GMT' AS timezone, 'GMT' AS timezone_abbreviation, 1.0D AS elevation, 9.5D AS temperature_2m,
@@ -88,6 +102,26 @@ def test_gold_refresh_equals_full_run(spark, tmp_path):
     check()
 
 
+def test_gold_refresh_keeps_rows_without_a_date(spark, tmp_path):
+    silver_energy, silver_weather, target = (str(tmp_path / n) for n in ("se", "sw", "gold"))
+    weather = spark.sql("""SELECT 51.5D AS latitude, 0.1D AS longitude, 'GMT' AS timezone, 'GMT' AS timezone_abbreviation, 1.0D AS elevation, 9.5D AS temperature_2m,
+        70 AS relative_humidity_2m, 3.0D AS wind_speed_10m, 'p' AS source_object_path, TIMESTAMP '2026-03-22 05:00:00' AS forecast_time_local,
+        DATE '2026-03-22' AS forecast_date, '2026-03-22' AS bronze_ingestion_date""")
+    writers.write_weather_silver(weather, silver_weather)
+    undated = payload(21, range(3))
+    for record in undated["data"]:
+        record["settlementDate"] = None
+    for name, document in (("first", payload(20, range(6))), ("second", undated), ("third", payload(22, range(4)))):
+        land(tmp_path / name, name, document)
+        flat = silver.energy_to_silver(readers.read_bronze_energy(spark, str(tmp_path / name)))
+        flat.write.mode("append").partitionBy("settlement_date").parquet(silver_energy)
+        incremental.refresh_gold(spark, silver_energy, silver_weather, target, str(tmp_path / "cp")).awaitTermination()
+        full = gold.forecast_features(silver.latest_energy(readers.read_table(spark, silver_energy)), weather)
+        show = lambda df: sorted(map(repr, df.select(sorted(full.columns)).collect()))
+        assert show(readers.read_table(spark, target)) == show(full)
+    assert readers.read_table(spark, target).where("settlement_date IS NULL").count() == 3
+
+
 def test_affected_dates(spark):
     days = spark.createDataFrame([("x", d, 20) for d in range(10)], "dataset_name string, settlement_date int, n int")
     touched = spark.createDataFrame([(3,)], "d int")
