@@ -11,10 +11,14 @@ That gram (the anchor) splits the work:
 3. The different segments of an anchor meet in one task. A suffix array over many segments at once, ordered by prefix
    doubling, gives the intervals of suffixes with a common prefix of `length` bytes or more. A stack goes through their
    longest common prefixes and yields the interval tree; a node is a maximal repeat if its occurrences differ in the byte before
-   them. All its occurrences are put out.
+   them. Its occurrences in these segments are put out if groups are asked for, else what they cover of a segment.
 4. An anchor with very many different segments is not gathered: its strings are counted by a 128-bit hash each, which
    gives the same bytes to remove, with a map-side combine.
 
+What is removed is complete: every byte of a `length`-byte string that starts twice. Groups are not: of equal segments one stands
+for all in the groups of step 3, and its copies have a group of their own; a repeat ends where its segment does, so a long
+passage is several groups; and anchors of step 4 give groups of `length` bytes only.
+
 `length`-byte strings are compared byte by byte inside a suffix array; equal segments and equal texts go by 128 bits or more.
 """
 
@@ -162,12 +166,12 @@ def text_key(text: str = "text"):
 
 
 def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, gathered: int = GATHERED, groups: bool = False) -> Repeats:
-    """All occurrences of maximal repeats of at least `length` bytes in the texts of `documents`.
+    """The bytes that repeats of at least `length` bytes cover in the texts of `documents`, as occurrences.
 
     Texts are UTF-8 bytes, a null text is empty, and repeats do not cross texts. Equal texts are looked at once; that
-    they repeat each other is told by `copies`. With `groups` all occurrences of every maximal repeat come out, which are
-    many where many variants of a passage nest; without, what they cover of a segment. Strings of very frequent anchors
-    come as occurrences of exactly `length` bytes. An empty table has no occurrences.
+    they repeat each other is told by `copies`. With `groups` the occurrences of each repeat come out, which are many where
+    many variants of a passage nest; without, what they cover of a segment. Groups are not complete: see the module on
+    equal segments, borders of segments and frequent anchors. An empty table has no occurrences.
     """
     import pyarrow as pa
 
