@@ -15,7 +15,7 @@ from gridweave.llm.common import table
 from gridweave.llm.vocabulary import tokenizer_path
 from gridweave.session import stage
 
-#: A repeated passage of over 50 words has at least this many bytes.
+#: Bytes of a repeated passage. Usual passages of over 50 words have as many; those of very short words, 101 at least, can have fewer and stay.
 PASSAGE_BYTES, PASSAGE_GRAM = 200, 40
 
 
