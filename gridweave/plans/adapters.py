@@ -94,7 +94,7 @@ def weather_hours(spark: SparkSession, folder: str) -> DataFrame:
     return events(spark, folder).groupBy("event_type", F.date_trunc("hour", "half_hour").alias("hour")).agg(
         (F.expr("sum(cents) div count(1)") / 100).alias("temperature_2m"),
         F.pmod(F.count(F.lit(1)), F.lit(101)).cast("int").alias("relative_humidity_2m"),
-        F.max("value").alias("wind_speed_10m"),
+        F.max("value").alias("wind_speed_10m"), F.max("ts").alias("last_ts"),
     )
 
 
@@ -116,13 +116,14 @@ def bronze_weather(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def silver_weather(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly weather, flat, with every landing."""
+def silver_weather(spark: SparkSession, folder: str, *, published: bool = False) -> DataFrame:
+    """Hourly weather, flat, with every landing; on request with a time of publication, 45 minutes before the hour's last event."""
     day = F.date_format("hour", "yyyy-MM-dd")
     return weather_hours(spark, folder).select(
         *[F.lit(v).alias(k) for k, v in SITE.items()], "temperature_2m", "relative_humidity_2m", "wind_speed_10m",
         weather_path(day).alias("source_object_path"), F.col("hour").alias("forecast_time_local"),
         F.to_date("hour").alias("forecast_date"), day.alias("bronze_ingestion_date"),
+        *[(F.col("last_ts") - F.expr("INTERVAL 45 MINUTES")).alias("publish_time_utc")] * published,
     )
 
 

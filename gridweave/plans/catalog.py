@@ -11,7 +11,7 @@ from gridweave import schemas
 from gridweave.functions import aggregates as agg
 from gridweave.functions import scalars
 from gridweave.models import boosting, isolation, linear, seasonal
-from gridweave.operators import evaluation, feature_store, gold, ingestion, payloads, prepare, series, silver, sizing
+from gridweave.operators import asof, evaluation, feature_store, gold, ingestion, payloads, prepare, series, silver, sizing
 from gridweave.plans import adapters
 from gridweave.session import configure, stage, staging_path
 from gridweave.sources import readers, writers
@@ -896,3 +896,22 @@ def stream_silver(spark, folder):
     silver.energy_to_silver(bronze).writeStream.format("parquet").partitionBy("settlement_date").option("path", out) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return silver_energy_view(readers.read_table(spark, out)).drop("source_object_path", "bronze_ingestion_date")
+
+
+# --- Point in time --------------------------------------------------------------------------------
+
+@query
+def gold_weather_as_of(spark, folder):
+    """Demand with the newest forecast of its hour that was published when the interval began."""
+    few = adapters.few_rows(spark, folder)
+    out = asof.join_weather_as_of(adapters.demand(spark, folder), adapters.silver_weather(spark, folder, published=True), row_bound=few)
+    return gold_view(out, "demand_mw", text("weather_timestamp").alias("weather_timestamp"), six("temperature_2m"), "relative_humidity_2m", six("wind_speed_10m"))
+
+
+@query
+def as_of_carried(spark, folder):
+    """The last purchase before each view, carried over ranges of the whole event table as one series."""
+    rows = adapters.events(spark, folder).select("event_id", "event_type", "ts", "cents")
+    bought = rows.where("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), "ts", F.col("cents").alias("purchase_cents"))
+    out = asof.as_of_join(rows.where("event_type = 'view'"), bought, [], "ts", "ts", ["purchase_id", "purchase_cents"], ties=["purchase_id"], spread=True)
+    return out.select("event_id", "purchase_id", "purchase_cents")

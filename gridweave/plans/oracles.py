@@ -242,6 +242,15 @@ STATEMENTS = {
         round(sum(a), 4) AS rolling_mean, CAST(sum(mn) AS BIGINT) AS rolling_min, CAST(sum(mx) AS BIGINT) AS rolling_max FROM y GROUP BY 1""",
     "stream_halfhour_demand": """SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS interval_start_utc, event_type, CAST(sum(c) AS BIGINT) AS total, count(*) AS n FROM e
         GROUP BY b, event_type""",
+    "gold_weather_as_of": f"""WITH wp AS (SELECT w.*, p.pub FROM w JOIN (SELECT event_type, date_trunc('hour', b) AS h, max(ts) - INTERVAL '45 minutes' AS pub FROM e GROUP BY 1, 2) p
+        USING (event_type, h)), x AS (SELECT d.dataset_name AS dn, d.t AS dt, wp.* FROM d JOIN wp ON wp.h = date_trunc('hour', d.t) AND wp.pub <= d.t
+        QUALIFY row_number() OVER (PARTITION BY d.dataset_name, d.t ORDER BY wp.pub DESC, wp.event_type DESC) = 1)
+        SELECT dataset_name, {T}, y AS demand_mw, strftime(x.h, '%Y-%m-%d %H:%M:%S') AS weather_timestamp, round(temperature_2m, 6) AS temperature_2m,
+        relative_humidity_2m, round(wind_speed_10m, 6) AS wind_speed_10m FROM d LEFT JOIN x ON x.dn = dataset_name AND x.dt = t""",
+    "as_of_carried": """SELECT event_id, purchase_id, purchase_cents FROM (SELECT event_id, event_type,
+        last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER o AS purchase_id,
+        last_value(CASE WHEN event_type = 'purchase' THEN c END IGNORE NULLS) OVER o AS purchase_cents FROM e WHERE event_type IN ('view', 'purchase')
+        WINDOW o AS (ORDER BY ts, event_type = 'view', event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WHERE event_type = 'view'""",
     "stream_silver": "SELECT * EXCLUDE (source_object_path, bronze_ingestion_date) FROM silver",
 }
 
