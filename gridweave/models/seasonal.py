@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
-from typing import Any
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.functions.aggregates import exact_quantiles, forecast_metrics, pair_predictions
+from gridweave.models import recurrence
 from gridweave.operators import prepare, series, sizing
 from gridweave.session import stage
 
@@ -21,54 +18,57 @@ TARGET = schemas.TARGET
 
 
 def model_orders(rows):
-    """(own lags, seasonal lag or 0) by training length: a week, three days, or less."""
+    """(own lags, seasonal lag or 0, seasonal moving average or 0) by training length: a week, three days, or less."""
     if rows >= 7 * SEASON:
-        return 2, SEASON
+        return 2, SEASON, SEASON
     if rows >= 3 * SEASON:
-        return 1, SEASON
-    return 1, 0
+        return 1, SEASON, 0
+    return 1, 0, 0
 
 
-def fit_seasonal(panel: DataFrame, covariates: list[str], *, row_bound: int | None = None, spread: bool | None = None) -> DataFrame:
-    """Least-squares coefficients per series from training rows `(series_id, time_idx, demand_mw, …)`.
+OWN_LAGS, ECHO_LAGS = (1, 2, SEASON), (1, SEASON)
 
-    Spark sums the normal equations by partial aggregation, so a series of any length costs the same few
-    numbers; only the small system of each series is solved in Python.
-    """
-    lags = {f"__lag_{k}": (lambda w, k=k: F.lag(TARGET, k).over(w)) for k in (1, 2, SEASON)}
-    lagged = series.row_windows(
-        panel, ["series_id"], ["time_idx"], lags, before=SEASON, row_bound=row_bound, spread=spread, index="time_idx"
-    )
-    sizes = panel.groupBy("series_id").agg(F.count(F.lit(1)).alias("__n"))
-    seasonal = F.col("__n") >= 3 * SEASON
-    usable = (
-        sizing.attach_lookup(lagged, sizes, ["series_id"])
-        .where("__lag_1 IS NOT NULL AND __lag_2 IS NOT NULL").where(F.col(f"__lag_{SEASON}").isNotNull() | ~seasonal)
-    )
-    terms = [F.lit(1.0), *[F.coalesce(F.col(c), F.lit(0.0)) for c in lags], *[F.col(c) for c in covariates]]
-    terms = [t.cast("double") for t in terms]
+
+def _with_lags(rows: DataFrame, column: str, lags, name: str, row_bound: int | None, spread: bool | None) -> DataFrame:
+    frames = {f"__{name}_{k}": (lambda w, k=k: F.lag(column, k).over(w)) for k in lags}
+    return series.row_windows(rows, ["series_id"], ["time_idx"], frames, before=max(lags), row_bound=row_bound, spread=spread, index="time_idx")
+
+
+def _terms(covariates: list[str]) -> list[Column]:
+    """What the long autoregression weighs: constant, own lags, covariates."""
+    return [F.lit(1.0), *[F.coalesce(F.col(f"__lag_{k}"), F.lit(0.0)).cast("double") for k in OWN_LAGS], *[F.col(c).cast("double") for c in covariates]]
+
+
+def _usable(seasonal: Column) -> Column:
+    return F.col("__lag_1").isNotNull() & F.col("__lag_2").isNotNull() & (F.col(f"__lag_{SEASON}").isNotNull() | ~seasonal)
+
+
+def _normal_equations(rows: DataFrame, terms: list[Column], count: str) -> DataFrame:
     width = len(terms)
-    pairs = [(i, j) for i in range(width) for j in range(i, width)]
-    sums = usable.groupBy("series_id").agg(
-        F.max("__n").alias("rows"),
-        F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("gram"),
+    return rows.groupBy("series_id").agg(
+        F.max(count).alias("rows"),
+        F.array(*[F.sum(terms[i] * terms[j]) for i in range(width) for j in range(i, width)]).alias("gram"),
         F.array(*[F.sum(t * F.col(TARGET)) for t in terms]).alias("moment"),
     )
 
+
+def _solved(sums: DataFrame, width: int, echoes: bool) -> DataFrame:
     @F.pandas_udf("array<double>")
     def solve(rows: pd.Series, gram: pd.Series, moment: pd.Series) -> pd.Series:
-        return pd.Series([_solve(n, g, m, pairs, width) for n, g, m in zip(rows, gram, moment)])
+        return pd.Series([_solve(n, g, m, width, echoes) for n, g, m in zip(rows, gram, moment, strict=True)])
 
     return sums.select("series_id", "rows", solve("rows", "gram", "moment").alias("coefficients"))
 
 
-def _solve(rows, gram, moment, pairs, width) -> list[float]:
-    own, season = model_orders(rows)
+def _solve(rows, gram, moment, width: int, echoes: bool) -> list[float]:
+    own, season, echo = model_orders(rows)
     active = np.ones(width, dtype=bool)
     active[2], active[3] = own >= 2, season > 0
+    if echoes:
+        active[-1] = echo > 0
     full = np.zeros((width, width))
-    for (i, j), value in zip(pairs, gram):
-        full[i, j] = full[j, i] = value
+    full[np.triu_indices(width)] = gram
+    full = full + np.triu(full, 1).T
     scale = np.sqrt(np.maximum(np.diag(full), 1e-12))
     system = (full / np.outer(scale, scale))[np.ix_(active, active)]
     answer = np.linalg.lstsq(system, (np.asarray(moment) / scale)[active], rcond=1e-10)[0]
@@ -77,42 +77,79 @@ def _solve(rows, gram, moment, pairs, width) -> list[float]:
     return out.tolist()
 
 
-def forecast_seasonal(history: DataFrame, future: DataFrame, coefficients: DataFrame, covariates: list[str]) -> DataFrame:
-    """Step-by-step forecast of `future` rows, each step feeding the next; all series in parallel.
+def residual_terms(panel: DataFrame, covariates: list[str], *, row_bound: int | None = None, spread: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """(long autoregression by series, rows with `__e`, what it leaves of each row it can predict, and the lags of both).
 
-    Each series enters with its last 48 known values. Rows stream through a task in order, so the memory
-    of a task does not depend on the horizon.
+    `rows` counts a series' rows; the long autoregression is the first of two regressions and has no moving average.
     """
-    recent = series.latest_rows(history, ["series_id"], ["time_idx"], SEASON)
-    columns = ["series_id", "time_idx", TARGET, *covariates]
-    rows = recent.select(*columns, F.lit(False).alias("ahead")).unionByName(
-        future.select("series_id", "time_idx", F.lit(None).cast("double").alias(TARGET), *covariates, F.lit(True).alias("ahead"))
-    )
-    ordered = (
-        sizing.attach_lookup(rows, coefficients.select("series_id", "coefficients"), ["series_id"])
-        .repartition("series_id").sortWithinPartitions("series_id", "time_idx")
-    )
+    sizes = panel.groupBy("series_id").agg(F.count(F.lit(1)).alias("__n"))
+    lagged = sizing.attach_lookup(_with_lags(panel, TARGET, OWN_LAGS, "lag", row_bound, spread), sizes, ["series_id"])
+    terms = _terms(covariates)
+    long = stage(_solved(_normal_equations(lagged.where(_usable(F.col("__n") >= 3 * SEASON)), terms, "__n"), len(terms), False), "long-autoregression")
+    known = sizing.attach_lookup(lagged, long.select("series_id", F.col("coefficients").alias("__long")), ["series_id"])
+    left = known.withColumn("__e", F.when(_usable(F.col("__n") >= 3 * SEASON), F.col(TARGET) - recurrence.dot(F.col("__long"), terms))).drop("__long")
+    return long, _with_lags(left, "__e", ECHO_LAGS, "echo", row_bound, spread)
+
+
+def fit_seasonal(panel: DataFrame, covariates: list[str], *, row_bound: int | None = None, spread: bool | None = None) -> DataFrame:
+    """Coefficients per series from training rows `(series_id, time_idx, demand_mw, …)`: constant, own lags, covariates, moving averages.
+
+    Two regressions: what a long autoregression leaves stands for the shocks, whose lags (the last one, and with a week of rows
+    the one a day ago) then take part beside the own lags. Spark sums the normal equations by partial aggregation, so a
+    series of any length costs the same few numbers; only the small system of each series is solved in Python.
+    `long` keeps the first regression, `shocks` the last day of what it leaves. A series too short for the second keeps the first.
+    """
+    long, rows = residual_terms(panel, covariates, row_bound=row_bound, spread=spread)
+    rows = stage(rows, "shocks")
+    weekly = F.col("__n") >= 7 * SEASON
+    complete = rows.where(F.col("__e").isNotNull() & F.col("__echo_1").isNotNull() & (F.col(f"__echo_{SEASON}").isNotNull() | ~weekly))
+    terms = [*_terms(covariates), *[F.coalesce(F.col(f"__echo_{k}"), F.lit(0.0)) for k in ECHO_LAGS]]
+    full = _solved(_normal_equations(complete, terms, "__n"), len(terms), True)
+    last = rows.where(F.col("time_idx") >= F.col("__n") - SEASON)
+    shocks = last.groupBy("series_id").agg(F.map_from_entries(F.collect_list(F.struct((F.col("time_idx") - F.col("__n")).alias("at"), F.coalesce("__e", F.lit(0.0)).alias("e")))).alias("shocks"))
+    both = long.select("series_id", "rows", F.col("coefficients").alias("long")).join(full.select("series_id", "coefficients"), "series_id", "left").join(shocks, "series_id", "left")
+    return both.select("series_id", "rows", F.coalesce("coefficients", F.concat("long", F.array(*[F.lit(0.0)] * len(ECHO_LAGS)))).alias("coefficients"), "long", "shocks")
+
+
+def fit_equations(panel: DataFrame, covariates: list[str], *, row_bound: int | None = None, spread: bool | None = None) -> DataFrame:
+    """`series_id, term, holds`: whether the fitted errors have no share left in a term, or the term no weight.
+
+    This is what makes the fit one of least squares; it is summed from the rows again, not taken from the solver.
+    """
+    fitted = fit_seasonal(panel, covariates, row_bound=row_bound, spread=spread).select("series_id", "coefficients")
+    _, rows = residual_terms(panel, covariates, row_bound=row_bound, spread=spread)
+    complete = F.col("__e").isNotNull() & F.col("__echo_1").isNotNull() & (F.col(f"__echo_{SEASON}").isNotNull() | (F.col("__n") < 7 * SEASON))
+    terms = [*_terms(covariates), *[F.coalesce(F.col(f"__echo_{k}"), F.lit(0.0)) for k in ECHO_LAGS]]
+    names = ["constant", *[f"lag_{k}" for k in OWN_LAGS], *covariates, *[f"echo_{k}" for k in ECHO_LAGS]]
+    known = sizing.attach_lookup(rows.where(complete), fitted, ["series_id"])
+    known = known.withColumn("__left", F.col(TARGET) - recurrence.dot(F.col("coefficients"), terms))
+    share = [F.abs(F.sum(t * F.col("__left"))) / F.sqrt(F.sum(t * t) * F.sum(F.col(TARGET) * F.col(TARGET))) for t in terms]
+    by_term = [F.struct(F.lit(n).alias("term"), ((F.any_value(F.get("coefficients", F.lit(k))) == 0) | F.coalesce(s < 1e-6, F.lit(True))).alias("holds")) for k, (n, s) in enumerate(zip(names, share, strict=True))]
+    return known.groupBy("series_id").agg(F.array(*by_term).alias("terms")).select("series_id", F.inline("terms"))
+
+
+def forecast_seasonal(
+    history: DataFrame, future: DataFrame, coefficients: DataFrame, covariates: list[str], *, row_bound: int | None = None, chunk_blocks: int = recurrence.CHUNK_BLOCKS
+) -> DataFrame:
+    """Step-by-step forecast of `future` rows, each step feeding the next: `series_id, time_idx, prediction`.
 
-    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: deque = deque(maxlen=SEASON)
-        previous = -1
-        for batch in batches:
-            made = []
-            exog = batch[covariates].to_numpy(dtype=float) if covariates else np.zeros((len(batch), 0))
-            for i, (at, value, ahead, weights) in enumerate(
-                zip(batch["time_idx"], batch[TARGET], batch["ahead"], batch["coefficients"])
-            ):
-                if at <= previous:
-                    raise ValueError("rows of a series must arrive in time order")
-                previous = at
-                if ahead:
-                    past = [known[-k] if len(known) >= k else 0.0 for k in (1, 2, SEASON)]
-                    value = float(np.dot(weights, [1.0, *past, *exog[i]]))
-                    made.append((key[0], at, value))
-                known.append(value)
-            yield pd.DataFrame(made, columns=["series_id", "time_idx", "prediction"])
-
-    return ordered.groupBy("series_id").applyInPandas(run, "series_id string, time_idx long, prediction double")
+    Each series enters with its last 48 known values and shocks; a value before the first one is 0, and so is a shock of the future.
+    What a step adds to its lags is known beforehand, so the steps are a linear recurrence, run in chunks (see `recurrence.recur`).
+    """
+    first = 1 + len(OWN_LAGS)
+    numbered = series.series_index(future.select("series_id", "time_idx", *covariates), ["series_id"], ["time_idx"], name="__ahead", row_bound=row_bound)
+    given = sizing.attach_lookup(numbered, coefficients.select("series_id", "coefficients", "shocks"), ["series_id"])
+    weights, shocks = F.col("coefficients"), F.coalesce("shocks", F.create_map().cast("map<bigint,double>"))
+    echo = [F.coalesce(F.try_element_at(shocks, F.col("__ahead") - k), F.lit(0.0)) for k in ECHO_LAGS]
+    step = F.get(weights, F.lit(0)) + recurrence.dot(weights, [F.col(c).cast("double") for c in covariates], first) + recurrence.dot(weights, echo, first + len(covariates))
+    steps = given.select("series_id", "time_idx", step.alias("__step"))
+    recent = series.latest_rows(history.select("series_id", "time_idx", TARGET), ["series_id"], ["time_idx"], SEASON)
+    values = recent.groupBy("series_id").agg(F.sort_array(F.collect_list(F.struct("time_idx", F.col(TARGET).cast("double").alias("y")))).getField("y").alias("known"))
+    starts = coefficients.join(values, "series_id").select(
+        "series_id", F.slice("coefficients", 2, len(OWN_LAGS)).alias("weights"),
+        F.concat(F.array_repeat(F.lit(0.0), SEASON - F.size("known")), "known").alias("start"))
+    out = recurrence.recur(steps, starts, ["series_id"], ["time_idx"], "__step", OWN_LAGS, out="prediction", chunk_blocks=chunk_blocks, row_bound=row_bound)
+    return out.select("series_id", "time_idx", "prediction")
 
 
 def train_seasonal(
@@ -127,8 +164,8 @@ def train_seasonal(
     parts = stage(parts, "split")
     train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
     kept, dropped = prepare.split_constant_columns(train, covariates)
-    coefficients = fit_seasonal(train.drop("split"), kept, row_bound=row_bound, spread=spread)
-    forecast = forecast_seasonal(train, test, coefficients, kept)
+    coefficients = stage(fit_seasonal(train.drop("split"), kept, row_bound=row_bound, spread=spread), "coefficients")
+    forecast = forecast_seasonal(train, test, coefficients, kept, row_bound=row_bound)
     paired = pair_predictions(test, forecast, ["series_id", "time_idx"], TARGET)
     metrics = forecast_metrics(paired, ["series_id"], "actual", "predicted").join(
         coefficients.select("series_id", F.col("rows").alias("training_rows")), "series_id", "left"
@@ -136,8 +173,8 @@ def train_seasonal(
     own = F.when(F.col("training_rows") >= 7 * SEASON, 2).otherwise(1)
     metrics = metrics.select(
         "*",
-        F.array(own, F.lit(0), F.lit(0)).alias("order"),
-        F.array(*[F.when(F.col("training_rows") >= 3 * SEASON, v).otherwise(0) for v in (1, 0, 0, SEASON)]).alias("seasonal_order"),
+        F.array(own, F.lit(0), F.lit(1)).alias("order"),
+        F.array(*[F.when(F.col("training_rows") >= least * SEASON, v).otherwise(0) for v, least in ((1, 3), (0, 3), (1, 7), (SEASON, 3))]).alias("seasonal_order"),
         F.array(*[F.lit(c) for c in kept]).cast("array<string>").alias("feature_columns"),
         F.array(*[F.lit(c) for c in dropped]).cast("array<string>").alias("dropped_constant_feature_columns"),
         F.lit("seasonal_arx").alias("forecast_algorithm"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridweave import schemas
 from gridweave.functions import aggregates as agg
 from gridweave.functions import scalars
-from gridweave.models import boosting, isolation, linear, seasonal
+from gridweave.models import boosting, isolation, linear, recurrence, seasonal
 from gridweave.operators import asof, evaluation, feature_store, gold, ingestion, payloads, prepare, series, silver, sizing
 from gridweave.plans import adapters
 from gridweave.session import configure, stage, staging_path
@@ -873,6 +873,24 @@ def seasonal_arx_metrics(spark, folder):
     return metrics
 
 
+@query
+def recurrence_scan(spark, folder):
+    """A seasonal recurrence along all rows of each series, in chunks of two days."""
+    rows = adapters.demand(spark, folder).select("dataset_name", "interval_start_utc", (F.col("demand_mw") / 1000).alias("step"))
+    weights, zeros = [F.array(*map(F.lit, x)) for x in ([0.5, 0.25, 0.2], [0.0] * 48)]
+    starts = rows.select("dataset_name").distinct().select("dataset_name", weights.alias("weights"), zeros.alias("start"))
+    out = recurrence.recur(rows, starts, BY_SERIES, ["interval_start_utc"], "step", (1, 2, 48), chunk_blocks=2, row_bound=adapters.slots(spark, folder))
+    return out.select("dataset_name", text("interval_start_utc").alias("interval_start_utc"), F.round("value", 4).alias("value"))
+
+
+@query
+def seasonal_fit_equations(spark, folder):
+    """Whether each fitted series leaves errors that are at right angles to every term that takes part."""
+    bound, covariates = adapters.slots(spark, folder), ["settlement_period", "is_weekend"]
+    panel = prepare.indexed_panel(gold.add_calendar(adapters.demand(spark, folder)), covariates, row_bound=bound)
+    return seasonal.fit_equations(panel, covariates, row_bound=bound)
+
+
 # --- Streaming ------------------------------------------------------------------------------------
 
 @query
