@@ -876,11 +876,11 @@ def seasonal_arx_metrics(spark, folder):
 @query
 def recurrence_scan(spark, folder):
     """A seasonal recurrence along all rows of each series, in chunks of two days."""
-    rows = adapters.demand(spark, folder).select("dataset_name", "interval_start_utc", (F.col("demand_mw") / 7 / 100).alias("step"))
+    rows = adapters.demand(spark, folder).select("dataset_name", "interval_start_utc", (F.col("demand_mw") / 7919).alias("step"))
     weights, zeros = [F.array(*map(F.lit, x)) for x in ([0.5, 0.25, 0.2], [0.0] * 48)]
     starts = rows.select("dataset_name").distinct().select("dataset_name", weights.alias("weights"), zeros.alias("start"))
     out = recurrence.recur(rows, starts, BY_SERIES, ["interval_start_utc"], "step", (1, 2, 48), chunk_blocks=2, row_bound=adapters.slots(spark, folder))
-    return out.select("dataset_name", text("interval_start_utc").alias("interval_start_utc"), F.round("value", 4).alias("value"))
+    return out.select("dataset_name", text("interval_start_utc").alias("interval_start_utc"), six("value"))
 
 
 @query

@@ -248,9 +248,9 @@ STATEMENTS = {
         SELECT dataset_name, {T}, y AS demand_mw, strftime(x.h, '%Y-%m-%d %H:%M:%S') AS weather_timestamp, round(temperature_2m, 6) AS temperature_2m,
         relative_humidity_2m, round(wind_speed_10m, 6) AS wind_speed_10m FROM d LEFT JOIN x ON x.dn = dataset_name AND x.dt = t""",
     "recurrence_scan": f"""WITH RECURSIVE r AS (SELECT DISTINCT dataset_name, -1::BIGINT AS i, NULL::TIMESTAMP AS t, 0::DOUBLE AS v, list_resize([0::DOUBLE], 48, 0::DOUBLE) AS s FROM n
-        UNION ALL SELECT dataset_name, i, t, v, list_append(s[2:], v) FROM (SELECT n.dataset_name, n.i, n.t, n.y / 7.0::DOUBLE / 100.0::DOUBLE + 0.5::DOUBLE * r.s[48] + 0.25::DOUBLE * r.s[47] + 0.2::DOUBLE * r.s[1] AS v, r.s
+        UNION ALL SELECT dataset_name, i, t, v, list_append(s[2:], v) FROM (SELECT n.dataset_name, n.i, n.t, n.y / 7919.0::DOUBLE + 0.5::DOUBLE * r.s[48] + 0.25::DOUBLE * r.s[47] + 0.2::DOUBLE * r.s[1] AS v, r.s
           FROM r JOIN n ON n.dataset_name = r.dataset_name AND n.i = r.i + 1))
-        SELECT dataset_name, {T}, round(v, 4) AS value FROM r WHERE i >= 0""",
+        SELECT dataset_name, {T}, round(v, 6) AS value FROM r WHERE i >= 0""",
     "seasonal_fit_equations": """SELECT dataset_name AS series_id, u.term, true AS holds FROM (SELECT DISTINCT dataset_name FROM d),
         (VALUES ('constant'), ('lag_1'), ('lag_2'), ('lag_48'), ('settlement_period'), ('is_weekend'), ('echo_1'), ('echo_48')) AS u(term)""",
     "as_of_carried": """SELECT event_id, purchase_id, purchase_cents FROM (SELECT event_id, event_type,
