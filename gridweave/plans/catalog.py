@@ -14,7 +14,7 @@ from gridweave.models import boosting, isolation, linear, recurrence, seasonal
 from gridweave.operators import asof, evaluation, feature_store, gold, ingestion, payloads, prepare, series, silver, sizing
 from gridweave.plans import adapters
 from gridweave.session import configure, stage, staging_path
-from gridweave.sources import readers, writers
+from gridweave.sources import landing, readers, writers
 from gridweave.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,30 @@ def landing_roundtrip(spark, folder):
     return silver_energy_view(silver.energy_to_silver(bronze)).drop("source_object_path")
 
 
+@query
+def landing_by_request(spark, folder):
+    """Payloads landed as one object per request, read back and flattened; each record knows the object it came in."""
+    docs = adapters.bronze_energy(spark, folder).select(
+        F.lit("energy").alias("source"), F.regexp_extract("source_object_path", r"(req-\d+)", 1).alias("request_id"),
+        F.regexp_extract("source_object_path", silver.PARTITION_DATE, 1).alias("event_time_utc"), F.to_json(F.struct("data")).alias("payload"))
+    root = staging_path(spark, "landing")
+    landing.land(docs, root, "bronze/raw")
+    return silver_energy_view(silver.energy_to_silver(landing.read_landed(spark, root, schemas.BRONZE_ENERGY)))
+
+
+@query
+def landed_requests(spark, folder):
+    """One object per event type and hour, whose request id has characters that must be quoted, found again by that id."""
+    hour = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm")
+    hours = adapters.events(spark, folder).groupBy("event_type", hour.alias("hour")).agg(F.sum("cents").alias("total"), F.count(F.lit(1)).alias("n"))
+    docs = hours.select(
+        F.lit("sums").alias("source"), F.concat("event_type", F.lit("/"), "hour", F.lit("+0&é")).alias("request_id"),
+        F.col("hour").alias("event_time_utc"), F.to_json(F.struct("total", "n")).alias("payload"))
+    root = staging_path(spark, "landing")
+    landing.land(docs, root, "/raw/")
+    return landing.read_landed(spark, root, "total long, n long").select("request_id", "source", "source_object_path", "total", "n")
+
+
 @query
 def bronze_files_silver(spark, folder):
     """Pretty-printed payloads, one file per request in its day's folder; the path of the file read dates the rows."""

@@ -76,6 +76,10 @@ STATEMENTS = {
     "silver_weather_latest": """SELECT * EXCLUDE (h) FROM weather QUALIFY row_number() OVER (PARTITION BY h
         ORDER BY bronze_ingestion_date DESC, source_object_path DESC) = 1""",
     "landing_roundtrip": "SELECT * EXCLUDE (source_object_path) FROM silver",
+    "landing_by_request": "SELECT * FROM silver",
+    "landed_requests": """SELECT event_type || '/' || h || '+0&é' AS request_id, 'sums' AS source,
+        'raw/sums/dt=' || substr(h, 1, 10) || '/' || event_type || '%2F' || replace(replace(h, ' ', '+'), ':', '%3A') || '%2B0%26%C3%A9.json' AS source_object_path, total, n
+        FROM (SELECT event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS h, CAST(sum(c) AS BIGINT) AS total, count(*) AS n FROM e GROUP BY 1, 2)""",
     "silver_table_roundtrip": """SELECT * FROM silver WHERE settlement_date = (SELECT max(settlement_date) FROM silver)
         QUALIFY row_number() OVER (PARTITION BY dataset_name, interval_start_utc, settlement_period
         ORDER BY publish_time_utc DESC, source_object_path DESC, demand_mw DESC) = 1""",
