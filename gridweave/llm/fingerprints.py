@@ -10,7 +10,9 @@ Everything is an expression of built-in functions on one row; finding the next d
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -110,57 +112,83 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), (F.size(a) == F.size(b)).cast("double")).otherwise(F.greatest(F.lit(0.0), estimate))
 
 
-def in_parts(rows: DataFrame, order: str, rows_per_part: int = ROWS_PER_PART, ranges: int = RANGES) -> DataFrame:
-    """Add `part`, which ascends with `order` (nulls in the last part) and has about `rows_per_part` rows.
+def in_parts(rows: DataFrame, order: str, tie: str = "tie", rows_per_part: int = ROWS_PER_PART, ranges: int = RANGES) -> DataFrame:
+    """Add `part`, which ascends with (`order`, `tie`), nulls of `order` last, and has about `rows_per_part` rows.
 
-    Approximate quantiles cut the values into ranges of like size; each range is cut evenly by value. Only the quantiles
-    reach the driver.
+    Approximate quantiles cut the values into ranges of like size; each range is cut evenly by value. A value that is
+    several quantiles by itself, and null, are cut evenly by `tie`, a 64-bit hash. Only the quantiles reach the driver.
     """
-    found = rows.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order, [i / ranges for i in range(ranges + 1)], ranges * 10).alias("q")).first()
-    bounds = sorted(set(found["q"] or [0]))
-    inner = max(1, round(found["n"] / rows_per_part / max(1, len(bounds) - 1)))
-    edges = F.array(*[F.lit(int(b)).cast("long") for b in bounds])
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(order).isNull()).alias("nulls"),
+                     F.percentile_approx(order, [i / ranges for i in range(ranges + 1)], ranges * 10).alias("q")).first()
+    quantiles = [int(q) for q in found["q"] or [0]]
+    share = found["n"] / rows_per_part
+    heavy = {q: math.ceil(n / ranges * share) for q, n in Counter(quantiles).items() if n > 2}
+    bounds = sorted({*quantiles, *(q + 1 for q in heavy)})  # a heavy value is alone in its range
+    inner, deep = max(1, round(share / max(1, len(bounds) - 1))), max([1, math.ceil(found["nulls"] / rows_per_part), *heavy.values()])
+    edges = F.array(*[F.lit(b).cast("long") for b in bounds])
     at = F.size(F.filter(edges, lambda edge: edge <= F.col(order)))
     low, high = F.get(edges, (F.col("__range") - 1).cast("int")), F.coalesce(F.get(edges, F.col("__range").cast("int")), F.lit(bounds[-1] + 1))
-    share = F.floor((F.col(order) - low).cast("double") / (high - low) * inner)
-    part = F.col("__range") * inner + F.greatest(F.lit(0), F.least(share, F.lit(inner - 1)))
+    place = F.floor((F.col(order) - low).cast("double") / (high - low) * inner)
+    part = F.col("__range") * inner + F.greatest(F.lit(0), F.least(place, F.lit(inner - 1)))
+    pieces = F.lit(1)
+    if heavy:
+        pieces = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x).cast("long") for pair in heavy.items() for x in pair]), F.col(order).cast("long")), pieces)
+    pieces = F.when(F.col(order).isNull(), math.ceil(found["nulls"] / rows_per_part)).otherwise(pieces)
+    below = F.least(F.floor((F.col(tie).cast("double") / 2.0**64 + 0.5) * pieces), pieces - 1)
     return rows.withColumn("__range", at.cast("long")).withColumn(
-        "part", F.when(F.col(order).isNull(), F.lit((len(bounds) + 1) * inner)).otherwise(part).cast("long")).drop("__range")
+        "part", (F.when(F.col(order).isNull(), F.lit((len(bounds) + 1) * inner)).otherwise(part) * deep + below).cast("long")).drop("__range")
 
 
-def with_next(rows: DataFrame, order: str, carried: list[str]) -> DataFrame:
-    """Add `next_<c>` of each carried column: its value in the next row by (`order`, `tie`), after the last row in the first.
+def next_parts(parts: DataFrame, together: int = 100_000) -> DataFrame:
+    """`part, after`: the next part there is, after the last the first; numbers of parts only, put in order by stretches of them."""
+    stretch = F.floor(F.col("part") / together)
+    inside = stage(parts.select("part", F.lead("part").over(Window.partitionBy(stretch).orderBy("part")).alias("after"), stretch.alias("stretch")), "next-parts")
+    firsts = inside.groupBy("stretch").agg(F.min("part").alias("first"))
+    everywhere = Window.orderBy("stretch")  # one number for each `together` numbers of parts
+    following = firsts.select("stretch", F.coalesce(F.lead("first").over(everywhere), F.first("first").over(everywhere)).alias("later"))
+    return inside.join(following, "stretch").select("part", F.coalesce("after", "later").alias("after"))
 
-    The next row is found inside a part by a window; the last row of a part takes the first of the next part that has rows.
-    """
-    # Nulls are only in the last part, so their place inside a part makes no difference to other rows.
-    by_part = Window.partitionBy("part").orderBy(F.col(order).asc_nulls_last(), "tie")
-    inside = rows.select("*", F.lead(F.struct(*carried)).over(by_part).alias("__next"), F.row_number().over(by_part).alias("__place"))
-    firsts = stage(inside.where("__place = 1").select("part", F.struct(*carried).alias("__first")), "first-rows")
-    # A number for each part; texts stay in the written table.
-    following = firsts.select("part", F.lead("part").over(Window.orderBy("part")).alias("__after"))
-    smallest = firsts.agg(F.min("part")).first()[0]
-    after = following.select("part", F.coalesce("__after", F.lit(smallest)).alias("__after")).join(
-        firsts.withColumnRenamed("part", "__after"), "__after").select("part", "__first")
-    ends = inside.where("__next IS NULL").join(after, "part").withColumn("__next", F.col("__first")).drop("__first")
-    both = inside.where("__next IS NOT NULL").unionByName(ends)
-    return both.select(*rows.columns, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in carried])
 
+def edited_columns() -> list[Column]:
+    """What the edited text of `text` before `next_text` gives, from n_chars."""
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
+    return [F.sha2(edited, 256).alias("edited_sha256"), fingerprint(edited).alias("edited_print")]
 
-def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    """Fingerprints of all `documents` and of their edited texts, which end with the beginning of the next document."""
-    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    rows = in_parts(docs, "doc_id").withColumn("tie", F.xxhash64("text"))
-    pairs = with_next(rows.withColumn("print", fingerprint(F.col("text"))), "doc_id", ["text", "print"])
-    chars, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    edited = pairs.select("doc_id", chars.cast("long").alias("n_chars"), "print", "next_print", F.concat(
-        F.substring("text", F.lit(1), chars - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
-    printed = edited.select("doc_id", "n_chars", "print", "next_print", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_print"))
-    return printed.select(
+
+def fingerprints(documents: DataFrame) -> DataFrame:
+    """Fingerprints of the texts of `documents` and of their edited texts, which end with the beginning of the next document.
+
+    Takes the columns `doc_id` and `text`; others are not looked at. A null text is empty, and an empty text has an empty
+    fingerprint. Documents are in order of doc_id, null ids last; of rows with equal ids by a hash of the text; the last is
+    followed by the first, a single one by itself. Every row gives a row; an empty table gives none.
+
+    Texts move once, to meet their next one. Each fingerprint is made once; of the rows at a part's ends the texts are written, too.
+    """
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = in_parts(docs.withColumn("tie", F.xxhash64("text")), "doc_id")
+    by_part = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_last(), "tie")
+    inside = rows.withColumn("print", fingerprint(F.col("text"))).select(
+        "part", "doc_id", F.length("text").cast("long").alias("n_chars"), "text", "print",
+        F.lead(F.struct("text", "print")).over(by_part).alias("next"), (F.row_number().over(by_part) == 1).alias("first"))
+    met = inside.withColumn("next_text", F.col("next.text")).select(
+        "part", "doc_id", "n_chars", "print", F.col("next.print").alias("next_print"), *edited_columns(), "first", F.col("next").isNull().alias("last"),
+        F.when(F.col("first") | F.col("next").isNull(), F.col("text")).alias("text"))
+    met = stage(met, "fingerprints")
+    firsts = met.where("first").select(F.col("part").alias("after"), F.col("text").alias("next_text"), F.col("print").alias("next_print"))
+    ends = met.where("last").select("part", "doc_id", "n_chars", "text", "print").join(next_parts(firsts.select(F.col("after").alias("part"))), "part").join(firsts, "after")
+    made = ["doc_id", "n_chars", "print", "next_print", "edited_sha256", "edited_print"]
+    both = met.where("NOT last").select(*made).unionByName(ends.select(*made[:4], *edited_columns()))
+    return both.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("print")).alias("fingerprint"), as_text(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"), likeness(F.col("print"), F.col("next_print")).alias("near_next"))
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all `documents` and of their edited texts."""
+    return fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES = {"op2_fingerprints": op2_fingerprints}
 #: The hash is no SQL function elsewhere; tests compare with a brute-force version.
 ORACLES: dict[str, str] = {}

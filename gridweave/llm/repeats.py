@@ -15,9 +15,10 @@ That gram (the anchor) splits the work:
 4. An anchor with very many different segments is not gathered: its strings are counted by a 128-bit hash each, which
    gives the same bytes to remove, with a map-side combine.
 
-What is removed is complete: every byte of a `length`-byte string that starts twice. Groups are not: of equal segments one stands
-for all in the groups of step 3, and its copies have a group of their own; a repeat ends where its segment does, so a long
-passage is several groups; and anchors of step 4 give groups of `length` bytes only.
+What is removed is complete: every byte of a `length`-byte string that starts twice. So are the groups of an anchor's segments: a
+group names segments and places in them, and the table of members names every text and place that a segment has, so each
+occurrence can be reached without writing the copies out. A repeat ends where its segment does, so a long passage is
+several groups, side by side; the strings of anchors of step 4 only cover bytes.
 
 `length`-byte strings are compared byte by byte inside a suffix array; equal segments and equal texts go by 128 bits or more.
 """
@@ -150,15 +151,24 @@ def maximal_repeats(parts: list[bytes], starts: list[int], length: int, owner: l
 
 @dataclass(frozen=True)
 class Repeats:
-    """`texts`: a bucketed table of `h, text, copies`; `occurrences`: `repeat, h, start, end`, bytes; `name` of the table.
+    """Tables of texts, of what repeats cover in them, and of groups of repeats.
 
-    `repeat` names the group of an occurrence; it is null where occurrences in a segment were merged.
+    `texts`: a bucketed table of `h, text, copies`, called `name`. `covers`: `h, starts, ends`, bytes of texts, the arrays side by side.
+    `members`: `a, body, h, at, n`, the places `at` of segment (a, body) in a text, and its number of starts. `groups`: `repeat, size, a,
+    body, place`: `size` bytes of segments, the same in all rows of a `repeat`; None unless asked for.
     """
 
     texts: DataFrame
-    occurrences: DataFrame
+    covers: DataFrame
+    members: DataFrame
+    groups: DataFrame | None
     name: str
 
+    def occurrences(self) -> DataFrame:
+        """`repeat, h, start, end` of every occurrence of every group, for who wants them written out."""
+        placed = self.groups.join(self.members, ["a", "body"]).select("repeat", "h", F.explode("at").alias("at"), "place", "size")
+        return placed.select("repeat", "h", (F.col("at") + F.col("place")).alias("start"), (F.col("at") + F.col("place") + F.col("size")).alias("end"))
+
 
 def text_key(text: str = "text"):
     """128 bits of a digest of the whole text."""
@@ -166,12 +176,12 @@ def text_key(text: str = "text"):
 
 
 def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, gathered: int = GATHERED, groups: bool = False) -> Repeats:
-    """The bytes that repeats of at least `length` bytes cover in the texts of `documents`, as occurrences.
+    """The bytes that repeats of at least `length` bytes cover in the texts of `documents`, and on request their groups.
 
-    Texts are UTF-8 bytes, a null text is empty, and repeats do not cross texts. Equal texts are looked at once; that
-    they repeat each other is told by `copies`. With `groups` the occurrences of each repeat come out, which are many where
-    many variants of a passage nest; without, what they cover of a segment. Groups are not complete: see the module on
-    equal segments, borders of segments and frequent anchors. An empty table has no occurrences.
+    Reads the column `text` only. Texts are UTF-8 bytes, a null text is empty, and repeats do not cross texts. Equal texts are looked at
+    once; that they repeat each other is told by `copies`. With `groups` every maximal repeat of an anchor's segments comes out
+    with its places, which are many where many variants of a passage nest. An empty table has no repeats. The caller drops
+    the table `name`.
     """
     import pyarrow as pa
 
@@ -206,12 +216,11 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, g
     shared = stage(dealt.join(twice, "a"), "shared-segments")
     bodies = stage(shared.groupBy("a", "body").agg(F.sum(F.size("at")).alias("times"), F.min(F.struct("h", F.col("at")[0].alias("at"), "n")).alias("one")), "bodies")
     # Equal segments, whole.
-    whole = shared.join(bodies.where("times > 1").select("a", "body"), ["a", "body"]).select(
-        F.xxhash64("a", "body").alias("repeat"), "h", F.explode("at").alias("start"), "n").select(
-        "repeat", "h", "start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
-    # Segments to compare: of anchors with several different ones, of which one at least is there once only.
-    mixed = bodies.groupBy("a").agg(F.count(F.lit(1)).alias("bodies"), F.min("times").alias("least")).where("bodies > 1 AND least = 1").select("a", "bodies")
-    asked = bodies.join(mixed, "a").select("a", "bodies", F.col("one.h").alias("h"), F.struct("a", F.col("one.at").alias("at"), F.col("one.n").alias("n"), (F.col("bodies") > gathered).alias("hot")).alias("s"))
+    equal = bodies.where("times > 1").select("a", "body")
+    whole = shared.join(equal, ["a", "body"]).select("h", F.col("at").alias("starts"), F.transform("at", lambda x: x + (F.col("n") - 1 + length)).alias("ends"))
+    # Segments to compare: of anchors with several different ones; if only bytes are asked for, where one at least is there once only.
+    mixed = bodies.groupBy("a").agg(F.count(F.lit(1)).alias("bodies"), F.min("times").alias("least")).where("bodies > 1" if groups else "bodies > 1 AND least = 1").select("a", "bodies")
+    asked = bodies.join(mixed, "a").select("a", "bodies", F.col("one.h").alias("h"), F.struct("a", "body", F.col("one.at").alias("at"), F.col("one.n").alias("n"), (F.col("bodies") > gathered).alias("hot")).alias("s"))
     by_text = asked.groupBy("h").agg(F.collect_list("s").alias("s"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +229,7 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, g
             for h, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 view = memoryview(text.as_buffer())
                 for s in wanted:
-                    rows.append((s["a"], s["hot"], h, s["at"], s["n"], bytes(view[s["at"]: s["at"] + s["n"] - 1 + length])))
+                    rows.append((s["a"], s["body"], s["hot"], h, s["at"], s["n"], bytes(view[s["at"]: s["at"] + s["n"] - 1 + length])))
                     size += len(rows[-1][-1])
                 if size > 1 << 23:
                     yield pack(rows)
@@ -229,47 +238,44 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, g
                 yield pack(rows)
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["a", "hot", "h", "at", "n", "bytes"])
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["a", "body", "hot", "h", "at", "n", "bytes"])
 
-    compared = stage(texts.join(by_text, "h").select("h", "text", "s").mapInArrow(cut, "a long, hot boolean, h binary, at int, n int, bytes binary"), "compared")
-    found = "repeat long, h binary, start int, end int"
+    compared = stage(texts.join(by_text, "h").select("h", "text", "s").mapInArrow(cut, "a long, body long, hot boolean, h binary, at int, n int, bytes binary"), "compared")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        held: list[tuple[int, bytes, int, int, bytes]] = []
+        held: list[tuple[int, int, bytes, int, int, bytes]] = []
         size = 0
 
         def solve() -> pa.RecordBatch:
-            rows: list[tuple] = []
+            """A row for each segment: what repeats cover of it, and the groups it is in."""
             covers: dict[int, list[tuple[int, int]]] = {}
-            for prefix, members in maximal_repeats([r[4] for r in held], [r[3] for r in held], length, [r[0] for r in held]):
+            within: dict[int, list[dict]] = {}
+            for prefix, members in maximal_repeats([r[5] for r in held], [r[4] for r in held], length, [r[0] for r in held]):
                 if groups:
                     k, place = members[0]
-                    name = xxhash.xxh3_64_intdigest(held[k][4][place: place + prefix]) >> 1
-                    rows += [(name, held[k][1], held[k][2] + place, held[k][2] + place + prefix) for k, place in members]
-                else:
-                    for k, place in members:
-                        covers.setdefault(k, []).append((place, place + prefix))
+                    repeat = xxhash.xxh3_64_intdigest(held[k][5][place: place + prefix], held[k][0] & 0xFFFFFFFFFFFFFFFF) >> 1
+                for k, place in members:
+                    covers.setdefault(k, []).append((place, place + prefix))
+                    if groups:
+                        within.setdefault(k, []).append({"repeat": repeat, "size": prefix, "place": place})
+            rows = []
             for k, spans in covers.items():
-                spans.sort()
-                first, last = spans[0]
-                for start, end in [*spans[1:], (1 << 40, 0)]:
-                    if start > last:
-                        rows.append((None, held[k][1], held[k][2] + first, held[k][2] + last))
-                        first, last = start, end
-                    last = max(last, end)
-            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)], ["repeat", "h", "start", "end"])
+                a, body, h, at, _, _ = held[k]
+                starts, ends = merged(np.array(spans) + at)
+                rows.append((a, body, h, starts, ends, within.get(k)))
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.struct([("repeat", pa.int64()), ("size", pa.int32()), ("place", pa.int32())]))]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], ["a", "body", "h", "starts", "ends", "within"])
 
         for batch in batches:
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
                 if held and row[0] != held[-1][0] and size > ARRAY_BYTES:
                     yield solve()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if held:
             yield solve()
 
@@ -283,87 +289,96 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, g
                     pa.array(first.windows(text, length).view(np.int64)), pa.array(second.windows(text, length).view(np.int64)),
                     pa.array([h] * n, pa.binary()), pa.array(np.arange(at, at + n, dtype=np.int32))], ["x", "y", "h", "start"])
 
-    near = compared.where("NOT hot").select("a", "h", "at", "n", "bytes").repartition("a").sortWithinPartitions("a").mapInArrow(compare, found)
+    near = compared.where("NOT hot").select("a", "body", "h", "at", "n", "bytes").repartition("a").sortWithinPartitions("a").mapInArrow(
+        compare, "a long, body long, h binary, starts array<int>, ends array<int>, within array<struct<repeat: long, size: int, place: int>>")
+    if groups:
+        near = stage(near, "repeats")
     strings = stage(compared.where("hot").select("h", "at", "n", "bytes").mapInArrow(hashed, "x long, y long, h binary, start int"), "strings")
     several = strings.groupBy("x", "y").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("x", "y")
-    often = strings.join(several, ["x", "y"]).select(F.xxhash64("x", "y").alias("repeat"), "h", "start", (F.col("start") + length).alias("end"))
-    return Repeats(texts, stage(whole.unionByName(near).unionByName(often), "occurrences"), name)
+    often = strings.join(several, ["x", "y"]).select("h", F.array("start").alias("starts"), F.array(F.col("start") + length).alias("ends"))
+    found = None
+    if groups:
+        placed = near.select("a", "body", F.inline("within")).select("repeat", "size", "a", "body", "place")
+        # A segment that is there several times is a repeat as a whole, unless the tree has that string, perhaps in longer segments, too.
+        alone = bodies.where("times > 1").select(F.xxhash64("a", "body").alias("repeat"), (F.col("one.n") - 1 + length).alias("size"), "a", "body", F.lit(0).alias("place"))
+        found = placed.unionByName(alone.join(placed.where("place = 0").select("a", "body", "size"), ["a", "body", "size"], "left_anti"))
+    return Repeats(texts, stage(whole.unionByName(near.select("h", "starts", "ends")).unionByName(often), "covers"), shared, found, name)
+
+
+def merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs that spans (rows of a start and an end) cover, in order."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(spans[:, 1])
+    first = np.concatenate(([True], spans[1:, 0] > reach[:-1]))
+    return spans[first, 0], reach[np.concatenate((first[1:], [True]))]
 
 
 def removed_spans(repeats: Repeats) -> DataFrame:
-    """`h, spans`: for each text with repeats the merged runs of bytes that occurrences cover, in order."""
+    """`h, starts, ends`: for each text with repeats the merged runs of bytes that they cover, in order."""
     import pyarrow as pa
 
-    spans = repeats.occurrences.groupBy("h", "start").agg(F.max("end").alias("end")).groupBy("h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("covers"))
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    by_text = repeats.covers.groupBy("h").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for covers in batch.column(1).to_pylist():
-                merged: list[dict] = []
-                for c in covers:
-                    if merged and c["start"] <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], c["end"])
-                    else:
-                        merged.append(dict(c))
-                out.append(merged)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["h", "spans"])
+            runs = [merged(np.stack([c.values.flatten().to_numpy() for c in row], axis=1)) for row in zip(batch.column(1), batch.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[k] for r in runs], pa.list_(pa.int32())) for k in (0, 1)]], ["h", "starts", "ends"])
 
-    return spans.mapInArrow(run, "h binary, spans array<struct<start int, end int>>")
+    return by_text.mapInArrow(run, "h binary, starts array<int>, ends array<int>")
 
 
-def cleaned(repeats: Repeats, length: int = LENGTH, with_text: bool = False) -> DataFrame:
-    """A row for each distinct text: `h, n_bytes, n_removed, n_spans, kept_sha256`, and the kept text if asked for.
+def cleaned(repeats: Repeats, length: int = LENGTH) -> DataFrame:
+    """A row for each distinct text: `h, n_bytes, n_removed, n_spans, kept_sha256, kept`.
 
     A text of `length` bytes or more that is there several times is removed whole. A character whose bytes are
-    kept in part only is left out of the kept text, though its bytes count as kept in the digest.
+    kept in part only is left out of the text `kept`, though its bytes count as kept in the digest.
     """
     import pyarrow as pa
 
-    names = ["h", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for h, text, copies, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for h, text, copies, starts, ends in zip(batch.column(0).to_pylist(), batch.column(1), *[batch.column(i).to_pylist() for i in (2, 3, 4)], strict=True):
                 data = memoryview(text.as_buffer())
                 n = len(data)
-                runs = [(0, n)] if copies > 1 and n >= length else [(s["start"], s["end"]) for s in spans or ()]
+                runs = [(0, n)] if copies > 1 and n >= length else list(zip(starts or (), ends or (), strict=True))
                 at, digest, kept = 0, hashlib.sha256(), []
                 for start, end in [*runs, (n, n)]:
                     digest.update(data[at:start])
-                    if with_text:
-                        kept.append(bytes(data[at:start]))
+                    kept.append(bytes(data[at:start]))
                     at = end
-                row = (h, n, sum(e - s for s, e in runs), len(runs), digest.hexdigest())
-                rows.append((*row, b"".join(kept).decode("utf-8", "ignore")) if with_text else row)
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(names), kinds, strict=False)], names)
+                rows.append((h, n, sum(e - s for s, e in runs), len(runs), digest.hexdigest(), b"".join(kept).decode("utf-8", "ignore")))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], ["h", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = repeats.texts.join(removed_spans(repeats), "h", "left").select("h", "text", "copies", "spans")
-    return joined.mapInArrow(run, "h binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text)
+    joined = repeats.texts.join(removed_spans(repeats), "h", "left").select("h", "text", "copies", "starts", "ends")
+    return joined.mapInArrow(run, "h binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """`documents` with texts cut to what no repeat covers; `n_chars`, where there is one, is set again. Every row stays."""
+    """`documents` with texts cut to what no repeat covers; `n_chars`, where there is one, is set again. Every row and column stays."""
     repeats = find_repeats(documents, length, gram)
-    kept = stage(cleaned(repeats, length, with_text=True).where("n_removed > 0").select(F.col("h").alias("__h"), "kept"), "kept")
-    documents.sparkSession.sql(f"DROP TABLE {repeats.name}")
-    joined = documents.withColumn("__key", text_key()).join(kept.withColumnRenamed("kept", "__kept"), F.col("__key") == F.col("__h"), "left")
-    values = {"text": F.coalesce("__kept", "text")}
+    try:
+        kept = stage(cleaned(repeats, length).where("n_removed > 0").select("h", "kept"), "kept")
+    finally:
+        documents.sparkSession.sql(f"DROP TABLE IF EXISTS {repeats.name}")
+    joined = documents.select(F.struct("*").alias("row"), text_key().alias("h")).join(kept, "h", "left")
+    values = {"text": F.coalesce("kept", "row.text")}
     if "n_chars" in documents.columns:
-        values["n_chars"] = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("__kept").cast(documents.schema["n_chars"].dataType))
-    return joined.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns])
+        values["n_chars"] = F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.length("kept").cast(documents.schema["n_chars"].dataType))
+    return joined.select(*[values.get(c, F.col("row").getField(c)).alias(c) for c in documents.columns])
 
 
 def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    """What is left of all `documents` without 400-byte strings that start twice."""
+    """What is left of all `documents` without 400-byte strings that start twice, as digest and as `text`."""
     documents = table(spark, folder, "documents")
     repeats = find_repeats(documents)
-    kept = stage(cleaned(repeats), "kept")
-    spark.sql(f"DROP TABLE {repeats.name}")
-    return documents.select("doc_id", text_key().alias("h")).join(kept, "h").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    try:
+        kept = stage(cleaned(repeats), "kept")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {repeats.name}")
+    return documents.select("doc_id", text_key().alias("h")).join(kept, "h").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept").alias("text"))
 
 
 QUERIES = {"op6_repeats": op6_repeats}

@@ -132,13 +132,36 @@ def test_repeats(spark, gathered, groups, monkeypatch):
     kept = repeats.cleaned(found, 120)
     got = docs.select("doc_id", repeats.text_key().alias("h")).join(kept, "h").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(pairs(docs), 120)
+    if groups:
+        check_groups(docs, found, 120)
     spark.sql(f"DROP TABLE {found.name}")
 
 
+def check_groups(docs, found, length):
+    """Every group is of equal strings with all their occurrences, and all strings that are there twice lie in groups."""
+    texts = {r["h"]: r["text"].encode() for r in found.texts.collect()}
+    groups, starts = {}, {}
+    for r in found.occurrences().collect():
+        assert r["end"] - r["start"] >= length and r["end"] <= len(texts[r["h"]])
+        groups.setdefault((r["repeat"], texts[r["h"]][r["start"]:r["end"]]), set()).add((r["h"], r["start"]))
+    assert len({repeat for repeat, _ in groups}) == len(groups)  # one string a group
+    for h, data in texts.items():
+        for p in range(len(data) - length + 1):
+            starts.setdefault(data[p:p + length], set()).add((bytes(h), p))
+    covered = set()
+    for (_, string), places in groups.items():
+        assert len(places) > 1
+        everywhere = {(bytes(h), p) for h, p in starts[string[:length]] if texts[h][p:p + len(string)] == string}
+        assert {(bytes(h), p) for h, p in places} == everywhere
+        covered |= {(h, p + k) for h, p in everywhere for k in range(len(string) - length + 1)}
+    assert covered == {place for places in starts.values() if len(places) > 1 for place in places}
+
+
 def test_repeats_query_and_stage(spark, tmp_path):
     docs = documents(spark)
     got = repeats.op6_repeats(spark, write(spark, docs, tmp_path, "documents"))
-    assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(pairs(docs), 400)
+    assert sorted(map(tuple, got.drop("text").collect()), key=str) == brute_repeats(pairs(docs), 400)
+    assert all(hashlib.sha256(r["text"].encode()).hexdigest() == r["kept_sha256"] for r in got.collect() if r["text"].isascii())
     cut = repeats.without_repeats(docs, 120, 32)
     assert cut.columns == docs.columns and cut.count() == docs.count()
     texts = {r["doc_id"]: r for r in cut.collect()}
@@ -188,9 +211,20 @@ def test_fingerprints(spark, tmp_path):
     assert got[14]["fingerprint"] == got[13]["fingerprint"] == got[15]["fingerprint"] == ""
 
 
-def test_fingerprints_of_odd_tables(spark, tmp_path):
-    docs = documents(spark)
-    assert fingerprints.op2_fingerprints(spark, write(spark, docs, tmp_path, "documents")).count() == docs.count()
+@pytest.mark.parametrize("rows_per_part", [1000, 3])
+def test_fingerprints_of_odd_tables(spark, tmp_path, rows_per_part, monkeypatch):
+    monkeypatch.setattr(fingerprints.in_parts, "__defaults__", ("tie", rows_per_part, 20))
+    hot = spark.createDataFrame([(50 if k % 3 else None, f"text {k} of a hot id", k) for k in range(90)], "doc_id long, text string, part int")
+    docs = documents(spark).unionByName(hot, allowMissingColumns=True)
+    found = fingerprints.op2_fingerprints(spark, write(spark, docs, tmp_path, "documents")).collect()
+    ties = {r["text"] or "": r["tie"] for r in docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")).collect()}
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()), key=lambda r: (r[0] is None, r[0] or 0, ties[r[1]]))
+    expected = []
+    for k, (doc_id, text) in enumerate(rows):
+        half = len(text) // 2
+        edited = text[:len(text) - half] + rows[(k + 1) % len(rows)][1][:half]
+        expected.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found), key=str) == sorted(expected, key=str)
     (tmp_path / "one").mkdir()
     one = fingerprints.op2_fingerprints(spark, write(spark, docs.where("doc_id = 5"), tmp_path / "one", "documents")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
@@ -200,8 +234,8 @@ def test_fingerprints_of_odd_tables(spark, tmp_path):
 
 def test_parts_are_in_order(spark):
     draw = random.Random(1)
-    rows = [(draw.randrange(1000) ** 2, k) for k in range(3000)] + [(None, 1)]
-    found = fingerprints.in_parts(spark.createDataFrame(rows, "v long, k long"), "v", rows_per_part=50, ranges=10).collect()
+    rows = [(draw.randrange(1000) ** 2, draw.getrandbits(64) - (1 << 63)) for _ in range(3000)] + [(None, 1)]
+    found = fingerprints.in_parts(spark.createDataFrame(rows, "v long, k long"), "v", "k", rows_per_part=50, ranges=10).collect()
     known = sorted((r["v"], r["part"]) for r in found if r["v"] is not None)
     assert all(a[1] <= b[1] for a, b in zip(known, known[1:]))
     assert max(r["part"] for r in found) == next(r["part"] for r in found if r["v"] is None)
