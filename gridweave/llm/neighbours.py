@@ -27,9 +27,9 @@ from gridweave.session import stage
 
 NEAREST, EVERY = 20, 20
 BLOCK, ASKERS = 1 << 14, 1 << 10
-PROJECTIONS, COLLISIONS, CERTAIN = 64, 36, 0.97
-#: Windows start at this share of the longest vector and widen by this factor.
-FIRST, WIDER = 0.5, 1.1
+PROJECTIONS, COLLISIONS, CERTAIN = 48, 27, 0.97
+#: Windows start at this share of the longest vector, or of the last query's windows if they were wider, and widen by this factor.
+FIRST, START, WIDER = 0.1, 0.9, 1.1
 
 
 @cache
@@ -53,7 +53,8 @@ class Block:
         n, size = vectors.shape
         scaled = vectors / np.abs(vectors).max()
         squares = (scaled * scaled).sum(axis=1)
-        self.scaled, self.longest = scaled, math.sqrt(squares.max())
+        self.scaled, self.longest = scaled.astype(np.float32), math.sqrt(squares.max())
+        self.usual = FIRST * self.longest
         self.lines = np.random.Generator(np.random.Philox(size)).standard_normal((PROJECTIONS, size + 1))
         places = self.lines[:, :size] @ scaled.T + self.lines[:, size:] * np.sqrt(np.maximum(squares.max() - squares, 0))
         order = np.argsort(places, axis=1, kind="stable")
@@ -65,44 +66,46 @@ class Block:
         self.order = order.astype(np.uint16 if n <= 1 << 16 else np.uint32).ravel()
 
     def nearest(self, query: np.ndarray, own: int, k: int) -> np.ndarray:
-        """Places in the block of the k nearest vectors found, and of any as near as the last; not the row `own`."""
+        """Places in the block of the k nearest vectors found, and of any about as near as the last; not the row `own`."""
         n = len(self.rows)
         query = query / np.abs(query).max()
         query = query / math.sqrt((query * query).sum())
         centre = self.lines[:, :-1] @ query * self.longest
-        others = self.rows != own
-        counts, open_, products = np.zeros(n, np.int64), others.copy(), np.full(n, -np.inf)
+        rough = query.astype(np.float32)
+        open_ = self.rows != own
+        counts, found, products = np.zeros(n, np.int64), [], []
         first = last = np.searchsorted(self.sorted, np.clip(centre, -self.bound, self.bound) + self.apart)
-        half = FIRST * self.longest
-        least, wanted = -np.inf, min(k, int(others.sum()))
+        best, wanted, half = np.zeros(0, np.float32), min(k, int(open_.sum())), self.usual
         while wanted:
             edges = np.clip(np.stack((centre - half, centre + half)), -1.5 * self.bound, 1.5 * self.bound) + self.apart
             left = np.minimum(np.searchsorted(self.sorted, edges[0], "left"), first)
             right = np.maximum(np.searchsorted(self.sorted, edges[1], "right"), last)
-            runs = [self.order[a:b] for a, b in zip(left, first, strict=True)] + [self.order[a:b] for a, b in zip(last, right, strict=True)]
-            counts += np.bincount(np.concatenate(runs), minlength=n)
+            bounds = (*zip(left.tolist(), first.tolist(), strict=True), *zip(last.tolist(), right.tolist(), strict=True))
+            counts += np.bincount(np.concatenate([self.order[a:b] for a, b in bounds if a < b] or [self.order[:0]]), minlength=n)
             first, last = left, right
-            whole = int((last - first).sum()) == n * PROJECTIONS
-            new = np.flatnonzero(open_ & (counts >= COLLISIONS))
+            new = np.flatnonzero((counts >= COLLISIONS) & open_)
             if len(new):
                 open_[new] = False
-                products[new] = self.scaled[new] @ query
-                if n - int(open_.sum()) > k:
-                    least = np.partition(products, n - wanted)[n - wanted]
-            if whole:
+                found.append(new)
+                products.append(self.scaled[new] @ rough)
+                best = np.concatenate((best, products[-1]))
+                if len(best) > wanted:
+                    best = np.partition(best, len(best) - wanted)[-wanted:]
+            if int((last - first).sum()) == n * PROJECTIONS:
                 break
             target = math.inf
-            if least > -np.inf:
-                # The distance of a vector whose inner product is `least`, from the query at the length of the longest vector.
-                target = reach() * math.sqrt(max(2 * self.longest * (self.longest - least), 0))
+            if len(best) == wanted:
+                # The distance of a vector as near as the k-th best, from the query at the length of the longest vector.
+                target = reach() * math.sqrt(max(2 * self.longest * (self.longest - float(best.min())), 0))
                 if half >= target:
                     break
             half = min(half * WIDER, max(target, half * 1.001))
-        found = np.flatnonzero(products > -np.inf)
-        if len(found) > k:
-            last_one = np.partition(products[found], len(found) - k)[len(found) - k]
-            found = found[products[found] >= last_one - 1e-9 * max(1.0, abs(last_one))]
-        return found
+        if not found:
+            return np.zeros(0, np.int64)
+        self.usual = max(START * half, FIRST * self.longest)
+        places, products = np.concatenate(found), np.concatenate(products)
+        # Products of single precision choose generously; the exact ones decide.
+        return places[products >= best.min() - 1e-5 * self.longest]
 
 
 def takes_part(vector: Column) -> Column:
