@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +13,7 @@ from gridweave import schemas
 from gridweave.operators import gold, silver
 from gridweave.session import stage
 from gridweave.sources import readers, writers
+from gridweave.sources.keyed import KeyedTable
 
 
 #: What tells a published record from others.
@@ -45,24 +47,29 @@ def drop_relanded(stream: DataFrame, delay: str = "2 days") -> DataFrame:
     return stream.withWatermark("publish_time_utc", delay).dropDuplicatesWithinWatermark(RECORD)
 
 
-def stream_relanded(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Published records without a watermark: each micro-batch writes what landed to a folder of its own.
+def relanded(target: str) -> KeyedTable:
+    """Published records by what tells them from others, as they first landed; records without readable times all stay."""
+    return KeyedTable(target, RECORD, needs=["interval_start_utc", "publish_time_utc"], first=True)
 
-    No record is too late; copies collapse in `read_relanded`. A batch that runs again replaces its folder.
+
+def stream_relanded(stream: DataFrame, target: str, checkpoint: str, *, compact_every: int = 20) -> StreamingQuery:
+    """Published records without a watermark: each micro-batch upserts what landed, no record is too late, and copies collapse.
+
+    A batch that runs again takes its own place. After every `compact_every` batches they are merged, so a read opens few folders.
     """
+    table = relanded(target)
+
     def add(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        table.write(batch, number)
+        if number % compact_every == compact_every - 1:
+            table.compact(batch.sparkSession)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_relanded(spark: SparkSession, target: str) -> DataFrame:
-    """One row of each published record of all micro-batches so far, as it first landed; records without readable times all stay."""
-    parts = spark.read.parquet(target)
-    names = [c for c in parts.columns if c != "batch"]
-    timed = F.col("interval_start_utc").isNotNull() & F.col("publish_time_utc").isNotNull()
-    first = parts.where(timed).groupBy(*RECORD).agg(F.min_by(F.struct(*names), "batch").alias("__first")).select("__first.*")
-    return first.unionByName(parts.where(~timed).select(*names))
+    """One row of each published record of all micro-batches so far."""
+    return relanded(target).read(spark)
 
 
 def half_hour_sums(stream: DataFrame, time: str, key: str, value: str, delay: str = "1 hour") -> DataFrame:
@@ -94,53 +101,77 @@ def read_half_hour_sums(spark: SparkSession, target: str, key: str) -> DataFrame
     return parts.groupBy("interval_start_utc", key).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
+#: The day of rows without a readable start: they come before all others of their series. The calendar of files begins about then.
+NO_DAY = date(1583, 1, 1)
+
+
+def interval_day() -> Column:
+    return F.coalesce(F.to_date("interval_start_utc"), F.lit(NO_DAY))
+
+
 def refresh_gold(spark: SparkSession, silver_energy: str, silver_weather: str, gold_path: str, checkpoint: str) -> StreamingQuery:
-    """Recompute the Gold dates that newly arrived demand rows can change.
+    """Recompute the Gold days that newly arrived demand rows can change; Gold is laid out by `interval_date`.
 
-    A changed day alters its own rows and, through lags and rolling frames, the 48 rows after it. Those dates are
-    replaced; the dates holding the 48 rows before them are read as history; all others stay untouched. Rows without a date
-    can stand between the rows of any date, so while Silver has some, Gold is made again as a whole.
+    A changed day alters its own rows and, through lags and rolling frames, the 48 rows after it. Those days are
+    replaced; the days holding the 48 rows before them are read as history; all others stay untouched. Days are those of the
+    interval's start, in the order of the rows, so a record without a settlement date is a row of its day like any other, and
+    records without a start have a first day of their own. Of Silver and of the weather only the folders around those days are read.
     """
     def refresh(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        touched = batch.select(F.col("settlement_date").alias("d")).distinct()
+        touched = stage(batch.select(interval_day().alias("d")).distinct(), "touched")
         if touched.isEmpty():
             return
-        energy = readers.read_table(session, silver_energy)
-        if not energy.where("settlement_date IS NULL").isEmpty():
-            writers.write_forecast_gold(gold.forecast_features(silver.latest_energy(energy), readers.read_table(session, silver_weather)), gold_path)
-            return
-        rewrite, history = affected_dates(rows_per_day(energy, touched), touched)
-        # Calendar dates: a few tens of thousands at the very most.
-        dates = F.broadcast(stage(rewrite.select("settlement_date").distinct(), "rewrite"))
-        needed = F.broadcast(history.select("settlement_date").distinct())
-        rows = energy.join(needed, "settlement_date", "left_semi")
-        features = gold.forecast_features(silver.latest_energy(rows), readers.read_table(session, silver_weather))
-        writers.write_forecast_gold(features.join(dates, "settlement_date", "left_semi"), gold_path, incremental=True)
+        energy = readers.read_table(session, silver_energy).withColumn("interval_date", interval_day())
+
+        def around(low: date, high: date) -> DataFrame:
+            """Rows that may start on these days: settlement days are at most a day off."""
+            near = F.col("settlement_date").isNull() | F.col("settlement_date").between(_shifted(low, -1), _shifted(high, 1))
+            return energy.where(near if low > NO_DAY else near | F.col("interval_start_utc").isNull())
+
+        rewrite, history = affected_dates(rows_per_day(energy, touched, around), touched)
+        # Days of the calendar: one narrow row for each day there are rows of, however many rows.
+        days = stage(rewrite.select("interval_date").distinct(), "rewrite")
+        needed = stage(history.select("interval_date").distinct(), "history")
+        low, high = needed.where(F.col("interval_date") > F.lit(NO_DAY)).agg(F.min("interval_date"), F.max("interval_date")).first()
+        weather = readers.read_table(session, silver_weather)
+        if low:
+            weather = weather.where(F.col("forecast_date").isNull() | F.col("forecast_date").between(_shifted(low, -1), _shifted(high, 1)))
+        rows = (around(NO_DAY, high or NO_DAY) if needed.where(F.col("interval_date") == F.lit(NO_DAY)).count() else around(low, high)).join(needed, "interval_date", "left_semi")
+        features = gold.forecast_features(silver.latest_energy(rows), weather).withColumn("interval_date", interval_day())
+        writers.write_partitioned(features.join(days, "interval_date", "left_semi"), gold_path, "interval_date", incremental=True)
 
     stream = spark.readStream.schema(spark.read.parquet(silver_energy).schema).parquet(silver_energy)
     return stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def rows_per_day(energy: DataFrame, touched: DataFrame, *, rows: int = schemas.LOOKBACK, days: int = 8) -> DataFrame:
-    """Rows per series and date after choosing versions, for enough dates around the touched ones.
+def _shifted(day: date, days: int) -> date:
+    return date.fromordinal(min(max(day.toordinal() + days, NO_DAY.toordinal()), date.max.toordinal()))
 
-    Reads three narrow columns of the dates `days` around the touched span, and goes further out only while some
-    series has fewer than `rows` rows on either side of the span and older or newer dates exist.
+
+def rows_per_day(
+    energy: DataFrame, touched: DataFrame, around: Callable[[date, date], DataFrame] | None = None, *, rows: int = schemas.LOOKBACK, days: int = 8
+) -> DataFrame:
+    """Rows per series and `interval_date` after choosing versions, for enough days around the touched ones.
+
+    Reads narrow columns of the days `days` around the touched span (`around` gives the rows that may lie in a span), and goes
+    further out only while some series has fewer than `rows` rows on a side of the span and has more rows beyond.
     """
     first, last = touched.agg(F.min("d"), F.max("d")).first()
-    oldest, newest = energy.agg(F.min("settlement_date"), F.max("settlement_date")).first()
-    day = F.col("settlement_date")
+    day = F.col("interval_date")
+    version_key = F.struct("interval_start_utc", "settlement_period")
     while True:
-        low, high = first - timedelta(days=days), last + timedelta(days=days)
-        near = energy.where(day.between(low, high))
-        version_key = F.struct("interval_start_utc", "settlement_period")
-        counts = stage(near.groupBy("dataset_name", "settlement_date").agg(F.count_distinct(version_key).alias("n")), "days")
-        sides = counts.groupBy("dataset_name").agg(
-            F.sum(F.when(day < first, F.col("n")).otherwise(0)).alias("before"),
-            F.sum(F.when(day > last, F.col("n")).otherwise(0)).alias("after"),
-        ).agg(F.min("before"), F.min("after")).first()
-        if (low <= oldest or sides[0] >= rows) and (high >= newest or sides[1] >= rows):
+        low, high = _shifted(first, -days), _shifted(last, days)
+        near = (around(low, high) if around else energy).where(day.between(low, high))
+        counts = stage(near.groupBy("dataset_name", "interval_date").agg(F.count_distinct(version_key).alias("n")), "days")
+        sides = stage(counts.groupBy("dataset_name").agg(
+            F.sum(F.when(day < first, F.col("n")).otherwise(0)).alias("before"), F.sum(F.when(day > last, F.col("n")).otherwise(0)).alias("after")), "sides")
+        lacking = sides.where((F.col("before") < rows) | (F.col("after") < rows))
+        if lacking.isEmpty():
+            return counts
+        outside = energy.where((day < low) | (day > high)).select("dataset_name", day)
+        more = ((day < low) & (F.col("before") < rows)) | ((day > high) & (F.col("after") < rows))
+        if outside.join(lacking, outside["dataset_name"].eqNullSafe(lacking["dataset_name"])).where(more).isEmpty():
             return counts
         days *= 4
 
@@ -152,16 +183,16 @@ def affected_dates(per_day: DataFrame, touched: DataFrame, rows: int = schemas.L
     date. It is read if it is rewritten or fewer than `rows` rows lie between it and a later rewritten
     date. Counts run over the calendar dates of a series, which are few.
     """
-    days = per_day.join(F.broadcast(touched.select(F.col("d").alias("settlement_date"), F.lit(True).alias("__t"))), "settlement_date", "left")
-    past = Window.partitionBy("dataset_name").orderBy("settlement_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = Window.partitionBy("dataset_name").orderBy("settlement_date").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    days = per_day.join(F.broadcast(touched.select(F.col("d").alias("interval_date"), F.lit(True).alias("__t"))), "interval_date", "left")
+    past = Window.partitionBy("dataset_name").orderBy("interval_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy("dataset_name").orderBy("interval_date").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     days = days.withColumn("__end", F.sum("n").over(past)).withColumn("__start", F.col("__end") - F.col("n"))
     days = days.withColumn("__last_touched_end", F.max(F.when(F.col("__t"), F.col("__end"))).over(past))
     rewrite = F.coalesce(F.col("__t"), F.lit(False)) | F.coalesce(F.col("__start") - F.col("__last_touched_end") < rows, F.lit(False))
     days = days.withColumn("__rewrite", rewrite)
     # All series of a rewritten date are rewritten together, because the date folder is replaced.
-    whole = days.groupBy("settlement_date").agg(F.bool_or("__rewrite").alias("__whole"))
-    days = days.join(F.broadcast(whole), "settlement_date")
+    whole = days.groupBy("interval_date").agg(F.bool_or("__rewrite").alias("__whole"))
+    days = days.join(F.broadcast(whole), "interval_date")
     days = days.withColumn("__next_start", F.min(F.when(F.col("__whole"), F.col("__start"))).over(ahead))
     read = F.col("__whole") | F.coalesce(F.col("__next_start") - F.col("__end") < rows, F.lit(False))
-    return days.where("__whole").select("dataset_name", "settlement_date"), days.where(read).select("dataset_name", "settlement_date")
+    return days.where("__whole").select("dataset_name", "interval_date"), days.where(read).select("dataset_name", "interval_date")

@@ -108,10 +108,14 @@ def test_gold_refresh_keeps_rows_without_a_date(spark, tmp_path):
         70 AS relative_humidity_2m, 3.0D AS wind_speed_10m, 'p' AS source_object_path, TIMESTAMP '2026-03-22 05:00:00' AS forecast_time_local,
         DATE '2026-03-22' AS forecast_date, '2026-03-22' AS bronze_ingestion_date""")
     writers.write_weather_silver(weather, silver_weather)
-    undated = payload(21, range(3))
+    undated, startless = payload(21, range(3)), payload(21, range(2, 5), published=3)
     for record in undated["data"]:
         record["settlementDate"] = None
-    for name, document in (("first", payload(20, range(6))), ("second", undated), ("third", payload(22, range(4)))):
+    for record in startless["data"]:
+        record["startTime"] = None
+    later = payload(21, range(1, 3), offset=4, published=9)  # dated versions of undated rows
+    documents = (("first", payload(20, range(48))), ("second", undated), ("third", payload(28, range(4))), ("fourth", startless), ("fifth", later), ("sixth", payload(10, range(2))))
+    for name, document in documents:
         land(tmp_path / name, name, document)
         flat = silver.energy_to_silver(readers.read_bronze_energy(spark, str(tmp_path / name)))
         flat.write.mode("append").partitionBy("settlement_date").parquet(silver_energy)
@@ -119,15 +123,39 @@ def test_gold_refresh_keeps_rows_without_a_date(spark, tmp_path):
         full = gold.forecast_features(silver.latest_energy(readers.read_table(spark, silver_energy)), weather)
         show = lambda df: sorted(map(repr, df.select(sorted(full.columns)).collect()))
         assert show(readers.read_table(spark, target)) == show(full)
-    assert readers.read_table(spark, target).where("settlement_date IS NULL").count() == 3
+    assert readers.read_table(spark, target).where("settlement_date IS NULL").count() == 1
+    assert readers.read_table(spark, target).where("interval_start_utc IS NULL").count() == 3
+
+
+def test_gold_refresh_leaves_other_days_alone(spark, tmp_path):
+    """Rows without a date do not make all of Gold again."""
+    silver_energy, silver_weather, target = (str(tmp_path / n) for n in ("se", "sw", "gold"))
+    hour = "TIMESTAMP '2026-03-22 05:00:00'"
+    writers.write_weather_silver(spark.sql(f"""SELECT 51.5D AS latitude, 0.1D AS longitude, 'GMT' AS timezone, 'GMT' AS timezone_abbreviation, 1.0D AS elevation, 9.5D AS temperature_2m,
+        70 AS relative_humidity_2m, 3.0D AS wind_speed_10m, 'p' AS source_object_path, {hour} AS forecast_time_local, DATE '2026-03-22' AS forecast_date, '2026-03-22' AS bronze_ingestion_date"""), silver_weather)
+
+    def run(name, *documents):
+        for i, document in enumerate(documents):
+            land(tmp_path / name, str(i), document)
+        silver.energy_to_silver(readers.read_bronze_energy(spark, str(tmp_path / name))).write.mode("append").partitionBy("settlement_date").parquet(silver_energy)
+        incremental.refresh_gold(spark, silver_energy, silver_weather, target, str(tmp_path / "cp")).awaitTermination()
+        return {f.parent.name: f.name for f in (tmp_path / "gold").rglob("*.parquet")}
+
+    undated = payload(20, range(48))
+    for record in undated["data"]:
+        record["settlementDate"] = None
+    before = run("first", *[payload(day, range(48)) for day in range(10, 20)], undated)
+    after = run("second", payload(16, range(3), offset=5, published=9))
+    changed = {day for day in before if before[day] != after[day]}
+    assert changed == {"interval_date=2026-03-16", "interval_date=2026-03-17"} and len(after) == 11
 
 
 def test_affected_dates(spark):
-    days = spark.createDataFrame([("x", d, 20) for d in range(10)], "dataset_name string, settlement_date int, n int")
+    days = spark.createDataFrame([("x", d, 20) for d in range(10)], "dataset_name string, interval_date int, n int")
     touched = spark.createDataFrame([(3,)], "d int")
     rewrite, read = incremental.affected_dates(days, touched)
-    assert sorted(r.settlement_date for r in rewrite.collect()) == [3, 4, 5, 6]
-    assert sorted(r.settlement_date for r in read.collect()) == [0, 1, 2, 3, 4, 5, 6]
+    assert sorted(r.interval_date for r in rewrite.collect()) == [3, 4, 5, 6]
+    assert sorted(r.interval_date for r in read.collect()) == [0, 1, 2, 3, 4, 5, 6]
 
 
 def test_half_hour_windows(spark, tmp_path):
@@ -146,7 +174,7 @@ def test_half_hour_windows(spark, tmp_path):
 def test_day_counts_reach_out_for_sparse_series(spark):
     days = [("dense", d, 0) for d in range(60, 100)] + [("sparse", d, 0) for d in (1, 80)]
     frame = spark.createDataFrame(days, "dataset_name string, day int, settlement_period int").select(
-        "dataset_name", F.date_add(F.lit(dt.date(2026, 1, 1)), F.col("day")).alias("settlement_date"),
+        "dataset_name", F.date_add(F.lit(dt.date(2026, 1, 1)), F.col("day")).alias("interval_date"),
         F.timestamp_seconds(F.col("day") * 86400).alias("interval_start_utc"), "settlement_period")
     touched = spark.createDataFrame([(dt.date(2026, 1, 1) + dt.timedelta(days=80),)], "d date")
     near = incremental.rows_per_day(frame.where("dataset_name = 'dense'"), touched, rows=5)
@@ -169,3 +197,18 @@ def test_half_hour_sums_lose_nothing(spark, tmp_path):
     got = incremental.read_half_hour_sums(spark, f"{tmp_path}/out", "k").selectExpr("CAST(interval_start_utc AS string) AS t", "k", "total", "n")
     expected = frame.groupBy(F.window("ts", "30 minutes").start.cast("string").alias("t"), "k").agg(F.sum("v").alias("total"), F.count("v").alias("n"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_relanded_batches_are_merged(spark, tmp_path):
+    """Compaction changes no row, and a read after it opens the base alone."""
+    bronze, target = tmp_path / "bronze", str(tmp_path / "out")
+    for number in range(7):
+        land(bronze, str(number), payload(24 - 3 * (number % 3), range(4 + number)))
+        stream = silver.energy_to_silver(incremental.stream_bronze(spark, str(bronze), incremental.schemas.BRONZE_ENERGY))
+        incremental.stream_relanded(stream, target, str(tmp_path / "cp"), compact_every=3).awaitTermination()
+    flat = silver.energy_to_silver(readers.read_bronze_energy(spark, str(bronze)))
+    found = incremental.read_relanded(spark, target)
+    show = lambda df: sorted(map(repr, df.select(incremental.RECORD).collect()))
+    assert show(found) == show(flat.select(incremental.RECORD).distinct())
+    files = found.inputFiles()
+    assert any("/base/" in f for f in files) and {f.split("/batch=")[1].split("/")[0] for f in files if "/batch=" in f} == {"6"}
