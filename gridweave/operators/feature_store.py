@@ -11,6 +11,7 @@ from gridweave.functions.scalars import (
     column, feature_text, feature_timestamp, is_floating, is_timestamp, normalise_json_value, record_id,
 )
 from gridweave.operators import series
+from gridweave.sources.keyed import KeyedTable
 
 # Spark types a logical feature type accepts.
 LOGICAL = {
@@ -90,3 +91,19 @@ def select_backfill(gold: DataFrame, max_records: int | None = None) -> DataFram
     keyed = gold.withColumn("__period", F.coalesce(F.col("settlement_period"), F.lit(0)))
     order = [schemas.EVENT_TIME, "__period", *([schemas.SERIES] if schemas.SERIES in gold.columns else [])]
     return series.latest_rows_overall(keyed, order, max_records).drop("__period")
+
+
+def offline_store(path: str, event_time: str = schemas.EVENT_TIME, record_identifier: str = schemas.RECORD_ID) -> KeyedTable:
+    """A feature group's table: of a record the version with the latest event time counts, of equal ones that of the latest run."""
+    return KeyedTable(path, [record_identifier], [event_time])
+
+
+def backfill(
+    gold: DataFrame, definitions: dict[str, str], path: str, run: int, *, max_records: int | None = None, record_identifier: str = schemas.RECORD_ID
+) -> None:
+    """Store the latest `max_records` rows of a Gold table, or all, as typed records of a feature group.
+
+    `run` numbers the runs of a store in order; a run that is tried again replaces what it stored and adds no version.
+    """
+    chosen = select_backfill(gold, max_records).select(*gold.columns)
+    offline_store(path, record_identifier=record_identifier).write(to_feature_group(chosen, definitions, record_identifier), run)

@@ -121,12 +121,7 @@ def landing_roundtrip(spark, folder):
 @query
 def landing_by_request(spark, folder):
     """Payloads landed as one object per request, read back and flattened; each record knows the object it came in."""
-    docs = adapters.bronze_energy(spark, folder).select(
-        F.lit("energy").alias("source"), F.regexp_extract("source_object_path", r"(req-\d+)", 1).alias("request_id"),
-        F.regexp_extract("source_object_path", silver.PARTITION_DATE, 1).alias("event_time_utc"), F.to_json(F.struct("data")).alias("payload"))
-    root = staging_path(spark, "landing")
-    landing.land(docs, root, "bronze/raw")
-    return silver_energy_view(silver.energy_to_silver(landing.read_landed(spark, root, schemas.BRONZE_ENERGY)))
+    return silver_energy_view(silver.energy_to_silver(landing.read_landed(spark, landed_energy(spark, folder), schemas.BRONZE_ENERGY)))
 
 
 @query
@@ -683,6 +678,33 @@ def feature_group_store(spark, folder):
     return feature_store.upsert(None, spark.read.parquet(path)).select("feature_record_id", "settlement_period", "demand_mw")
 
 
+@query
+def feature_store_backfill(spark, folder):
+    """All Gold anomaly features backfilled into their group: everything, then the latest 1000 rows anew, tried twice, compacted between."""
+    gold_rows = stage(gold_anomaly(spark, folder), "gold")
+    path = staging_path(spark, "store")
+    feature_store.backfill(gold_rows, schemas.ANOMALY_FEATURES, path, 0)
+    newer = gold_rows.withColumn("demand_mw", F.col("demand_mw") + 1)
+    feature_store.backfill(newer, schemas.ANOMALY_FEATURES, path, 1, max_records=1000)
+    feature_store.backfill(newer, schemas.ANOMALY_FEATURES, path, 1, max_records=1000)
+    store = feature_store.offline_store(path)
+    store.compact(spark)
+    feature_store.backfill(newer, schemas.ANOMALY_FEATURES, path, 1, max_records=1000)
+    return feature_view(store.read(spark), schemas.ANOMALY_FEATURES)
+
+
+@query
+def feature_store_forecast(spark, folder):
+    """All Gold forecast features as a group, read without compaction."""
+    path = staging_path(spark, "store")
+    feature_store.backfill(gold_forecast(spark, folder), schemas.FORECAST_FEATURES, path, 0)
+    return feature_view(feature_store.offline_store(path).read(spark), schemas.FORECAST_FEATURES)
+
+
+def feature_view(rows: DataFrame, definitions: dict[str, str]) -> DataFrame:
+    return rows.select(schemas.RECORD_ID, *[six(n) if kind == "Fractional" else F.col(n) for n, kind in definitions.items()])
+
+
 @query
 def backfill_latest(spark, folder):
     """The latest 1000 demand rows of the whole table."""
@@ -930,14 +952,51 @@ def stream_halfhour_demand(spark, folder):
 
 @query
 def stream_silver(spark, folder):
-    """Landed payload files flattened by a stream."""
-    landed = staging_path(spark, "landed")
-    adapters.bronze_energy(spark, folder).select("data").write.json(landed)
+    """Landed objects flattened by a stream; each record knows the object it came in."""
+    root = landed_energy(spark, folder)
     out, checkpoint = staging_path(spark, "silver"), staging_path(spark, "checkpoint")
-    bronze = spark.readStream.schema(schemas.BRONZE_ENERGY).json(landed)
-    silver.energy_to_silver(bronze).writeStream.format("parquet").partitionBy("settlement_date").option("path", out) \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return silver_energy_view(readers.read_table(spark, out)).drop("source_object_path", "bronze_ingestion_date")
+    incremental.stream_energy_to_silver(spark, root, out, checkpoint).awaitTermination()
+    rows = readers.read_table(spark, out)
+    return silver_energy_view(rows.withColumn("source_object_path", landing.object_key(F.col("source_object_path"), root)))
+
+
+def landed_energy(spark: SparkSession, folder: str) -> str:
+    docs = adapters.bronze_energy(spark, folder).select(
+        F.lit("energy").alias("source"), F.regexp_extract("source_object_path", r"(req-\d+)", 1).alias("request_id"),
+        F.regexp_extract("source_object_path", silver.PARTITION_DATE, 1).alias("event_time_utc"), F.to_json(F.struct("data")).alias("payload"))
+    root = staging_path(spark, "landing")
+    landing.land(docs, root, "bronze/raw")
+    return root
+
+
+@query
+def stream_relanded_records(spark, folder):
+    """Published records that land three times over in files out of order, upserted by micro-batches and compacted between."""
+    rows = adapters.silver_energy(spark, folder)
+    source, out, checkpoint = (staging_path(spark, label) for label in ("landings", "relanded", "checkpoint"))
+    for landing_number in range(3):
+        # Every landing has a third of the records, in no order of time, and another third that the one before had.
+        part = F.pmod(F.hash("publish_time_utc", "dataset_name"), F.lit(3))
+        rows.where(part.isin(landing_number, (landing_number + 1) % 3)).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(source)
+        incremental.stream_relanded(stream, out, checkpoint, compact_every=2).awaitTermination()
+    return silver_energy_view(incremental.read_relanded(spark, out)).select(*["dataset_name", "interval_start_utc", "settlement_period", "publish_time_utc", "settlement_date"])
+
+
+@query
+def stream_gold_refresh(spark, folder):
+    """Gold kept up by a stream over demand that lands out of order, partly without a settlement date."""
+    rows = adapters.silver_energy(spark, folder)
+    undated = F.pmod(F.minute("publish_time_utc"), F.lit(10)) == 3
+    rows = rows.withColumn("settlement_date", F.when(~undated, F.col("settlement_date")))
+    energy, weather, out, checkpoint = (staging_path(spark, label) for label in ("silver", "weather", "gold", "checkpoint"))
+    writers.write_weather_silver(adapters.silver_weather(spark, folder), weather)
+    # The later half of every day's records first, then the earlier one.
+    late = F.col("settlement_period") > 24
+    for part in (late, ~late):
+        rows.where(part).write.mode("append").partitionBy("settlement_date").parquet(energy)
+        incremental.refresh_gold(spark, energy, weather, out, checkpoint).awaitTermination()
+    return gold_view(readers.read_table(spark, out), "demand_mw", text("weather_timestamp").alias("weather_timestamp"), "lag_1_demand_mw", "lag_48_demand_mw", six("rolling_mean_48_demand_mw"), six("temperature_2m"))
 
 
 # --- Point in time --------------------------------------------------------------------------------

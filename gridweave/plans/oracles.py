@@ -68,6 +68,16 @@ WEATHER = """strftime(weather_timestamp, '%Y-%m-%d %H:%M:%S') AS weather_timesta
 ROLLING = """round(mean_48, 6) AS rolling_mean_48_demand_mw, round(min_48::DOUBLE, 6) AS rolling_min_48_demand_mw,
     round(max_48::DOUBLE, 6) AS rolling_max_48_demand_mw"""
 
+ISO = "'%Y-%m-%dT%H:%M:%SZ'"
+FEATURES = f"""dataset_name || '|' || strftime(t, {ISO}) AS feature_record_id, dataset_name, strftime(pub, {ISO}) AS publish_time_utc, strftime(t, {ISO}) AS interval_start_utc,
+    strftime(t + INTERVAL '30 minutes', {ISO}) AS interval_end_utc, sp::BIGINT AS settlement_period, strftime(t, '%Y-%m-%d') AS settlement_date, y::DOUBLE AS demand_mw,
+    strftime(t, '%Y-%m-%d') AS bronze_ingestion_date, coalesce(strftime(weather_timestamp, {ISO}), '') AS weather_timestamp, round(temperature_2m, 6) AS temperature_2m,
+    relative_humidity_2m::DOUBLE AS relative_humidity_2m, round(wind_speed_10m, 6) AS wind_speed_10m, CASE WHEN weather_timestamp IS NOT NULL THEN 51.5::DOUBLE END AS latitude,
+    CASE WHEN weather_timestamp IS NOT NULL THEN -0.125::DOUBLE END AS longitude, CASE WHEN weather_timestamp IS NOT NULL THEN 'GMT' ELSE '' END AS timezone,
+    date_part('hour', t)::BIGINT AS interval_hour, dow::BIGINT AS day_of_week, month(t)::BIGINT AS month_of_year, we::BIGINT AS is_weekend,
+    lag_1::DOUBLE AS lag_1_demand_mw, lag_2::DOUBLE AS lag_2_demand_mw, lag_48::DOUBLE AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw,
+    min_48::DOUBLE AS rolling_min_48_demand_mw, max_48::DOUBLE AS rolling_max_48_demand_mw"""
+
 STATEMENTS = {
     "silver_energy_flatten": "SELECT * FROM silver",
     "silver_weather_flatten": "SELECT * EXCLUDE (h) FROM weather",
@@ -261,7 +271,19 @@ STATEMENTS = {
         last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER o AS purchase_id,
         last_value(CASE WHEN event_type = 'purchase' THEN c END IGNORE NULLS) OVER o AS purchase_cents FROM e WHERE event_type IN ('view', 'purchase')
         WINDOW o AS (ORDER BY ts, event_type = 'view', event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WHERE event_type = 'view'""",
-    "stream_silver": "SELECT * EXCLUDE (source_object_path, bronze_ingestion_date) FROM silver",
+    "stream_silver": "SELECT * FROM silver",
+    "stream_relanded_records": "SELECT DISTINCT dataset_name, interval_start_utc, settlement_period, publish_time_utc, settlement_date FROM silver",
+    "stream_gold_refresh": """WITH s AS (SELECT *, CAST(interval_start_utc AS TIMESTAMP) AS t FROM silver QUALIFY row_number() OVER (PARTITION BY dataset_name, interval_start_utc,
+        settlement_period ORDER BY publish_time_utc DESC, source_object_path DESC, demand_mw DESC) = 1)
+        SELECT dataset_name, interval_start_utc, demand_mw, strftime(wlast.h, '%Y-%m-%d %H:%M:%S') AS weather_timestamp, round(temperature_2m, 6) AS temperature_2m,
+        lag(demand_mw, 1) OVER w AS lag_1_demand_mw, lag(demand_mw, 48) OVER w AS lag_48_demand_mw, round(avg(demand_mw) OVER r, 6) AS rolling_mean_48_demand_mw
+        FROM s LEFT JOIN wlast ON wlast.h = date_trunc('hour', s.t)
+        WINDOW w AS (PARTITION BY dataset_name ORDER BY s.t), r AS (PARTITION BY dataset_name ORDER BY s.t ROWS BETWEEN 47 PRECEDING AND CURRENT ROW)""",
+    "feature_store_forecast": f"SELECT {FEATURES} FROM gold",
+    "feature_store_backfill": f"""SELECT {FEATURES.replace('y::DOUBLE AS demand_mw', '(y + CASE WHEN k <= 1000 THEN 1 ELSE 0 END)::DOUBLE AS demand_mw')},
+        round(sd_48, 6) AS rolling_stddev_48_demand_mw, round(y - mean_48, 6) AS demand_minus_rolling_mean_mw,
+        round(CASE WHEN mean_48 <> 0 THEN y / mean_48 END, 6) AS demand_to_rolling_mean_ratio, round(CASE WHEN sd_48 <> 0 THEN (y - mean_48) / sd_48 END, 6) AS rolling_z_score
+        FROM (SELECT *, row_number() OVER (ORDER BY t DESC, sp DESC, dataset_name DESC) AS k FROM gold)""",
 }
 
 
