@@ -24,10 +24,11 @@ def as_of_join(
     *,
     ties: Sequence[str] = (),
     tolerance_seconds: float | None = None,
+    strict: bool = False,
     row_bound: int | None = None,
     spread: bool | None = None,
 ) -> DataFrame:
-    """Every row of `left`, with `values` of the newest row of `right` of the same keys at or before its time.
+    """Every row of `left`, with `values` of the newest row of `right` of the same keys at or before its time (`strict`: before it).
 
     Of right rows of the same time the one with the greatest `ties` (or else values) counts. A left row without a key or a time, or with nothing
     known in time (within the tolerance, if there is one), has null values; right rows without a time were never known.
@@ -49,7 +50,9 @@ def as_of_join(
     both = asked.unionByName(known, allowMissingColumns=True).withColumn("__asks", F.col("__left").isNotNull())
     if spread is None:
         spread = not sizing.fits_one_task(both, names, None if row_bound is None else 2 * row_bound)
-    order = ["__time", "__asks", "__tie"]
+    if strict:  # a row that asks comes before those of its time
+        both = both.withColumn("__late", ~F.col("__asks"))
+    order = ["__time", "__late" if strict else "__asks", "__tie"]
     if not spread:
         so_far = Window.partitionBy(*names).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         met = both.select("__asks", "__left", "__time", F.last("__right", ignorenulls=True).over(so_far).alias("__right"))

@@ -100,3 +100,34 @@ def landing_gaps(manifest: DataFrame, cadence_minutes: int, *, row_bound: int |
         "request_id", "landed_at", "previous_at", minutes.alias("gap_minutes"),
         (F.floor(minutes / cadence_minutes) - 1).cast("int").alias("missed_landings"),
     )
+
+
+def source_landings(manifest: DataFrame) -> DataFrame:
+    """`source, request_id, landed_at` of every output of a successful request, named as in the registry of sources."""
+    landed = manifest.where("status = 'success'").withColumn("landed_at", F.try_to_timestamp("event_time_utc"))
+    energy, weather = (name for name, _, _ in schemas.PUBLIC_SOURCES)
+    outputs = F.array_compact(F.array(
+        F.when(F.col("outputs.energy.record_count").isNotNull(), F.lit(energy)), F.when(F.col("outputs.weather.hourly_timestamp_count") > 1, F.lit(weather))))
+    return landed.select("request_id", "landed_at", F.explode(outputs).alias("source"))
+
+
+def outages(landings: DataFrame, registry: DataFrame, *, row_bound: int | None = None, spread: bool | None = None) -> DataFrame:
+    """Spans in which a source did not land within its own cadence, and how many landings the run before had.
+
+    `landings` has `source, request_id, landed_at`; the cadence comes from `registry`, a source without one is left out. A span
+    reaches from the last landing in time to the next; landings between two spans are an island.
+    """
+    known = landings.where("landed_at IS NOT NULL").join(registry.select(F.col("name").alias("source"), "cadence_minutes"), "source")
+    placed = series.series_index(known, ["source"], ["landed_at", "request_id"], name="__at", row_bound=row_bound, spread=spread)
+    one = {"__since": lambda w: F.lag("landed_at").over(w)}
+    gaps = series.row_windows(placed, ["source"], ["__at"], one, before=1, row_bound=row_bound, spread=spread, index="__at")
+    minutes = (F.unix_micros("landed_at") - F.unix_micros("__since")) / 60_000_000
+    late = gaps.where(minutes > F.col("cadence_minutes")).withColumn("minutes", minutes)
+    # The outages of a source, far fewer than its landings, in their own order.
+    placed_late = series.series_index(late, ["source"], ["__at"], name="__gap", row_bound=row_bound, spread=spread)
+    last = {"__start": lambda w: F.lag("__at").over(w)}
+    spans = series.row_windows(placed_late, ["source"], ["__gap"], last, before=1, row_bound=row_bound, spread=spread, index="__gap")
+    return spans.select(
+        "source", F.col("__since").alias("out_since"), F.col("landed_at").alias("back_at"), F.col("request_id").alias("back_with"), "minutes",
+        (F.floor(F.col("minutes") / F.col("cadence_minutes")) - 1).cast("int").alias("missed_landings"),
+        (F.col("__at") - F.coalesce("__start", F.lit(0))).alias("landings_before"))

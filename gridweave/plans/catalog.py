@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.functions import aggregates as agg
-from gridweave.functions import scalars
+from gridweave.functions import scalars, sketches
 from gridweave.models import boosting, isolation, linear, recurrence, seasonal
-from gridweave.operators import asof, evaluation, feature_store, gold, ingestion, payloads, prepare, series, silver, sizing
+from gridweave.operators import asof, evaluation, feature_store, frames, gold, ingestion, payloads, prepare, series, silver, sizing
 from gridweave.plans import adapters
 from gridweave.session import configure, stage, staging_path
 from gridweave.sources import landing, readers, writers
@@ -321,6 +321,24 @@ def rolling_time_range(spark, folder):
     return gold_view(out, six("mean_24h"), "min_24h", "max_24h", "rows_24h")
 
 
+@query
+def rolling_time_range_dense(spark, folder):
+    """The same frames on a plan that gathers none of them."""
+    rows = adapters.demand(spark, folder)
+    out = frames.dense_time_windows(rows, BY_SERIES, "interval_start_utc", ["demand_mw"], seconds=84_600, chunk_rows=500, spread=True)
+    return gold_view(out.withColumn("mean_24h", F.col("demand_mw_sum") / F.col("demand_mw_count")), six("mean_24h"),
+                     F.col("demand_mw_min").alias("min_24h"), F.col("demand_mw_max").alias("max_24h"), F.col("demand_mw_count").alias("rows_24h"))
+
+
+@query
+def price_frames(spark, folder):
+    """Two weeks of all order lines before each day's lines as one dense series: frames of very many rows."""
+    lines = adapters.table(spark, folder, "lineitem").select("l_shipdate", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"))
+    out = frames.dense_time_windows(lines, [], "l_shipdate", ["cents"], seconds=14 * 86_400, spread=True)
+    return out.groupBy(F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate")).agg(
+        *[F.max(c).alias(c) for c in ("cents_sum", "cents_count", "cents_min", "cents_max")], F.min("cents_sum").alias("least_sum"))
+
+
 # --- Series: index, splits, latest rows -----------------------------------------------------------
 
 @query
@@ -530,6 +548,21 @@ def exact_quantiles_spread(spark, folder):
     return out.select("l_returnflag", six("q0"), six("q1"), six("q2"))
 
 
+@query
+def quantile_sketches(spark, folder):
+    """Quantiles of line prices by return flag from daily sketches, held against the exact ranks."""
+    items = adapters.table(spark, folder, "lineitem").select("l_returnflag", "l_shipdate", "l_extendedprice")
+    daily = stage(sketches.quantile_sketches(items, ["l_returnflag", "l_shipdate"], "l_extendedprice"), "sketches")
+    shares = [0.01, 0.25, 0.5, 0.9, 0.99]
+    found = sketches.quantiles(sketches.merged(daily, ["l_returnflag"]), shares)
+    wanted = found.select("l_returnflag", "rows", F.inline(F.array(*[F.struct(F.lit(p).alias("share"), F.col(f"q{i}").alias("value")) for i, p in enumerate(shares)])))
+    ranks = items.join(wanted, "l_returnflag").groupBy("l_returnflag", "rows", "share").agg(
+        F.sum((F.col("l_extendedprice") < F.col("value")).cast("long")).alias("below"), F.sum((F.col("l_extendedprice") <= F.col("value")).cast("long")).alias("upto"))
+    # A share that lies in a run of equal values has no error.
+    error = F.greatest(F.lit(0.0), F.col("below") / F.col("rows") - F.col("share"), F.col("share") - F.col("upto") / F.col("rows"))
+    return ranks.select("l_returnflag", "share", F.col("rows"), (error <= 2 * sketches.rank_error()).alias("close"))
+
+
 PROFILE_KEYS = ["dataset_name", "settlement_period", "is_weekend"]
 
 
@@ -856,6 +889,14 @@ def ingestion_gaps(spark, folder):
     return out.select("request_id", text("landed_at").alias("landed_at"), six("gap_minutes"), "missed_landings")
 
 
+@query
+def source_outages(spark, folder):
+    """Spans in which a source missed its own cadence, from manifests and the registry of sources."""
+    landings = ingestion.source_landings(ingestion_manifests(spark, folder))
+    out = ingestion.outages(landings, ingestion.sources(spark))
+    return out.select("source", text("out_since").alias("out_since"), text("back_at").alias("back_at"), "back_with", six("minutes"), "missed_landings", "landings_before")
+
+
 # --- Models ---------------------------------------------------------------------------------------
 
 def scored_view(df: DataFrame, *names) -> DataFrame:
@@ -907,6 +948,32 @@ def pca_scores(spark, folder):
     return scored_view(model.score(rows))
 
 
+@query
+def scorer_checks(spark, folder):
+    """What the three anomaly scorers put out: their flags against the exact quantile of their scores, and their metrics against their flags."""
+    rows = gold_table(spark, folder)
+    forest, forest_metrics = isolation.train_isolation(rows)
+    boundary, boundary_metrics = linear.train_one_class(rows)
+    rebuilt, rebuilt_metrics = linear.train_reconstruction(rows)
+    checked = None
+    for name, model, metrics, share, strange in (
+        ("isolation", forest, forest_metrics, 0.05, lambda s, q: s < q), ("boundary", boundary, boundary_metrics, 0.95, lambda s, q: s > q),
+        ("reconstruction", rebuilt, rebuilt_metrics, 0.95, lambda s, q: s > q),
+    ):
+        scored = stage(model.score(rows).select("anomaly_score", "is_anomaly"), "scores")
+        cut = scored.agg(F.percentile("anomaly_score", F.lit(share)).alias("cut"))
+        flags = scored.crossJoin(F.broadcast(cut)).agg(  # one row
+            F.count(F.lit(1)).alias("rows"), F.count_if("is_anomaly").alias("flagged"), F.avg("anomaly_score").alias("mean"),
+            F.bool_and(F.col("is_anomaly").cast("boolean") == strange(F.col("anomaly_score"), F.col("cut"))).alias("flags_hold"))
+        told = metrics.select("training_rows", "detected_anomaly_rows", "score_mean")
+        one = flags.crossJoin(F.broadcast(told)).select(
+            F.lit(name).alias("model"), "rows", "flags_hold",
+            ((F.col("training_rows") == F.col("rows")) & (F.col("detected_anomaly_rows") == F.col("flagged")) & (F.abs(F.col("score_mean") - F.col("mean")) < 1e-9)).alias("metrics_hold"),
+            (F.col("flagged") <= 0.05 * F.col("rows") + 1).alias("few_flagged"))
+        checked = one if checked is None else checked.unionByName(one)
+    return checked
+
+
 @query
 def seasonal_arx(spark, folder):
     _, forecast, _ = seasonal.train_seasonal(forecast_table(spark, folder), row_bound=adapters.slots(spark, folder))

