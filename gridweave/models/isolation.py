@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridweave import schemas
 from gridweave.models import scoring
-from gridweave.operators import prepare
+from gridweave.operators import prepare, series
 from gridweave.session import stage
 
 TREES, SAMPLE, SEED = 200, 256, 42
@@ -31,11 +31,12 @@ def tree_samples(df: DataFrame, features: list[str], rows: int, *, trees: int, s
     """At most `sample` rows per tree, those with the lowest hash of (row, tree).
 
     One rule for tables of any size: a row serves each tree whose hash with the row is below a bound that falls with the
-    number of rows. The trees are found inside the row, so only what is drawn becomes rows. Copies of a row are drawn each by itself:
-    the features are written once, and a row is known by its place in them.
+    number of rows. The trees are found inside the row, so only what is drawn becomes rows. Copies of a row are numbered and drawn
+    each by itself; which copy has which number makes no difference, so the sample does not depend on how rows are dealt.
     """
-    placed = stage(df.select(F.monotonically_increasing_id().alias("__place"), scoring.feature_array(df, features).alias("x")), "features")
-    base = placed.select(F.xxhash64("__place", "x", F.lit(seed)).alias("__row"), "x")
+    hashed = df.select(F.xxhash64(*df.columns, F.lit(seed)).alias("__row"), scoring.feature_array(df, features).alias("x"))
+    numbered = series.series_index(stage(hashed, "features"), ["__row"], [], name="__copy")
+    base = numbered.select(F.when(F.col("__copy") == 0, F.col("__row")).otherwise(F.xxhash64("__row", "__copy")).alias("__row"), "x")
     keep = 1.5 * sample  # so that a tree ends up short only with negligible probability
     cut = 2.0**63 * min(1.0, keep / max(rows, 1))
     served = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.abs(F.xxhash64("__row", tree).cast("double")) <= cut)
