@@ -206,15 +206,18 @@ def near_duplicates(documents: DataFrame, percent: int = 80, words: int = 5) ->
 
 
 def one_of_each(documents: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
-    """`documents` with one row of each component, that with the smallest `doc_id`; all rows without words stay."""
+    """`documents` with one row of each component, that with the smallest `doc_id`; all rows without words stay.
+
+    Of rows that repeat an id and a text one stays. All columns come back as they are, whatever their names.
+    """
     found = near_duplicates(documents, percent, words).where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tie") == F.col("component_tie")))
     kept = stage(found.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n")), "kept").select(
-        F.col("doc_id").alias("__d"), F.col("tie").alias("__t"), ((F.col("times") == 1) | (F.col("n") == 0)).alias("__every"))
-    tied = documents.withColumn("__tie", F.xxhash64("text"))
-    met = tied.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__d")) & (F.col("__tie") == F.col("__t")))
+        F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie"), ((F.col("times") == 1) | (F.col("n") == 0)).alias("every"))
+    tied = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tie"))
+    met = tied.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("tie") == F.col("kept_tie")))
     # Repeated rows of one document are rare; of those one stays.
-    single, repeated = met.where("__every"), met.where("NOT __every").dropDuplicates(["__d", "__t"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in documents.columns])
+    single, repeated = met.where("every"), met.where("NOT every").dropDuplicates(["kept_id", "kept_tie"])
+    return single.unionByName(repeated).select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:

@@ -172,7 +172,10 @@ def train(rated: DataFrame, levels: int, sample: int = SAMPLE) -> Model:
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Every column of `documents` and `expected_grade, tail_probability` (of the highest grade); a null text is empty."""
+    """`row` (all columns of `documents` as a struct, whatever their names), `expected_grade` and `tail_probability` (of the highest grade).
+
+    A null text is empty.
+    """
     import pyarrow as pa
     from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -182,17 +185,14 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             scores = np.zeros(batch.num_rows)
-            for i, data in enumerate(texts(batch.column(batch.num_columns - 1))):
+            for i, data in enumerate(texts(batch.column(1))):
                 index, values = features(hasher, data)
                 scores[i] = weights[index] @ values
             tails = 1 / (1 + np.exp(-np.clip(scores[:, None] - bounds, -60, 60)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], [*batch.schema.names[:-1], "__expected", "__tail"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], ["row", "expected_grade", "tail_probability"])
 
-    fields = [*documents.schema.fields, StructField("__expected", DoubleType()), StructField("__tail", DoubleType())]
-    names = documents.columns
-    given = documents.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    return given.mapInArrow(run, StructType(fields))
+    given = documents.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    return given.mapInArrow(run, StructType([given.schema["row"], StructField("expected_grade", DoubleType()), StructField("tail_probability", DoubleType())]))
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
@@ -208,22 +208,22 @@ def sampled_labels(grades: DataFrame, sample: int) -> DataFrame:
 
 
 def judged(documents: DataFrame, labels: DataFrame, least: float = LEAST, sample: int = SAMPLE) -> DataFrame:
-    """`documents` with `__expected`, `__tail` and `__kept`: the highest grade is at least `least` likely.
+    """`row` (see `score`), `expected_grade`, `tail_probability` and `kept`: the highest grade is at least `least` likely.
 
     With no labels all grades are equally likely and the middle threshold decides; an empty table gives no rows.
     """
     # At most a little more than `sample` ids and grades: an id has three grades at most.
-    chosen = F.broadcast(sampled_labels(grades_of(labels), sample).withColumnRenamed("doc_id", "__id"))
-    rated = documents.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "grade")
+    chosen = F.broadcast(sampled_labels(grades_of(labels), sample).withColumnRenamed("doc_id", "id"))
+    rated = documents.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "text", "grade")
     model = train(rated, 3, sample)
-    return score(documents, model).withColumn("__kept", F.col("__tail") >= least)
+    return score(documents, model).withColumn("kept", F.col("tail_probability") >= least)
 
 
 def op7_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Expected grade, probability of the best grade and verdict of all `documents`."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = judged(documents, table(spark, folder, "labels"))
-    return found.select("doc_id", F.col("__expected").alias("expected_grade"), F.col("__tail").alias("tail_probability"), F.col("__kept").alias("kept"))
+    return found.select("row.doc_id", "expected_grade", "tail_probability", "kept")
 
 
 QUERIES = {"op7_ordinal_quality": op7_ordinal_quality}

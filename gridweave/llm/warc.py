@@ -26,6 +26,8 @@ from gridweave.session import staging_path
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PIECE = 1 << 16
+#: Bytes of an archive, of which a reading task holds one; runs of members in a file.
+FILE_BYTES, RUNS = 1 << 29, 32
 READ_SCHEMA = (
     "file string, offset long, record_type string, key long, uri string, payload_bytes long, payload_digest string, "
     "refers_to long, payload binary, error string"
@@ -70,34 +72,49 @@ def encode_record(key: int | None, uri: str | None, payload: bytes, first: int |
 
 
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", uri: str = "url", payload: str = "html",
-               min_revisit_bytes: int = 0, records_per_file: int = 50_000) -> None:
+               min_revisit_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
     """Write a record per row of `pages` into archives below `path`.
 
     Of records with equal payloads of at least `min_revisit_bytes` bytes the one with the smallest key is a response and
     the others revisit it; rows that repeat that key are responses too. A null payload is empty, a null key is larger
     than any other, a null address leaves its header out. Line ends in an address are percent-coded. Other columns
-    are not looked at. A file has at most `records_per_file` records.
+    are not looked at. An empty table gives no records.
+
+    A file has at most about `file_bytes`, whatever the records: rows of the text files are runs of members of a
+    64th of that, 32 to a file, and a payload that is larger than such a run has a file to itself.
     """
     import pyarrow as pa
 
+    run_bytes = max(1, file_bytes // (2 * RUNS))
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[bytes] = []
+        size = 0
         for batch in batches:
-            out, size = [], 0
             for row in zip(*(batch.column(i) for i in range(4)), strict=True):
                 out.append(encode_record(*(x.as_py() for x in row)))
                 size += len(out[-1])
-                if size > 1 << 24:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                if size >= run_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["value"])
                     out, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["value"])
 
     records = pages.select(
         F.col(key).cast("long").alias("key"), F.col(uri).cast("string").alias("uri"),
         F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary")).alias("payload"),
     )
-    rows = mark_revisits(records, min_revisit_bytes).select("key", "uri", "payload", "first").mapInArrow(encode, "value binary")
-    (rows.select(F.expr("substring(value, 1, length(value) - 1)").cast("string").alias("value"))
-     .write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).text(path))
+    marked = mark_revisits(records, min_revisit_bytes).select("key", "uri", "payload", "first")
+    large = F.octet_length("payload") > run_bytes
+
+    def write(some: DataFrame, runs: int) -> None:
+        rows = some.mapInArrow(encode, "value binary")
+        (rows.select(F.expr("substring(value, 1, length(value) - 1)").cast("string").alias("value"))
+         .write.mode("append").option("lineSep", "\0").option("maxRecordsPerFile", runs).text(path))
+
+    write(marked.where(~large), RUNS)
+    if not records.where(large).isEmpty():
+        write(marked.where(large), 1)
 
 
 def members(data: bytes) -> Iterator[tuple[int, Iterator[bytes]]]:

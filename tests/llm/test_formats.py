@@ -37,7 +37,7 @@ def test_warc_round_trip(spark, tmp_path):
 
 
 def test_warc_keeps_payloads_limits_revisits_and_files(spark, tmp_path):
-    warc.write_warc(pages(spark), f"{tmp_path}/w", min_revisit_bytes=4, records_per_file=2)
+    warc.write_warc(pages(spark), f"{tmp_path}/w", min_revisit_bytes=4, file_bytes=64)
     records = warc.read_warc(spark, f"{tmp_path}/w", keep_payload=True).cache()
     kinds = {(r["key"], r["record_type"]) for r in records.collect()}
     assert {(4, "response"), (3, "response"), (7, "response"), (2, "revisit"), (6, "revisit"), (None, "metadata")} <= kinds
@@ -48,6 +48,19 @@ def test_warc_keeps_payloads_limits_revisits_and_files(spark, tmp_path):
     assert records.select("file").distinct().count() > 3
 
 
+def test_warc_files_are_bounded_by_bytes(spark, tmp_path):
+    """Many small pages and a few large ones, which do not compress: no file is larger than it may be, and large ones have files of their own."""
+    draw = random.Random(2)
+    noise = lambda n: "".join(chr(draw.randrange(0x4E00, 0x9000)) for _ in range(n))
+    rows = [(k, "u", noise(100)) for k in range(3000)] + [(10_000 + k, "u", noise(20_000)) for k in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    warc.write_warc(df, f"{tmp_path}/w", file_bytes=64 * 2000)
+    sizes = sorted(p.stat().st_size for p in (tmp_path / "w").glob("part-*"))
+    assert sizes[-6] <= 64 * 2000 + 64 * 1000 and sizes[-5] > 40_000 and len(sizes) > 8
+    found = warc.read_warc(spark, f"{tmp_path}/w")
+    assert found.where("error IS NOT NULL").count() == 0 and found.where("record_type = 'response'").count() == len(rows)
+
+
 def test_warc_reports_damage():
     record = warc.encode_record(1, "u", b"payload" * 20_000, None)
     good = warc.parse_record(next(warc.members(record))[1])
