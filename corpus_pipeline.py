@@ -22,7 +22,7 @@ PASSAGE_BYTES, PASSAGE_GRAM = 200, 40
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the ordinal classifier, fitted on `labels`, takes for the best grade."""
     judged = ordinal_quality.judged(docs, table(spark, folder, "labels"))
-    return judged.where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged.where("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
