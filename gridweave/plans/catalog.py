@@ -948,6 +948,34 @@ def pca_scores(spark, folder):
     return scored_view(model.score(rows))
 
 
+@query
+def forecaster_checks(spark, folder):
+    """The boosted forecaster after a round trip to disk, its metrics measured again, and the flags of the residual scorer."""
+    rows = forecast_table(spark, folder)
+    model, metrics = boosting.train_forecast(rows, trees=20)
+    path = staging_path(spark, "model")
+    model.save(spark, path)
+    again = boosting.DemandModel.load(spark, path)
+    train, test = boosting.split_table(prepare.with_target(rows), model.features)
+    both = again.predict(model.predict(test, "first"), "second")
+    y, p = F.col("demand_mw").cast("double"), F.col("second")
+    fitted = model.predict(train).agg(F.count(F.lit(1)).alias("training_rows"), (F.avg(F.pow(y - F.col("prediction"), 2)) < F.var_pop(y)).alias("better_than_mean"))
+    measured = both.agg(
+        F.count(F.lit(1)).alias("test_rows"), F.bool_and(F.col("first") == p).alias("loaded_is_equal"),
+        F.avg(F.abs(y - p)).alias("mae"), F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"))
+    told = metrics.select(F.col("mae").alias("told_mae"), F.col("rmse").alias("told_rmse"), F.col("test_rows").alias("told_rows"))
+    same = (F.abs(F.col("mae") - F.col("told_mae")) < 1e-6) & (F.abs(F.col("rmse") - F.col("told_rmse")) < 1e-6) & (F.col("told_rows") == F.col("test_rows"))
+
+    whole = gold_table(spark, folder)
+    scorer, _ = boosting.train_residual(whole, trees=5)
+    scored = stage(scorer.score(whole).select("anomaly_score", "is_anomaly"), "scores")
+    cut = scored.agg(F.percentile("anomaly_score", F.lit(0.95)).alias("cut"))
+    flags = scored.crossJoin(F.broadcast(cut)).agg(F.bool_and(F.col("is_anomaly").cast("boolean") == (F.col("anomaly_score") > F.col("cut"))).alias("flags_hold"))
+    # Each side is one row.
+    return measured.crossJoin(told).crossJoin(fitted).crossJoin(flags).select(
+        "training_rows", "test_rows", "loaded_is_equal", same.alias("metrics_hold"), "better_than_mean", "flags_hold")
+
+
 @query
 def scorer_checks(spark, folder):
     """What the three anomaly scorers put out: their flags against the exact quantile of their scores, and their metrics against their flags."""

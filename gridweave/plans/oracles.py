@@ -138,6 +138,8 @@ STATEMENTS = {
         fr AS (SELECT t, sum(s) OVER r AS s, sum(k) OVER r AS k, min(lo) OVER r AS lo, max(hi) OVER r AS hi FROM dd WINDOW r AS (ORDER BY t RANGE BETWEEN INTERVAL '14 days' PRECEDING AND CURRENT ROW))
         SELECT strftime(t, '%Y-%m-%d') AS l_shipdate, max(s)::BIGINT AS cents_sum, max(k)::BIGINT AS cents_count, min(lo) AS cents_min, max(hi) AS cents_max, min(s)::BIGINT AS least_sum FROM fr GROUP BY 1""",
     "quantile_sketches": """SELECT l_returnflag, u.share, count(*) AS rows, true AS close FROM lineitem, (VALUES (0.01::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) AS u(share) GROUP BY 1, 2""",
+    "forecaster_checks": """SELECT k AS training_rows, n - k AS test_rows, true AS loaded_is_equal, true AS metrics_hold, true AS better_than_mean, true AS flags_hold
+        FROM (SELECT count(*) AS n, CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS k FROM gold)""",
     "scorer_checks": """SELECT u.model, count(*) AS rows, true AS flags_hold, true AS metrics_hold, true AS few_flagged FROM gold, (VALUES ('isolation'), ('boundary'), ('reconstruction')) AS u(model) GROUP BY 1""",
     "source_outages": """WITH l AS (SELECT 'elexon-bmrs' AS source, request_id, landed FROM req WHERE NOT bad UNION ALL SELECT 'open-meteo', request_id, landed FROM req WHERE NOT bad AND hours > 1),
         g AS (SELECT *, lag(landed) OVER o AS since, row_number() OVER o - 1 AS spot, (epoch_us(landed) - epoch_us(lag(landed) OVER o)) / 60000000.0::DOUBLE AS minutes FROM l WINDOW o AS (PARTITION BY source ORDER BY landed, request_id)),
