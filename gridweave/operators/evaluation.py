@@ -41,7 +41,7 @@ def threshold_checks(runs: DataFrame, limits: DataFrame) -> DataFrame:
         for m in measured
     ])
     long = runs.select(*ids, "model_family", F.inline(cells))
-    joined = long.join(F.broadcast(limits), ["model_family", "metric"])  # limits: a fixed handful of rows
+    joined = long.join(limits, ["model_family", "metric"])  # Spark sends the smaller side where it knows its size
     passed = F.when(F.col("comparator") == ">=", F.col("observed") >= F.col("target")).otherwise(
         F.col("observed") <= F.col("target")
     )

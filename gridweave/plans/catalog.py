@@ -510,9 +510,9 @@ def naive_forecast_metrics(spark, folder):
     return out.select("dataset_name", six("mae"), six("rmse"), six("r2"), "test_rows")
 
 
-def naive_residuals(spark, folder):
+def naive_residuals(spark, folder, rows=None):
     """Residual scores of the seasonal-naive forecast, with the fallback scale of the whole table."""
-    rows = seasonal_naive(spark, folder)
+    rows = stage(seasonal_naive(spark, folder), "naive") if rows is None else rows
     scale = rows.agg(agg.fallback_scale(F.col("demand_mw"))).first()[0]
     deviation = F.col("rolling_stddev_48_demand_mw")
     unit = F.when(deviation > 0, deviation).otherwise(F.lit(scale))
@@ -527,7 +527,11 @@ def residual_scores(spark, folder):
 @query
 def residual_threshold_flags(spark, folder):
     """Share of half-hours over the 95th percentile of their series' scores."""
-    scored = naive_residuals(spark, folder)
+    return threshold_flags(spark, folder, stage(seasonal_naive(spark, folder), "naive"))
+
+
+def threshold_flags(spark, folder, rows):
+    scored = stage(naive_residuals(spark, folder, rows).select("dataset_name", "anomaly_score"), "scores")
     cut = agg.exact_quantiles(scored, BY_SERIES, "anomaly_score", [0.95], row_bound=adapters.slots(spark, folder))
     flagged = sizing.attach_lookup(scored, cut, BY_SERIES)
     out = flagged.groupBy("dataset_name").agg(
@@ -602,12 +606,13 @@ def metrics_documents(spark, folder):
 
 def runs(spark, folder):
     """One forecast run and one anomaly run per series, measured on the seasonal-naive predictor."""
-    forecast = agg.forecast_metrics(seasonal_naive(spark, folder), METRICS_GROUP, "demand_mw", "prediction").select(
+    rows = stage(seasonal_naive(spark, folder), "naive")
+    forecast = agg.forecast_metrics(rows, METRICS_GROUP, "demand_mw", "prediction").select(
         F.concat("dataset_name", F.lit("-f")).alias("run_id"), F.col("dataset_name").alias("model_group"),
         F.lit("forecast").alias("model_family"), F.col("test_rows").alias("training_rows"), "mae", "rmse", "r2",
         F.lit(None).cast("double").alias("anomaly_rate"),
     )
-    anomaly = residual_threshold_flags(spark, folder).select(
+    anomaly = threshold_flags(spark, folder, rows).select(
         F.concat("dataset_name", F.lit("-a")).alias("run_id"), F.col("dataset_name").alias("model_group"),
         F.lit("anomaly").alias("model_family"), "training_rows",
         *[F.lit(None).cast("double").alias(c) for c in ("mae", "rmse", "r2")], "anomaly_rate",
