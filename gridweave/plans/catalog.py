@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridweave import schemas
 from gridweave.functions import aggregates as agg
 from gridweave.functions import scalars, sketches
-from gridweave.models import boosting, isolation, linear, recurrence, seasonal
+from gridweave.models import boosting, isolation, linear, recurrence, seasonal, trained
 from gridweave.operators import asof, evaluation, feature_store, frames, gold, ingestion, payloads, prepare, series, silver, sizing
 from gridweave.plans import adapters
 from gridweave.session import configure, stage, staging_path
@@ -1007,6 +1007,25 @@ def scorer_checks(spark, folder):
     return checked
 
 
+@query
+def trained_scorer_checks(spark, folder):
+    """The boundary's share of outliers and margin, and the encoder's error against that of the linear form, from their scores."""
+    rows = gold_table(spark, folder)
+    boundary, _, margins = trained.train_nu_boundary(rows)
+    encoder, _, errors = trained.train_encoder(rows)
+    plain, _ = linear.train_reconstruction(rows)
+
+    def view(name: str, model, better) -> DataFrame:
+        scored = model.score(rows)
+        share = F.count_if(F.col("is_anomaly").cast("boolean")) / F.count(F.lit(1))
+        return scored.agg(F.count(F.lit(1)).alias("rows"), (F.abs(share - trained.NU) < 0.01).alias("near_share"), F.avg("anomaly_score").alias("mean")).select(
+            F.lit(name).alias("model"), "rows", "near_share", better.alias("no_worse"))
+
+    linear_error = plain.scores(rows).agg(F.avg("anomaly_score")).first()[0]
+    return view("boundary", boundary, F.lit(bool(margins[-1] >= margins[0]))).unionByName(
+        view("encoder", encoder, (F.col("mean") <= linear_error * (1 + 1e-6) + 1e-12) & F.lit(errors[-1] <= errors[0])))
+
+
 @query
 def seasonal_arx(spark, folder):
     _, forecast, _ = seasonal.train_seasonal(forecast_table(spark, folder), row_bound=adapters.slots(spark, folder))

@@ -141,6 +141,7 @@ STATEMENTS = {
     "forecaster_checks": """SELECT k AS training_rows, n - k AS test_rows, true AS loaded_is_equal, true AS metrics_hold, true AS better_than_mean, true AS flags_hold
         FROM (SELECT count(*) AS n, CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS k FROM gold)""",
     "scorer_checks": """SELECT u.model, count(*) AS rows, true AS flags_hold, true AS metrics_hold, true AS few_flagged FROM gold, (VALUES ('isolation'), ('boundary'), ('reconstruction')) AS u(model) GROUP BY 1""",
+    "trained_scorer_checks": """SELECT u.model, count(*) AS rows, true AS near_share, true AS no_worse FROM gold, (VALUES ('boundary'), ('encoder')) AS u(model) GROUP BY 1""",
     "source_outages": """WITH l AS (SELECT 'elexon-bmrs' AS source, request_id, landed FROM req WHERE NOT bad UNION ALL SELECT 'open-meteo', request_id, landed FROM req WHERE NOT bad AND hours > 1),
         g AS (SELECT *, lag(landed) OVER o AS since, row_number() OVER o - 1 AS spot, (epoch_us(landed) - epoch_us(lag(landed) OVER o)) / 60000000.0::DOUBLE AS minutes FROM l WINDOW o AS (PARTITION BY source ORDER BY landed, request_id)),
         z AS (SELECT *, spot - coalesce(lag(spot) OVER (PARTITION BY source ORDER BY spot), 0) AS landings_before FROM g WHERE minutes > 30)
