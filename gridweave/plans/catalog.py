@@ -1135,3 +1135,103 @@ def as_of_carried(spark, folder):
     bought = rows.where("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), "ts", F.col("cents").alias("purchase_cents"))
     out = asof.as_of_join(rows.where("event_type = 'view'"), bought, [], "ts", "ts", ["purchase_id", "purchase_cents"], ties=["purchase_id"], spread=True)
     return out.select("event_id", "purchase_id", "purchase_cents")
+
+
+# --- Operators by themselves, with all they put out ------------------------------------------------
+
+@query
+def reports_roundtrip(spark, folder):
+    """Promotion reports written below their family and version, and scanned back."""
+    checks = evaluation.threshold_checks(runs(spark, folder), evaluation.thresholds(spark))
+    path = staging_path(spark, "reports")
+    writers.write_reports(evaluation.promotion_report(checks, ["run_id", "model_group"]).withColumn("model_package_version", F.lit(3)), path)
+    back = spark.read.json(path)
+    return back.select("run_id", "model_group", "model_family", F.col("model_package_version").cast("long").alias("version"), "passed", "recommendation",
+                       F.size("checks").cast("bigint").alias("checks"), F.round(F.get("checks", F.lit(0))["target"], 6).alias("first_target"))
+
+
+@query
+def weather_files_silver(spark, folder):
+    """Weather payloads landed as objects and read by their schema; each hour knows the object it came in."""
+    day = F.regexp_extract("source_object_path", silver.PARTITION_DATE, 1)
+    docs = adapters.bronze_weather(spark, folder).select(
+        F.lit("weather").alias("source"), landing.request_of(F.col("source_object_path")).alias("request_id"), day.alias("event_time_utc"),
+        F.to_json(F.struct(*adapters.SITE, "hourly")).alias("payload"))
+    root = staging_path(spark, "landing")
+    landing.land(docs, root, "bronze/raw")
+    return silver_weather_view(silver.weather_to_silver(landing.read_landed(spark, root, schemas.BRONZE_WEATHER)))
+
+
+@query
+def numeric_selection(spark, folder):
+    """Numeric features of the Gold table in its order, with their values counted and summed."""
+    rows = gold_forecast(spark, folder)
+    names = prepare.numeric_columns(rows, schemas.FORECAST_EXCLUDED)
+    cells = [F.struct(F.lit(k).alias("place"), F.lit(n).alias("feature"), F.count(n).alias("known"), F.round(F.sum(F.col(n).cast("double")), 2).alias("total")) for k, n in enumerate(names)]
+    return rows.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
+@query
+def text_coercion(spark, folder):
+    """Numbers that come as text, some of them unreadable, as features."""
+    kind = F.pmod("event_id", F.lit(6))
+    number = F.col("cents").cast("string")
+    words = F.when(kind == 0, number).when(kind == 1, F.lit("abc")).when(kind == 2, F.lit("")).when(kind == 3, F.lit("NaN")).when(kind == 5, F.concat(F.lit("-"), number, F.lit(".5")))
+    rows = adapters.events(spark, folder).select("event_id", words.alias("words"))
+    return rows.select("event_id", scalars.clean_double(rows, "words").alias("value"))
+
+
+@query
+def paired_predictions(spark, folder):
+    """Truth and prediction of the same half-hour side by side, from two tables."""
+    rows = stage(seasonal_naive(spark, folder), "naive")
+    keys = ["dataset_name", "interval_start_utc"]
+    return gold_view(agg.pair_predictions(rows.select(*keys, "demand_mw"), rows.select(*keys, "prediction"), keys, "demand_mw"), "actual", "predicted")
+
+
+@query
+def training_errors(spark, folder):
+    """What preparation and training say about tables they cannot use."""
+    rows = stage(gold_forecast(spark, folder), "gold")
+    cases = {
+        "no column": lambda: prepare.require_columns(rows, "absent", "demand_mw"),
+        "no target": lambda: prepare.with_target(rows.drop("demand_mw")),
+        "no rows": lambda: prepare.require_rows(rows.where("demand_mw < 0 AND demand_mw > 0")),
+        "no numbers": lambda: prepare.numeric_columns(rows.select("dataset_name", "demand_mw"), schemas.FORECAST_EXCLUDED),
+        "too few rows": lambda: boosting.train_residual(rows.limit(2)),
+    }
+    said = []
+    for case, attempt in cases.items():
+        try:
+            attempt()
+        except (KeyError, ValueError) as problem:
+            said.append((case, type(problem).__name__, problem.args[0]))
+    return spark.createDataFrame(said, "case string, error string, message string").crossJoin(rows.agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query
+def feature_group_schemas(spark, folder):
+    """Stored type and known values of every feature of both groups, as their definitions have them."""
+    made = None
+    for name, definitions, rows in (("forecast", schemas.FORECAST_FEATURES, gold_forecast(spark, folder)), ("anomaly", schemas.ANOMALY_FEATURES, gold_anomaly(spark, folder))):
+        stored = feature_store.to_feature_group(rows, definitions)
+        fields = feature_store.feature_group_schema(definitions).fields
+        cells = [F.struct(F.lit(f.name).alias("feature"), F.lit(f.metadata["feature_type"]).alias("kind"), F.lit(f.dataType.simpleString()).alias("type"),
+                          F.lit(stored.schema[f.name].dataType == f.dataType).alias("fits"), F.count(f.name).alias("known")) for f in fields]
+        one = stored.agg(F.array(*cells).alias("cells")).select(F.lit(name).alias("feature_group"), F.inline("cells"))
+        made = one if made is None else made.unionByName(one)
+    return made
+
+
+@query
+def sequence_parts(spark, folder):
+    """Validation windows and rejected series of sequence training, where each series has a short one beside it."""
+    rows = stage(gold.add_calendar(adapters.demand(spark, folder)), "demand")
+    short = series.series_index(rows, BY_SERIES, IN_TIME, name="at", row_bound=adapters.slots(spark, folder)).where("at < 50").drop("at")
+    both = rows.unionByName(short.withColumn("dataset_name", F.concat("dataset_name", F.lit("-short"))))
+    training, validation, rejected, kept, _ = prepare.sequence_dataset(both, context=48, horizon=48, row_bound=adapters.slots(spark, folder))
+    windows = training.groupBy("series_id").agg(F.count(F.lit(1)).alias("windows"))
+    held = validation.join(windows, "series_id", "left").select(
+        "series_id", F.lit("kept").alias("part"), F.coalesce("windows", F.lit(0)).alias("rows"), joined("demand_mw_encoder").alias("encoder"), joined("demand_mw_decoder").alias("decoder"))
+    return held.unionByName(rejected.select(
+        "series_id", F.lit("rejected").alias("part"), F.col("row_count").alias("rows"), F.lit(None).cast("string").alias("encoder"), F.lit(None).cast("string").alias("decoder")))

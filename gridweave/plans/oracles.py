@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from gridweave import schemas
+
 # Common table expressions, prepended where a statement names them.
 PARTS = {
     "e": """SELECT event_id, event_type, user_id, ts, value, time_bucket(INTERVAL '30 minutes', ts) AS b,
@@ -78,6 +80,16 @@ FEATURES = f"""dataset_name || '|' || strftime(t, {ISO}) AS feature_record_id, d
     lag_1::DOUBLE AS lag_1_demand_mw, lag_2::DOUBLE AS lag_2_demand_mw, lag_48::DOUBLE AS lag_48_demand_mw, round(mean_48, 6) AS rolling_mean_48_demand_mw,
     min_48::DOUBLE AS rolling_min_48_demand_mw, max_48::DOUBLE AS rolling_max_48_demand_mw"""
 
+RATIOS = """, sd_48 AS rolling_stddev_48_demand_mw, y - mean_48 AS demand_minus_rolling_mean_mw, CASE WHEN mean_48 <> 0 THEN y / mean_48 END AS demand_to_rolling_mean_ratio,
+    CASE WHEN sd_48 <> 0 THEN (y - mean_48) / sd_48 END AS rolling_z_score"""
+STORED = {"String": "string", "Integral": "bigint", "Fractional": "double"}
+NUMERIC = {
+    "settlement_period": "sp", "temperature_2m": "temperature_2m", "relative_humidity_2m": "relative_humidity_2m", "wind_speed_10m": "wind_speed_10m",
+    "latitude": "CASE WHEN weather_timestamp IS NOT NULL THEN 51.5 END", "longitude": "CASE WHEN weather_timestamp IS NOT NULL THEN -0.125 END",
+    "interval_hour": "date_part('hour', t)", "day_of_week": "dow", "month_of_year": "month(t)", "is_weekend": "we", "lag_1_demand_mw": "lag_1", "lag_2_demand_mw": "lag_2",
+    "lag_48_demand_mw": "lag_48", "rolling_mean_48_demand_mw": "mean_48", "rolling_min_48_demand_mw": "min_48", "rolling_max_48_demand_mw": "max_48",
+}
+
 STATEMENTS = {
     "silver_energy_flatten": "SELECT * FROM silver",
     "silver_weather_flatten": "SELECT * EXCLUDE (h) FROM weather",
@@ -141,6 +153,23 @@ STATEMENTS = {
     "forecaster_checks": """SELECT k AS training_rows, n - k AS test_rows, true AS loaded_is_equal, true AS metrics_hold, true AS better_than_mean, true AS flags_hold
         FROM (SELECT count(*) AS n, CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS k FROM gold)""",
     "scorer_checks": """SELECT u.model, count(*) AS rows, true AS flags_hold, true AS metrics_hold, true AS few_flagged FROM gold, (VALUES ('isolation'), ('boundary'), ('reconstruction')) AS u(model) GROUP BY 1""",
+    "reports_roundtrip": """SELECT run_id, left(run_id, length(run_id) - 2) AS model_group, model_family, 3::BIGINT AS version, bool_and(passed) AS passed,
+        CASE WHEN bool_and(passed) THEN 'approve' ELSE 'manual_review' END AS recommendation, count(*) AS checks, arg_min(target, check_order) AS first_target FROM checked GROUP BY 1, 2, 3""",
+    "weather_files_silver": "SELECT * EXCLUDE (h) FROM weather",
+    "numeric_selection": f"""SELECT u.place, u.feature, u.known, round(u.total, 2) AS total FROM (SELECT {', '.join(f'count({c}) AS n{k}, sum({c}::DOUBLE) AS s{k}' for k, c in enumerate(NUMERIC.values()))} FROM gold),
+        LATERAL (VALUES {', '.join(f"({k}, '{n}', n{k}, s{k})" for k, n in enumerate(NUMERIC))}) AS u(place, feature, known, total)""",
+    "text_coercion": """SELECT event_id, CASE event_id % 6 WHEN 0 THEN c::DOUBLE WHEN 5 THEN TRY_CAST('-' || c || '.5' AS DOUBLE) ELSE 0 END AS value FROM e""",
+    "paired_predictions": f"SELECT dataset_name, {T}, y::DOUBLE AS actual, p::DOUBLE AS predicted FROM naive",
+    "training_errors": """SELECT u.*, (SELECT count(*) FROM gold) AS rows FROM (VALUES ('no column', 'KeyError', 'table lacks required columns: absent'), ('no target', 'KeyError', 'table lacks required columns: demand_mw'),
+        ('no rows', 'ValueError', 'at least one row is required for training'), ('no numbers', 'ValueError', 'no numeric feature columns are available'),
+        ('too few rows', 'ValueError', 'at least three rows are required for residual scoring')) AS u("case", error, message)""",
+    "feature_group_schemas": " UNION ALL ".join(f"""SELECT '{group}' AS feature_group, u.feature, u.kind, u.type, true AS fits, u.known FROM (SELECT {', '.join(f'count({n}) AS "n_{n}"' for n in names)}
+        FROM (SELECT {source} FROM gold)), LATERAL (VALUES {', '.join(f"('{n}', '{kind}', '{STORED[kind]}', " + f'"n_{n}")' for n, kind in names.items())}) AS u(feature, kind, type, known)"""
+        for group, names, source in (("forecast", {"feature_record_id": "String", **schemas.FORECAST_FEATURES}, FEATURES), ("anomaly", {"feature_record_id": "String", **schemas.ANOMALY_FEATURES}, FEATURES + RATIOS))),
+    "sequence_parts": """SELECT dataset_name AS series_id, 'kept' AS part, greatest(max(n) - 143, 0) AS rows, string_agg(CAST(y AS VARCHAR), ',' ORDER BY i) FILTER (WHERE i < n - 48) AS encoder,
+        string_agg(CAST(y AS VARCHAR), ',' ORDER BY i) FILTER (WHERE i >= n - 48) AS decoder FROM n WHERE i >= n - 96 AND n >= 97 GROUP BY 1
+        UNION ALL SELECT dataset_name || '-short', 'rejected', count(*), NULL, NULL FROM n WHERE i < 50 GROUP BY 1
+        UNION ALL SELECT dataset_name, 'rejected', count(*), NULL, NULL FROM n WHERE n < 97 GROUP BY 1""",
     "trained_scorer_checks": """SELECT u.model, count(*) AS rows, true AS near_share, true AS no_worse FROM gold, (VALUES ('boundary'), ('encoder')) AS u(model) GROUP BY 1""",
     "source_outages": """WITH l AS (SELECT 'elexon-bmrs' AS source, request_id, landed FROM req WHERE NOT bad UNION ALL SELECT 'open-meteo', request_id, landed FROM req WHERE NOT bad AND hours > 1),
         g AS (SELECT *, lag(landed) OVER o AS since, row_number() OVER o - 1 AS spot, (epoch_us(landed) - epoch_us(lag(landed) OVER o)) / 60000000.0::DOUBLE AS minutes FROM l WINDOW o AS (PARTITION BY source ORDER BY landed, request_id)),
