@@ -62,7 +62,7 @@ def repeated_words(hashes: Column) -> Column:
 
 
 def measure(documents: DataFrame, *keep: str) -> DataFrame:
-    """The kept columns and the measures of the whole text; a null text has no words."""
+    """The kept columns and the measures of the whole text, a row per row; a null text has no words. Ids may be null or repeat."""
     text = whole_text()
     dropped = lambda characters: F.length("__t") - F.length(F.translate("__t", characters, ""))
     lines = F.filter(F.split("__t", "\n"), lambda line: F.translate(line, BLANKS, "") != "")
@@ -181,7 +181,11 @@ def judge(measured: DataFrame, rules: Sequence[Rule] = RULES, least: float = 0.5
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Measures and verdict of all `documents`."""
+    """Measures and verdict of all `documents`, a row per row.
+
+    Null ids are kept as they are, and repeated rows are measured and counted by the fit each time. A null or empty text has no words and
+    fails the base rules; a very long one is one row. An empty table gives no rows; of other columns none is looked at.
+    """
     measured = stage(measure(table(spark, folder, "documents"), "doc_id"), "quality-measures")
     return judge(measured).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
