@@ -1,6 +1,7 @@
 """A corpus pipeline of five stages over `documents`.
 
-Each stage takes (spark, docs, folder of the tables) and returns a DataFrame; all but the last return the columns of `docs`.
+Each stage takes (spark, docs, folder of the tables) and returns a DataFrame; all but the last return the columns of `docs`, whatever
+else they are named. An empty table gives no rows in every stage.
 """
 
 from __future__ import annotations
@@ -20,28 +21,40 @@ PASSAGE_BYTES, PASSAGE_GRAM = 200, 40
 
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the ordinal classifier, fitted on `labels`, takes for the best grade."""
+    """Documents that the ordinal classifier, fitted on `labels`, takes for the best grade.
+
+    A null text is judged as an empty one; null ids have no label but are judged; repeated rows are judged alike and all stay or go.
+    """
     judged = ordinal_quality.judged(docs, table(spark, folder, "labels"))
     return judged.where("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near-duplicates, on five-word shingles and a similarity of 0.8."""
+    """One document of each group of near-duplicates, on five-word shingles and a similarity of 0.8: that with the smallest id.
+
+    Null and empty texts are like nothing and all stay; of rows that repeat an id and a text one stays; a null id comes after all others.
+    """
     return near_duplicates.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents, without the passages that are there more than once."""
+    """All documents, without the passages that are there more than once; every row stays, if need be with an empty text.
+
+    A null text stays null. Equal texts repeat each other, so both lose theirs (the stage before has left one of such).
+    """
     return repeats.without_repeats(docs, PASSAGE_BYTES, PASSAGE_GRAM)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The mix of sources to their targets; a document is a row as often as the mix takes it."""
+    """The mix of sources to their targets; a document is a row as often as the mix takes it.
+
+    A null source is a source of its own, rows without words take no part, and repeated rows are drawn each by itself.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pieces of all documents in training sequences, with their ids."""
+    """Pieces of all documents in training sequences, with their ids; a null or empty text is its end id alone, a null id stays null."""
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
