@@ -46,6 +46,24 @@ def test_no_task_holds_a_frame(spark, small_tasks):
     assert out.agg(F.sum("v_count"), F.max("v_max"), F.max("v_min")).first() == (n * (n + 1) // 2, n - 1, 0)
 
 
+def test_rows_of_a_time_move_as_one(spark, monkeypatch):
+    """Very many rows at few times: sorts and joins over time see a row for each time, and a hot time's rows all find theirs."""
+    seen, joined = [], frames.as_of_join
+
+    def counted(left, *rest, **options):
+        seen.append(left.count())
+        return joined(left, *rest, **options)
+
+    monkeypatch.setattr(frames, "as_of_join", counted)
+    days = F.when(F.col("id") % 3 > 0, 7).otherwise((F.col("id") / 3).cast("long") % 40)
+    df = spark.range(20_000).select(F.lit("one").alias("s"), F.timestamp_seconds(days * 86_400).alias("t"), F.when(F.col("id") % 11 > 0, F.col("id")).alias("v"), "id")
+    out = frames.dense_time_windows(df, ["s"], "t", ["v"], seconds=3 * 86_400, chunk_rows=7, spread=True)
+    w = Window.partitionBy("s").orderBy(F.unix_micros("t")).rangeBetween(-3 * 86_400_000_000, 0)
+    expected = df.select("id", F.sum("v").over(w), F.count("v").over(w), F.min("v").over(w), F.max("v").over(w))
+    assert sorted(map(tuple, out.select("id", "v_sum", "v_count", "v_min", "v_max").collect())) == sorted(map(tuple, expected.collect()))
+    assert seen == [40]
+
+
 def test_sketches_are_close_and_merge(spark):
     df = spark.range(200_000).select((F.col("id") % 5).alias("k"), (F.col("id") % 37).alias("day"), F.pow(F.rand(3), 3).alias("v"))
     df = df.unionByName(spark.createDataFrame([(9, 0, None), (9, 1, float("nan"))], "k long, day long, v double"))
